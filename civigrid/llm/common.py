@@ -42,6 +42,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(plain.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (cheap to count, such as a written table) marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def digest(*cols: Column) -> Column:
     """A 128-bit key of the given columns (nulls differ from empty strings), as 16 bytes."""
     marked = [F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.length(c).cast("string"), F.lit(":"), c)) for c in cols]

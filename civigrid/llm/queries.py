@@ -24,14 +24,39 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048)
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.lmscore import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.quality import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.sentencepieces import coded
+
+    return coded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_token_counts": op4_token_counts, "op6_packing": op6_packing}
+    found = (op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
