@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Verdict, host and path of the rules over the pages.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.llm.tokencount import token_counts
 
@@ -54,10 +64,50 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.urlfilter import filter_urls, rules_of
+
+    return filter_urls(table(spark, sf_dir, "pages"), rules_of(spark, URL_RULES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id)
+    found = (op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter)
     return {f.__name__: f for f in found}
 
 
+def sql_licenses() -> str:
+    from civigrid.llm.licenses import PHRASES, SHARE, TEMPLATES, needed
+
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    sets = ", ".join(f"('{name}', {sorted(set(t.split()))}, {needed(len(set(t.split())), SHARE)})" for name, t in TEMPLATES.items())
+    base = " OR ".join("(" + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(ws)) + ")" for ws in PHRASES.values())
+    label = "CASE " + " ".join(f"WHEN w[i + {len(ws) - 1}] = 'license' AND w[i] = '{ws[0]}' AND w[i + 1] = '{ws[1]}' THEN '{name}'" for name, ws in PHRASES.items()) + " END"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '{word}') AS w FROM d),
+p AS (SELECT r, i - 1 AS pos, {label} AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE t LIKE '%license%') WHERE {base}),
+b AS (SELECT r, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM p GROUP BY r),
+s(name, words, need) AS (VALUES {sets}),
+l AS (SELECT r, regexp_extract_all(line, '{word}') AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
+c AS (SELECT r, name, len(list_intersect(l.words, s.words)) AS common, len(s.words) AS size, need FROM l, s WHERE len(l.words) >= need),
+m AS (SELECT r, list(DISTINCT name) AS names, max(common / size) AS contained FROM c WHERE common >= need GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.names, [])))), ','), '') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(contained, 0.0)::DOUBLE END AS score
+FROM w LEFT JOIN b USING (r) LEFT JOIN m USING (r)"""
+
+
+def sql_urls() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    return f"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+k(verdict, r_host, r_path) AS (VALUES {rules}),
+f AS (SELECT r, arg_max(r_host || r_path, length(r_host || r_path)) AS rule, arg_max(verdict, length(r_host || r_path)) AS verdict
+  FROM s JOIN k ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM s LEFT JOIN f USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_license_scan": sql_licenses(), "op10_url_filter": sql_urls()}
