@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 # Verdict, host and path of the rules over the pages.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -71,7 +77,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter)
+    found = (op2_minhash, op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter)
     return {f.__name__: f for f in found}
 
 
