@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.rabitq import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.llm.minhash import near_duplicates
 
@@ -77,7 +83,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_minhash, op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter)
+    found = (op1_vectors, op2_minhash, op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter)
     return {f.__name__: f for f in found}
 
 
