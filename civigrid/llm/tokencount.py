@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.wordbpe import CACHE_CHUNKS, has_plain_words, splits_at_space, word_and_tail
+from civigrid.llm.wordbpe import CACHE_CHUNKS, byte_symbols, has_plain_words, splits_at_space, word_and_tail
 
 _loaded: dict[str, PrefixCounter] = {}
 
@@ -35,7 +35,7 @@ class PrefixCounter:
         self.normal = library.normalizer.normalize_str if library.normalizer else str
         self.pre = library.pre_tokenizer.pre_tokenize_str
         self.plain = has_plain_words(library, config)
-        self.symbols = {ord(c): "".join(w for w, _ in self.pre(c)) for c in map(chr, range(33, 0x180)) if c.isalpha()}
+        self.symbols = byte_symbols(library)
         self.special = re.compile("|".join(re.escape(t["content"]) for t in config.get("added_tokens", [])) or r"(?!)")
         self.end = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]

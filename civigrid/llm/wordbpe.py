@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+from array import array
 
-import numpy as np
-
+assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Chunks that a worker remembers; when they are reached it forgets all and goes on (results are the same).
@@ -49,6 +50,11 @@ def has_plain_words(library, config: dict) -> bool:
     return '"Lowercase"' in normal and "NFKC" not in normal and [x[1] for x in library.pre_tokenizer.pre_tokenize_str(probe)] == [(0, 3), (3, len(probe))]
 
 
+def byte_symbols(library) -> dict[int, str]:
+    """Each letter below U+0180 as the model's symbols for its bytes."""
+    return {ord(c): "".join(w for w, _ in library.pre_tokenizer.pre_tokenize_str(c)) for c in map(chr, range(33, 0x180)) if c.isalpha()}
+
+
 class ChunkEncoder:
     """``ids(text)`` gives the library's ids (no added special tokens) as little-endian unsigned 32-bit bytes."""
 
@@ -62,43 +68,68 @@ class ChunkEncoder:
             config = json.load(f)
         self.chunked = splits_at_space(config)
         self.plain = self.chunked and has_plain_words(self.library, config)
+        self.symbols = byte_symbols(self.library) if self.plain else {}
+        self.tokenize = self.library.model.tokenize
         self.known: dict[bytes, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _asked(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         if not self.chunked:
             return self._asked(texts)
-        known, out = self.known, []
-        split = [text.encode().split() for text in texts]  # ASCII white space only
-        for chunks in split:
-            got = list(map(known.get, chunks))
-            if None in got:
-                self._learn({c for c, g in zip(chunks, got, strict=True) if g is None})
-                got = list(map(known.get, chunks))
-                if None in got:  # the memory was cleared on the way
-                    self._learn(set(chunks))
-                    got = list(map(known.get, chunks))
-            out.append(b"".join(got))
+        known, out, held, size = self.known, [], [], 0
+        for text in texts:
+            raw = text.encode()
+            chunks = raw.split()  # ASCII white space only
+            held.append((chunks, list(map(known.get, chunks))))
+            size += len(raw)
+            if size > 1 << 20:
+                self._finish(held, out)
+                held, size = [], 0
+        self._finish(held, out)
         return out
 
-    def _learn(self, new: set[bytes]) -> None:
-        """Put the chunks' ids into the memory; repeated words with other punctuation or capitals are put together."""
-        known = self.known
-        if len(known) + 3 * len(new) > CACHE_CHUNKS:
+    def _finish(self, held: list[tuple[list[bytes], list[bytes | None]]], out: list[bytes]) -> None:
+        """Ask for what isn't known in some texts' chunks, and append the texts' ids to ``out``."""
+        gaps = [[i for i, g in enumerate(got) if g is None] for _, got in held]
+        new = self._learn({chunks[i] for (chunks, _), at in zip(held, gaps, strict=True) for i in at})
+        for (chunks, got), at in zip(held, gaps, strict=True):
+            for i in at:
+                got[i] = new[chunks[i]]
+            out.append(b"".join(got))
+
+    def _word(self, word: str) -> bytes:
+        """A plain word's ids by the library's model; normalising and dividing leave such a word as it is."""
+        return array("I", [t.id for t in self.tokenize(word if word.isascii() else word.translate(self.symbols))]).tobytes()
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """The chunks' ids, remembered from now on; words that return with other punctuation or capitals are asked for once."""
+        known, ids, ask = self.known, {}, []
+        if len(known) + 2 * len(new) > CACHE_CHUNKS:
             known.clear()
-        pairs, ask = {}, set()
         for c in new:
             two = word_and_tail(c.decode()) if self.plain else None
             if two is None:
-                ask.add(c)
-            else:
-                pairs[c] = word, tail = two[0].encode(), two[1].encode()
-                ask.update(x for x in (word, tail) if x and x not in known)
-        ask = list(ask)
-        known.update(zip(ask, self._asked([c.decode() for c in ask]), strict=True))
-        known.update((c, known[w] + (known[t] if t else b"")) for c, (w, t) in pairs.items())
+                ask.append(c)
+                continue
+            word, tail = two
+            key = word.encode()
+            coded = known.get(key)
+            if coded is None:
+                coded = known[key] = self._word(word)
+            if tail:
+                end = self.tails.get(tail)
+                if end is None:
+                    end = self._asked([tail])[0]
+                    if len(self.tails) < 10_000:
+                        self.tails[tail] = end
+                coded += end
+            ids[c] = coded
+        ids.update(zip(ask, self._asked([c.decode() for c in ask]), strict=True))
+        known.update(ids)
+        return ids
 
 
 def encoder(path: str) -> ChunkEncoder:
