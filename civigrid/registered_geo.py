@@ -1,3 +1,214 @@
-"""Further queries: validation, registry search, discovery totals, GeoJSON, point look-ups."""
-QUERIES: dict = {}
-SQL: dict = {}
+"""Further queries: validation, registry searches, metadata, discovery totals, GeoJSON, point look-ups."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from civigrid import carriers as C
+from civigrid.functions import text as T
+
+from civigrid.operators import geojson as J
+from civigrid.operators import registry as R
+from civigrid.operators import validation as V
+from civigrid.registered import REGISTRY_NAME_SQL, bars, query, state_sql
+from civigrid.registered import QUERIES as _OTHERS
+from civigrid.registered import SQL as _OTHER_SQL
+
+_before = set(_OTHERS)
+
+# A registry of the nations on a grid of five columns; every third polygon has a hole, every fourth is a multipolygon of two squares.
+
+KINDS = ["ward", "council-district", "city-council-district"]
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    return C.table(spark, sf_dir, "nation").select(
+        k.cast("long").alias("pos"),
+        F.lpad(k.cast("string"), 7, "0").alias("placeFips"),
+        C.pick(C.CITIES, k).alias("city"),
+        C.pick(C.STATES, k).alias("state"),
+        C.pick(KINDS, k).alias("boundaryType"),
+        F.concat(F.lit("f"), k.cast("string")).alias("generatedFile"),
+        F.struct(F.lit("arcgis").alias("sourceType"), F.concat(F.lit("https://example.com/"), F.col("n_name")).alias("url"), F.struct(F.lit("WARD").alias("district"), F.when(k % 2 == 0, "NAME").alias("name")).alias("fieldMapping")).alias("source"),
+    )
+
+
+ENTRIES_SQL = f"entries AS (SELECT n_nationkey::BIGINT AS pos, lpad(n_nationkey::VARCHAR, 7, '0') AS \"placeFips\", {C.pick_sql(C.CITIES, 'n_nationkey')} AS city, {C.pick_sql(C.STATES, 'n_nationkey')} AS state, {C.pick_sql(KINDS, 'n_nationkey')} AS \"boundaryType\", n_nationkey AS k, n_name FROM nation)"
+
+
+def square(x: str, y: str, size: str) -> str:
+    return f"[[{x}, {y}], [{x} + {size}, {y}], [{x} + {size}, {y} + {size}], [{x}, {y} + {size}], [{x}, {y}]]"
+
+
+def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feature collection for each nation, as JSON text made by arithmetic."""
+    k = F.col("n_nationkey")
+    x, y = (-120 + F.pmod(k, F.lit(5)) * 4), (30 + F.floor(k / 5) * 4)
+
+    def ring(dx: float, dy: float, n: float):
+        corners = [(0, 0), (n, 0), (n, n), (0, n), (0, 0)]
+        return F.concat(F.lit("["), F.concat_ws(",", *(F.concat(F.lit("["), (x + dx + a).cast("string"), F.lit(","), (y + dy + b).cast("string"), F.lit("]")) for a, b in corners)), F.lit("]"))
+
+    polygon = F.when(k % 3 == 0, F.concat(F.lit('{"type":"Polygon","coordinates":['), ring(0, 0, 3), F.lit(","), ring(1, 1, 1), F.lit("]}"))).when(k % 4 == 1, F.concat(F.lit('{"type":"MultiPolygon","coordinates":[['), ring(0, 0, 1), F.lit("],["), ring(2, 2, 1), F.lit("]]}"))).otherwise(F.concat(F.lit('{"type":"Polygon","coordinates":['), ring(0, 0, 3), F.lit("]}")))
+    point = F.lit('{"type":"Point","coordinates":[0,0]}')
+    properties = F.concat(F.lit('{"WARD":'), F.when(k % 2 == 0, F.concat(F.lit('"  W'), k.cast("string"), F.lit(' "'))).otherwise(k.cast("string")), F.lit(',"NAME":"'), F.col("n_name"), F.lit('"'), F.when(k % 5 == 0, F.concat(F.lit(',"id":"own-'), k.cast("string"), F.lit('"'))).otherwise(F.lit("")), F.lit("}"))
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{},"geometry":'), point, F.lit('},{"type":"Feature"'), F.when(k % 7 == 0, F.concat(F.lit(',"id":'), k.cast("string"))).otherwise(F.lit("")), F.lit(',"properties":'), properties, F.lit(',"geometry":'), polygon, F.lit("}]}"))
+    return C.table(spark, sf_dir, "nation").select(F.lpad(k.cast("string"), 7, "0").alias("place_fips"), C.pick(KINDS, k).alias("boundary_type"), text.alias("value"))
+
+
+def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.sources.documents import exploded
+
+    doc = collections(spark, sf_dir).withColumn("v", F.try_parse_json("value")).where(F.try_variant_get("v", "$.type", "string") == "FeatureCollection")
+    return exploded(doc.select("place_fips", "boundary_type", F.try_variant_get("v", "$.features", "array<variant>").alias("features")))
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points on a quarter-degree grid, so many lie on edges and vertices; some out of range."""
+    k = F.col("event_id")
+    lon = F.when(k % 97 == 0, F.lit(999.0)).otherwise(-121 + F.pmod(k, F.lit(88)) * 0.25)
+    lat = F.when(k % 89 == 0, F.lit(-91.0)).otherwise(29 + F.pmod(F.floor(k / 88), F.lit(88)) * 0.25)
+    return C.table(spark, sf_dir, "events").select(k.alias("point_id"), lat.cast("double").alias("lat"), lon.cast("double").alias("lon"))
+
+
+POINTS_SQL = "points AS (SELECT event_id AS point_id, CASE WHEN event_id % 89 = 0 THEN -91.0 ELSE 29 + ((event_id // 88) % 88) * 0.25 END::DOUBLE AS lat, CASE WHEN event_id % 97 = 0 THEN 999.0 ELSE -121 + (event_id % 88) * 0.25 END::DOUBLE AS lon FROM events)"
+# In closed form: squares with borders; a hole's inside is outside, but its border is inside.
+WITHIN = """lon BETWEEN x AND x + 3 AND lat BETWEEN y AND y + 3 AND CASE WHEN k % 3 = 0 THEN NOT (lon > x + 1 AND lon < x + 2 AND lat > y + 1 AND lat < y + 2)
+ WHEN k % 4 = 1 THEN (lon <= x + 1 AND lat <= y + 1) OR (lon >= x + 2 AND lat >= y + 2) ELSE true END"""
+FEATURE_SQL = """CASE WHEN k % 2 = 0 THEN 'W' || k::VARCHAR ELSE k::VARCHAR END AS district, CASE WHEN k % 2 = 0 THEN n_name ELSE k::VARCHAR END AS name"""
+
+
+@query(f"""WITH {ENTRIES_SQL}, {POINTS_SQL}, f AS (SELECT *, -120 + (k % 5) * 4 AS x, 30 + (k // 5) * 4 AS y, {FEATURE_SQL} FROM entries),
+h AS (SELECT point_id, arg_min(struct_pack(id := CASE WHEN k % 5 = 0 THEN 'own-' || k::VARCHAR ELSE "placeFips" || '-' || "boundaryType" || '-' || district END, d := district, n := name, p := "placeFips"), pos) AS hit FROM points JOIN f ON {WITHIN} WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 GROUP BY point_id)
+SELECT point_id, hit IS NOT NULL AS found, hit.id AS id, hit.d AS district, hit.n AS name, hit.p AS place_fips FROM points LEFT JOIN h USING (point_id)""")
+def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.plans.lookup import lookup
+
+    return lookup(points(spark, sf_dir), entries(spark, sf_dir), boundaries(spark, sf_dir)).select("point_id", "found", "id", "district", "name", "place_fips")
+
+
+@query(f"""WITH {ENTRIES_SQL}, {POINTS_SQL}, f AS (SELECT *, -120 + (k % 5) * 4 AS x, 30 + (k // 5) * 4 AS y, {FEATURE_SQL} FROM entries WHERE {state_sql('state')} = 'AZ' AND "boundaryType" = 'ward'),
+h AS (SELECT point_id, arg_min(district, pos) AS district FROM points JOIN f ON {WITHIN} WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 GROUP BY point_id)
+SELECT point_id, district IS NOT NULL AS found, district FROM points LEFT JOIN h USING (point_id)""")
+def q_point_lookup_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.plans.lookup import lookup
+
+    return lookup(points(spark, sf_dir), entries(spark, sf_dir), boundaries(spark, sf_dir), state="Arizona", boundary_type="ward").select("point_id", "found", "district")
+
+
+@query(f"WITH {ENTRIES_SQL} SELECT pos, \"placeFips\", city FROM entries WHERE {REGISTRY_NAME_SQL.format('city')} = 'winston salem' AND {state_sql('state')} = 'CA'")
+def q_registry_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.matching(entries(spark, sf_dir), city="WINSTON-salem", state="California").select("pos", "placeFips", "city")
+
+
+@query(f"WITH {ENTRIES_SQL} SELECT pos, \"placeFips\", \"boundaryType\" FROM entries WHERE \"boundaryType\" = 'council-district' ORDER BY pos LIMIT 1")
+def q_registry_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.first_matching(entries(spark, sf_dir), boundary_type="council-district").select("pos", "placeFips", "boundaryType")
+
+
+def broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated entries of the customers, each seventh or so with another fault."""
+    k = F.col("c_custkey")
+
+    def bad(n: int, value, good):
+        return F.when(k % 31 == n, F.lit(value)).otherwise(good)
+
+    source = F.struct(bad(4, "ftp://x", F.lit("https://example.com/a")).alias("url"), bad(5, "ImageServer", F.lit("MapServer")).alias("serviceType"), bad(6, "  ", F.lit("T")).alias("title"), F.when(k % 31 != 7, True).alias("official"))
+    fields = F.struct(bad(9, "", F.lit("WARD")).alias("district"), F.lit("NAME").alias("name"))
+    meta = F.struct(bad(11, "never", F.lit("2026-01-02T03:04:05.678Z")).alias("generatedAt"), F.when(k % 31 != 12, False).alias("requiresReview"))
+    return C.table(spark, sf_dir, "customer").select(k.alias("pos"), F.when(k % 31 == 0, "12").otherwise(F.lpad(k.cast("string"), 7, "0")).alias("placeFips"), bad(1, " ", F.lit("Tucson")).alias("city"), bad(2, "Az", F.lit("AZ")).alias("state"), bad(3, "county", F.lit("ward")).alias("districtType"), F.when(k % 31 != 8, source).alias("source"), F.when(k % 31 != 10, fields).alias("fields"), F.when(k % 31 != 13, meta).alias("metadata"))
+
+
+MESSAGES = {0: "placeFips must be a 7-digit Census place GEOID.", 1: "city is required.", 2: "state must be a two-letter abbreviation.", 3: "invalid districtType: county", 4: "source.url must be a valid HTTP or HTTPS URL.", 5: "source.serviceType must be FeatureServer or MapServer.", 6: "source.title is required.", 7: "source.official must be a boolean.", 8: "source is required.", 9: "fields.district is required.", 10: "fields is required.", 11: "metadata.generatedAt must be a valid date.", 12: "metadata.requiresReview must be a boolean.", 13: "metadata is required."}
+
+
+@query("SELECT c_custkey AS pos, CASE c_custkey % 31 " + " ".join(f"WHEN {n} THEN 'Entry ' || (c_custkey + 1)::VARCHAR || ': ' || {C.quoted(m)}" for n, m in MESSAGES.items()) + " END AS error FROM customer")
+def q_registry_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.generated_entries(broken(spark, sf_dir)).select("pos", "error")
+
+
+@query("SELECT count(*) FILTER (c_custkey % 31 > 13) AS valid, count(*) FILTER (c_custkey % 31 <= 13) AS invalid FROM customer")
+def q_registry_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.totals(V.generated_entries(broken(spark, sf_dir)))
+
+
+@query(f"""WITH {ENTRIES_SQL} SELECT pos, CASE k % 6 WHEN 1 THEN 'Invalid registry entry: missing city.' WHEN 2 THEN 'Invalid registry source: expected an object.' WHEN 3 THEN 'Invalid registry source: missing fieldMapping.district.' WHEN 4 THEN 'Invalid registry entry: missing generatedFile.' END AS error, {state_sql('state')} AS state FROM entries""")
+def q_registry_package_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("pos") % 6
+    rows = entries(spark, sf_dir)
+    mapping = F.when(k == 3, F.struct(F.lit(None).cast("string").alias("district"), F.lit("x").alias("name"))).otherwise(F.col("source.fieldMapping"))
+    rows = rows.withColumns({"city": F.when(k != 1, F.col("city")), "generatedFile": F.when(k != 4, F.col("generatedFile")), "source": F.when(k != 2, F.col("source").withField("fieldMapping", mapping))})
+    return V.package_entries(rows).select("pos", "error", "state")
+
+
+@query(f"""WITH {C.PLACES_SQL} SELECT place_fips AS \"placeFips\", CASE ord % 5 WHEN 1 THEN 'Invalid Census place ' || place_fips || ': invalid placeType.' WHEN 2 THEN 'Invalid Census place: missing city.' END AS error, {state_sql('state')} AS state FROM places""")
+def q_places_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("ord") % 5
+    rows = C.place_rows(spark, sf_dir).select(F.col("place_fips").alias("placeFips"), F.when(k != 2, F.col("city")).alias("city"), "state", F.when(k == 1, "other").when(k == 3, "incorporated-place").alias("placeType"))
+    return V.place_rows(rows).select("placeFips", "error", "state")
+
+
+@query(f"""WITH {ENTRIES_SQL} SELECT "placeFips" AS collection, 1 AS feature_pos, CASE WHEN k % 7 = 0 THEN k::VARCHAR WHEN k % 2 = 0 THEN 'W' || k::VARCHAR ELSE k::VARCHAR END AS id, CASE WHEN k % 2 = 0 THEN 'W' || k::VARCHAR ELSE k::VARCHAR END AS district, n_name AS name, CASE WHEN k % 3 <> 0 AND k % 4 = 1 THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type FROM entries""")
+def q_geojson_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = boundaries(spark, sf_dir).where(F.col("geometry_type").isin(*J.POLYGONS)).withColumnRenamed("place_fips", "collection")
+    return J.normalised(shapes, "Tucson", "AZ", "0477000", "ward", key=["collection"]).select("collection", "feature_pos", "id", "district", "name", "geometry_type")
+
+
+@query(f"WITH {ENTRIES_SQL} SELECT \"placeFips\" AS place_fips, 'WARD' AS district_property, 'NAME' AS name_property FROM entries")
+def q_property_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.detected_fields(boundaries(spark, sf_dir), ["place_fips"])
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, length(props) AS n, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN 'Layer ' || event_id::VARCHAR ELSE 'x' END AS name FROM events")
+def q_json_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.sources.recorded import metadata
+
+    k = F.col("event_id")
+    body = F.when(k % 3 == 0, F.lit("not json")).when(k % 3 == 1, F.concat(F.lit('{"name":"Layer '), k.cast("string"), F.lit('","fields":[]}'))).otherwise(F.lit('{"name":"x","extra":1}'))
+    rows = C.table(spark, sf_dir, "events").select(k.cast("string").alias("url"), body.alias("body"), "props", "event_id")
+    parsed = metadata(rows.select("url", "body")).select(F.col("url").cast("long").alias("event_id"), "name")
+    return rows.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").alias("n")).join(parsed, "event_id")
+
+
+def recorded_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A discovery run over 20 suppliers as places, with answers made from their keys."""
+    from civigrid.plans.discovery import discovered, search_texts
+
+    k = F.col("s_suppkey")
+    places = C.table(spark, sf_dir, "supplier").where(k.between(1, 20)).select(F.lpad(k.cast("string"), 7, "0").alias("place_fips"), F.concat(F.lit("City"), k.cast("string")).alias("city"), F.lit("AZ").alias("state"))
+    n = F.col("place_fips").cast("long")
+    asked = search_texts(places).where((n % 5 != 0) & F.col("query_no").isin(0, 2))
+    base = F.concat(F.lit("https://gis.tucsonaz.gov/rest/services/P"), n.cast("string"), F.lit("/FeatureServer"))
+    hits = asked.select("query", F.posexplode(F.array(F.struct(F.lit("Wards").alias("title"), F.concat(base, F.lit("/0/")).alias("url")), F.struct(F.lit("Same").alias("title"), F.concat(base, F.lit("/0?f=html")).alias("url")), F.struct(F.lit("Service").alias("title"), base.alias("url")), F.struct(F.lit("No address").alias("title"), F.lit("").alias("url")))).alias("pos", "h")).select("query", "pos", "h.title", "h.url")
+    fields = '"fields":[{"name":"WARD","alias":"Ward"},{"name":"NAME","alias":"Ward Name"}]'
+    layer = F.concat(F.lit('{"name":"'), F.when(n % 3 == 0, "Parks").otherwise("Ward Boundary"), F.lit('","geometryType":"esriGeometryPolygon","capabilities":"Query","supportedQueryFormats":"JSON, geoJSON",' + fields + "}"))
+    bodies = places.select(F.explode(F.array(F.struct(F.concat(base, F.lit("/0")).alias("url"), layer.alias("body")), F.struct(base.alias("url"), F.lit('{"name":"City service","layers":[{"id":1,"name":"Roads"},{"id":0,"name":"Wards"}]}').alias("body")))).alias("m")).select("m.*")
+    return discovered(places, hits, bodies)
+
+
+@query("SELECT 20::BIGINT AS municipalities, 32::BIGINT AS candidates, 32::BIGINT AS inspected, 22::BIGINT AS valid, 10::BIGINT AS rejected, 11::BIGINT AS groups, 11::BIGINT AS canonical, 5::BIGINT AS no_canonical, 4::BIGINT AS failed")
+def q_discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.plans.discovery import summary
+
+    return summary(recorded_run(spark, sf_dir)["results"])
+
+
+@query("""SELECT lpad(k::VARCHAR, 7, '0') AS place_fips, v AS ord, 'https://gis.tucsonaz.gov/rest/services/P' || k::VARCHAR || '/FeatureServer/0' AS url, CASE WHEN v = 0 THEN 'P' || k::VARCHAR ELSE 'City service' END AS service_name, CASE WHEN k % 3 = 0 THEN 'Parks' ELSE 'Ward Boundary' END AS layer_name, 'WARD|NAME' AS district_fields, 'NAME' AS name_fields, k % 3 = 0 AS rejected
+FROM range(1, 21) t(k), (VALUES (0::BIGINT), (2::BIGINT)) u(v) WHERE k % 5 <> 0""")
+def q_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recorded_run(spark, sf_dir)["inspected"]
+    return found.select("place_fips", "ord", "url", "service_name", "layer_name", bars("district_fields").alias("district_fields"), bars("name_fields").alias("name_fields"), "rejected")
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_partkey * 997 < 1024 THEN (p_partkey * 997)::VARCHAR || ' B' WHEN p_partkey * 997 < 1048576 THEN printf('%.1f KB', floor(p_partkey * 997 / 1024.0 * 10 + 0.5) / 10) ELSE printf('%.1f MB', floor(p_partkey * 997 / 1048576.0 * 10 + 0.5) / 10) END AS size FROM part")
+def q_format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.byte_size(F.col("p_partkey") * 997).alias("size"))
+
+
+QUERIES: dict[str, Callable] = {k: v for k, v in _OTHERS.items() if k not in _before}
+SQL: dict[str, str] = {k: v for k, v in _OTHER_SQL.items() if k not in _before}
+
