@@ -11,6 +11,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 WS = r"[\s\u00A0\uFEFF\p{Z}]"
 APOSTROPHES = "['’]"
@@ -51,7 +52,7 @@ def identity_key(c: Column) -> Column:
     return blank(field_key(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unaccented(s: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks U+0300 to U+036F (Spark has no such function)."""
     return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not "\u0300" <= c <= "\u036f"))
@@ -112,7 +113,7 @@ def byte_size(c: Column) -> Column:
 def fixed(c: Column, digits: int) -> Column:
     """A double with so many decimals, rounded by its exact binary value, ties away from zero."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def render(s: pd.Series) -> pd.Series:
         unit = Decimal(1).scaleb(-digits)
         return s.map(lambda x: None if pd.isna(x) else str(Decimal(x).quantize(unit, rounding=ROUND_HALF_UP)))

@@ -33,7 +33,9 @@ def gazetteer_rows(raw: DataFrame) -> DataFrame:
     cols = [(F.col(f"`{index[n]}`") if n in COORDINATES else trimmed(F.col(f"`{index[n]}`"))).alias(n) if n in index else F.lit(None).cast("string").alias(n) for n in REQUIRED + OPTIONAL]
     rows = raw.select(*cols, *(["ord"] if "ord" in raw.columns else []))
     bad = F.greatest(*(blank(F.col(n)).isNull().cast("int") for n in REQUIRED)) == 1
-    return rows.withColumn("USPS", F.when(bad, F.raise_error(F.concat(F.lit("gazetteer row lacks a required value: "), F.concat_ws("|", *REQUIRED)))).otherwise(F.upper("USPS")))
+    message = F.concat(F.lit("gazetteer row lacks a required value: "), F.concat_ws("|", *REQUIRED))
+    # As a filter, so that it sees rows that a later filter leaves out.
+    return rows.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).withColumn("USPS", F.upper("USPS"))
 
 
 def places(raw: DataFrame) -> DataFrame:

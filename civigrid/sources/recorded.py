@@ -81,7 +81,7 @@ class _SearchReader(_Reader):
     def address(self, key: str) -> str:
         limit = self.options.get("limit")
         query = urllib.parse.urlencode({"q": key, "num": hits_asked(int(limit) if limit else None), "start": 1, "f": "json"})
-        return f"{self.options['endpoint']}?{query}"
+        return f"{self.options.get('endpoint', '')}?{query}"
 
 
 class _MetadataReader(_Reader):
