@@ -121,5 +121,50 @@ f AS (SELECT r, arg_max(r_host || r_path, length(r_host || r_path)) AS rule, arg
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM s LEFT JOIN f USING (r)"""
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def sql_components(nodes: str, links: str) -> str:
+    """CTEs that give, for each node, the smallest one that it reaches."""
+    return f"""reach(node, seen) AS (SELECT node, node FROM ({nodes}) UNION SELECT l.b, r.seen FROM reach r JOIN ({links}) l ON l.a = r.node WHERE l.b > r.seen),
+component AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)"""
+
+
+def sql_vectors() -> str:
+    return f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fine AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+{sql_components("SELECT vec_id AS node FROM embeddings", "SELECT * FROM links")}
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN component ON node = vec_id"""
+
+
+def sql_minhash() -> str:
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+{sql_components("SELECT doc_id AS node FROM documents", "SELECT * FROM links")}
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN component ON node = d.doc_id"""
+
+
+def sql_quality() -> str:
+    from civigrid.llm.quality import LEFT_SHARE, LEFT_WORDS, LINE_LIMIT, LINE_WORDS
+
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 'n') AS host, coalesce(text, '') AS t, text IS NULL AS none FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{WORD}') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM d),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2))),
+c AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM g, range(3) x(k) WHERE n > 1 GROUP BY r),
+k AS (SELECT min(r) AS key, host, t, none FROM d GROUP BY host, t, none),
+l AS (SELECT key, host, line, sum(n) AS words FROM (SELECT key, k.host, array_to_string(x, ' ') AS line, len(x) AS n FROM (SELECT k.key, k.host, regexp_extract_all({LOWER.format("unnest(string_split(k.t, chr(10)))")}, '{WORD}') AS x FROM k) k WHERE len(x) BETWEEN 1 AND {LINE_WORDS}) GROUP BY ALL),
+often AS (SELECT host, line FROM l GROUP BY ALL HAVING count(*) > {LINE_LIMIT}),
+gone AS (SELECT key, sum(words) AS gone FROM l JOIN often USING (host, line) GROUP BY key),
+m AS (SELECT w.*, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) - coalesce(gone, 0) AS left_words FROM w LEFT JOIN c USING (r) JOIN k ON k.host = w.host AND k.t = w.t AND k.none = w.none LEFT JOIN gone USING (key)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed, left_words::BIGINT AS left_words, NOT base_failed AND left_words >= {LEFT_WORDS} AND left_words >= {LEFT_SHARE} * n_words AS kept FROM b"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": sql_licenses(), "op10_url_filter": sql_urls()}
+    return {"op1_vectors": sql_vectors(), "op2_minhash": sql_minhash(), "op3_license_scan": sql_licenses(), "op7_quality_rules": sql_quality(), "op10_url_filter": sql_urls()}

@@ -126,7 +126,7 @@ def test_urls(spark):
     assert urlfilter.filter_urls(pages.limit(0), urlfilter.rules_of(spark, queries.URL_RULES)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op3_license_scan", "op10_url_filter"])
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_against_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
