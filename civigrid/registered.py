@@ -357,9 +357,22 @@ def q_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.groups(members(spark, sf_dir)).select("place_fips", "group_id", "members", "confidence")
 
 
-@query()
+DEDUPED = f"""{LAYER_PAIRS}, near AS (SELECT x, list(struct_pack(y := y, c := confidence)) AS ns FROM lpairs WHERE equivalent GROUP BY x),
+valid AS (SELECT place_fips, ord, row_number() OVER (PARTITION BY place_fips ORDER BY ord) AS n, coalesce(ns, []) AS ns FROM lp LEFT JOIN near ON x = ord WHERE is_political AND NOT rejected),
+walk AS (SELECT place_fips, n, ord, ord AS g, NULL::DOUBLE AS s, [struct_pack(m := ord, g := ord)] AS homes FROM valid WHERE n = 1
+UNION ALL SELECT place_fips, n, ord, coalesce(best.g, ord), -best.c, list_append(homes, struct_pack(m := ord, g := coalesce(best.g, ord))) FROM (
+  SELECT w.place_fips, v.n, v.ord, w.homes, list_min(list_transform(v.ns, lambda q: struct_pack(c := -q.c, g := list_filter(w.homes, lambda h: h.m = q.y)[1].g, y := q.y))) AS best FROM walk w JOIN valid v ON v.place_fips = w.place_fips AND v.n = w.n + 1))"""
+
+
+@query(f"WITH RECURSIVE {DEDUPED} SELECT place_fips, ord, g AS group_id, round(s, 9) AS member_score FROM walk")
 def q_cluster_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.deduplicated_layers(layers(spark, sf_dir)).select("place_fips", "ord", "group_id", F.round("member_score", 9).alias("member_score"), bars("member_reasons").alias("reasons"))
+    return M.deduplicated_layers(layers(spark, sf_dir)).select("place_fips", "ord", "group_id", F.round("member_score", 9).alias("member_score"))
+
+
+@query()
+def q_dedupe_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reasons end with ratios of two decimals that SQL rounds otherwise."""
+    return M.deduplicated_layers(layers(spark, sf_dir)).select("place_fips", "ord", bars("member_reasons").alias("reasons"))
 
 
 # Choice.
