@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Training documents for each language, at most about this many (hash sample); half as many again calibrate.
-TRAIN_DOCS = 1500
-BUCKETS = 1 << 15
+TRAIN_DOCS = 800
+BUCKETS = 1 << 15  # at most 2^16
 DIM = 16
 EPOCHS = 6
 GRAMS = (2, 3, 4)
@@ -105,13 +105,13 @@ class Scorer:
         return langs, scores
 
 
-def fit(docs: list[tuple[list[int], list[int], str]], seed: int = 7) -> Model:
-    """SGD over documents given as (bucket ids, their counts, language); every third document calibrates."""
+def fit(docs: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model:
+    """SGD over documents given as (bucket ids, their shares, language); every third document calibrates."""
     languages = sorted({x[2] for x in docs})
     k = len(languages)
     rng = np.random.default_rng(seed)
     e, w, b = rng.normal(0, 0.1, (BUCKETS, DIM)), np.zeros((DIM, k)), np.zeros(k)
-    data = [(np.array(i), np.array(c, float) / max(1, sum(c)), languages.index(y)) for i, c, y in docs]
+    data = [(i, c, languages.index(y)) for i, c, y in docs]
     held = [x for n, x in enumerate(data) if n % 3 == 2]
     train = [x for n, x in enumerate(data) if n % 3 != 2] or data
     steps = EPOCHS * len(train)
@@ -171,13 +171,14 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
             for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = [x for w in words_of(t) for x in subwords(w)]
                 if ids:
-                    i, c = np.unique(ids, return_counts=True)
-                    rows.append((i.tolist(), c.tolist(), lang))
+                    i, c = np.unique(np.array(ids, np.uint16), return_counts=True)
+                    rows.append((i.tobytes(), (c / c.sum()).astype(np.float32).tobytes(), lang))
             cols = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.list_(pa.int32())), pa.array(cols[1], pa.list_(pa.int32())), pa.array(cols[2], pa.string())], names=["ids", "counts", "lang"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.string())], names=["ids", "shares", "lang"])
 
-    found = chosen.select("text", "lang").mapInArrow(features, "ids array<int>, counts array<int>, lang string").limit(2 * want * len(counts)).collect()
-    return fit(sorted(((r.ids, r["counts"], r.lang) for r in found), key=lambda x: zlib.crc32(repr(x[:2]).encode())))
+    found = chosen.select("text", "lang").mapInArrow(features, "ids binary, shares binary, lang string").limit(2 * want * len(counts)).toArrow()
+    rows = sorted(zip(*(found.column(c).to_pylist() for c in ("ids", "shares", "lang")), strict=True), key=lambda x: (zlib.crc32(x[0]), x[1], x[2]))
+    return fit([(np.frombuffer(i, np.uint16), np.frombuffer(c, np.float32), lang) for i, c, lang in rows])
 
 
 def identify(docs: DataFrame, model: Model | None = None, per_language: int = TRAIN_DOCS, keep: list[str] | None = None) -> DataFrame:
