@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _fallback: dict[str, str] = {}
+_cleaned: set[str] = set()
 
 #: Rows whose number is at most this may be broadcast; beyond it, operators join by shuffle.
 BROADCAST_ROWS = 500_000
@@ -33,12 +36,16 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: the lineage ends there, and a lost executor costs no work.
 
-    The folder carries the application's id, so a scheduler can remove it when the application has ended.
+    The folder carries the application's id and goes when the driver's process ends; a scheduler can remove what a
+    killed driver leaves.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     plain = df.select(*(F.col(f"`{c}`").cast("string").alias(c) if kind == "void" else F.col(f"`{c}`") for c, kind in df.dtypes))
     plain.write.parquet(path)
+    if path.rsplit("/", 1)[0] not in _cleaned:
+        _cleaned.add(path.rsplit("/", 1)[0])
+        atexit.register(_remove, spark, path.rsplit("/", 1)[0])
     return spark.read.schema(plain.schema).parquet(path)
 
 
@@ -47,6 +54,13 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Deletes an application's intermediate tables when its driver ends."""
+    with contextlib.suppress(Exception):  # the JVM may have gone first
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def digest(*cols: Column) -> Column:
     """A 128-bit key of the given columns (nulls differ from empty strings), as 16 bytes."""
     marked = [F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.length(c).cast("string"), F.lit(":"), c)) for c in cols]
