@@ -8,6 +8,30 @@ from pyspark.sql import functions as F
 from civigrid.llm.common import written
 
 
+class Forest:
+    """Links that suffice to connect what many links connect, and what they are kept as."""
+
+    def __init__(self):
+        self.root, self.ties = {}, []
+
+    def top(self, x):
+        root = self.root
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    def tie(self, a, b, link: tuple) -> None:
+        x, y = self.top(a), self.top(b)
+        if x != y:
+            self.root[max(x, y)] = min(x, y)
+            self.ties.append(link)
+
+
+def _mark(links: DataFrame) -> tuple:
+    """The number of links and a sum of their hashes: equal for equal links."""
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """For each node of the links (a, b; of any type with an order): node and component, the smallest node that it reaches.
 
@@ -18,19 +42,17 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b"))
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    mark = None
-    for _ in range(most_rounds):
+    mark = _mark(now)
+    for _ in range(most_rounds if mark[0] else 1):
         both = now.union(now.select("v", "u")).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        large = large.distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m")).distinct()
         now = written(small, "links")
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (state.n, state.h) == mark:
+        before, mark = mark, _mark(now)
+        if mark == before:
             break
-        mark = (state.n, state.h)
     else:
         raise RuntimeError(f"links did not settle in {most_rounds} rounds")
     return nodes.distinct().join(now, F.col("node") == F.col("u"), "left").select("node", F.coalesce("v", "node").alias("component"))

@@ -11,16 +11,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civigrid.llm.common import small, written
-from civigrid.llm.components import components
+from civigrid.llm.components import Forest, components
 
 #: Bands and rows of a band, for a threshold of 0.8 and for 0.85 and more; a link at the threshold is missed with a chance of (1 - t ** rows) ** bands.
 ROWS, BANDS = 5, {0.80: 36, 0.85: 28}
-#: Members of a bucket's block, in the pass over all pairs across components.
-BLOCK = 128
+#: Members, and shingles of all members, of a bucket's block in the pass over pairs across components (the other block has twice as much).
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 MASK = np.uint64(0xFFFFFFFFFFFF)
 PRIME = (1 << 31) - 1
 
@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rows = written(signed(given, k, bands), "minhash")
     member = rows.where("doc_id IS NOT NULL AND key IS NOT NULL")
     # One class for each distinct set; its rows' signatures are equal.
-    classes = written(member.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "minhash-classes")
+    classes = written(member.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")), "minhash-classes")
     # Rows of one id are one document, so an id with several sets links their classes.
     ids = member.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("m"), F.count("*").alias("n")).where("n > 1")
     same_id = member.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("key").alias("b")).where("a <> b").distinct()
@@ -189,13 +189,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = written(full_sets(given, named.join(ends(likely), "key", "left_semi"), k), "minhash-sets")
     links = written(confirmed(likely, sets, percent).union(same_id), "minhash-links")
     first = components(links)
-    # Buckets that still hold several components: pairs across them, in blocks.
+    # Buckets that still hold several components, and pairs that no star had: pairs across components, in blocks.
     placed = written(shared.join(first, shared["key"] == first["node"], "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component")), "minhash-placed")
-    crossing = across(placed, signature, limit).distinct().join(stars, ["a", "b"], "left_anti")
-    crossing = written(crossing, "minhash-crossing")
-    more = ends(crossing).join(sets.select("key"), "key", "left_anti")
-    sets = sets.union(written(full_sets(given, named.join(more, "key", "left_semi"), k), "minhash-sets"))
-    found = components(links.union(confirmed(crossing, sets, percent)))
+    dealt = written(dealt_across(placed, classes.select("key", "n_shingles")), "minhash-dealt")
+    more = dealt.select("key").distinct().join(sets.select("key"), "key", "left_anti")
+    sets = sets.unionByName(written(full_sets(given, named.join(more, "key", "left_semi"), k), "minhash-sets"))
+    crossing = written(across(dealt.join(classes.select("key", "signature"), "key").join(sets, "key"), limit, percent), "minhash-crossing")
+    found = components(links.unionByName(crossing))
     tied = named.join(found, named["key"] == found["node"], "left").select("key", "doc_id", F.coalesce("component", "key").alias("component"))
     lowest = tied.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     verdict = written(tied.join(lowest, "component").select("key", "component_id"), "minhash-verdict")
@@ -204,34 +204,64 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def across(placed: DataFrame, signature: DataFrame, limit: int) -> DataFrame:
-    """Pairs (a < b) of a bucket's classes in different components whose signatures agree in ``limit`` minima or more.
+def dealt_across(placed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than two classes in several components, dealt into groups.
 
     Each class outside the bucket's largest component is compared with all classes of the other components. Those
-    outside and all of the bucket are dealt into blocks, and a pair of blocks is a group, so no task gets a whole bucket.
+    outside and all of the bucket are dealt into blocks of bounded rows and bytes, and a pair of blocks is a group, so
+    no task gets a whole large bucket.
     """
-    sizes = placed.groupBy("band", "bucket", "component").agg(F.count("*").alias("n"))
-    info = sizes.groupBy("band", "bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("size"), F.count("*").alias("parts")).where("parts > 1")
-    info = info.select("band", "bucket", F.col("most.component").alias("main"), F.ceil((F.col("size") - F.col("most.n")) / BLOCK).cast("int").alias("outer_blocks"), F.ceil(F.col("size") / (4 * BLOCK)).cast("int").alias("blocks"))
+    sized = placed.join(sizes, "key")
+    parts = sized.groupBy("band", "bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    info = parts.groupBy("band", "bucket").agg(F.max(F.struct("n", "w", "component")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).where("parts > 1 AND n > 2")
+
+    def blocks(n: Column, w: Column, times: int) -> Column:
+        return F.greatest(F.lit(1), F.ceil(n / (times * BLOCK)), F.ceil(w / (times * BLOCK_SHINGLES))).cast("int")
+
+    info = info.select("band", "bucket", F.col("most.component").alias("main"), blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w"), 1).alias("outer_blocks"), blocks(F.col("n"), F.col("w"), 2).alias("blocks"))
     members = placed.join(info, ["band", "bucket"])
-    spread = F.xxhash64("key")
-    both = members.withColumn("outside", F.explode(F.when(F.col("component") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    one = lambda n: F.array(F.pmod(spread, F.col(n)).cast("int"))
-    dealt = both.withColumn("outer_block", F.explode(F.when(F.col("outside"), one("outer_blocks")).otherwise(every("outer_blocks")))).withColumn("block", F.explode(F.when(F.col("outside"), every("blocks")).otherwise(one("blocks"))))
-    dealt = dealt.select("band", "bucket", "outer_block", "block", "key", "component", "outside").join(signature, "key")
+    outside = F.when(F.col("component") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+
+    def every(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    def one(n: str) -> Column:
+        return F.array(F.pmod(F.xxhash64("key"), F.col(n)).cast("int"))
+
+    both = members.withColumn("outside", F.explode(outside))
+    both = both.withColumn("outer_block", F.explode(F.when(F.col("outside"), one("outer_blocks")).otherwise(every("outer_blocks"))))
+    both = both.withColumn("block", F.explode(F.when(F.col("outside"), every("blocks")).otherwise(one("blocks"))))
+    return both.select("band", "bucket", "outer_block", "block", "key", "component", "outside")
+
+
+def across(dealt: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Links (a, b) between components, confirmed on the full sets: of each group, as many as connect what its links connect.
+
+    Pairs whose signatures agree in fewer than ``limit`` minima are left out, and so are those that share an earlier
+    band, where they are looked at already.
+    """
 
     def compare(t: pa.Table) -> pa.Table:
-        keys, names, outside = t.column("key").to_pylist(), {}, t.column("outside").to_pylist()
+        keys, names, band = t.column("key").to_pylist(), {}, t.column("band")[0].as_py()
         comp = np.array([names.setdefault(c, len(names)) for c in t.column("component").to_pylist()])
         signs = np.array([np.frombuffer(v, np.uint32) for v in t.column("signature").to_pylist()])
-        inner = np.flatnonzero(~np.array(outside))
-        pairs = []
-        for i in np.flatnonzero(outside):
+        sets = [unpacked(v) for v in t.column("shingles").to_pylist()]
+        inner = np.flatnonzero(~np.array(t.column("outside").to_pylist()))
+        forest = Forest()
+        for i in np.flatnonzero(np.array(t.column("outside").to_pylist())):
             near = inner[comp[inner] != comp[i]]
-            near = near[(signs[near] == signs[i]).sum(axis=1) >= limit]
-            pairs += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in near]
-        return pa.table({"a": pa.array([x[0] for x in pairs], pa.binary()), "b": pa.array([x[1] for x in pairs], pa.binary())})
+            same = signs[near] == signs[i]
+            near = near[(same.sum(axis=1) >= limit) & ~same.reshape(len(near), -1, ROWS)[:, :band].all(axis=2).any(axis=1)]
+            near = [j for j in near.tolist() if forest.top(comp[i]) != forest.top(comp[j]) and 100 * min(len(sets[i]), len(sets[j])) >= percent * max(len(sets[i]), len(sets[j]))]
+            if not near:
+                continue
+            sizes = np.array([len(sets[j]) for j in near])
+            flat = np.concatenate([sets[j] for j in near])
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            for j in np.array(near)[100 * both >= percent * (len(sets[i]) + sizes - both)].tolist():
+                forest.tie(comp[i], comp[j], (keys[i], keys[j]))
+        return pa.table({"a": pa.array([x[0] for x in forest.ties], pa.binary()), "b": pa.array([x[1] for x in forest.ties], pa.binary())})
 
     return dealt.groupBy("band", "bucket", "outer_block", "block").applyInArrow(compare, "a binary, b binary")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civigrid.llm.common import written
-from civigrid.llm.components import components
+from civigrid.llm.components import Forest, components
 
 #: Chance to miss a pair that lies exactly at the threshold; the number of rotations follows from it.
 MISS = 1e-7
@@ -69,25 +69,6 @@ def links(a: np.ndarray, b: np.ndarray, t: float, spin: np.ndarray) -> tuple[np.
     return i[real], j[real], len(i)
 
 
-class Forest:
-    """Links that suffice to connect what many links connect."""
-
-    def __init__(self):
-        self.root, self.ties = {}, []
-
-    def top(self, x):
-        root = self.root
-        while (up := root.setdefault(x, x)) != x:
-            root[x] = x = root[up]
-        return x
-
-    def tie(self, a, b) -> None:
-        x, y = self.top(a), self.top(b)
-        if x != y:
-            self.root[max(x, y)] = min(x, y)
-            self.ties.append((a, b))
-
-
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None = None) -> DataFrame:
     """For each row: vec_id, n_links, component_id (smallest vec_id reachable by links, itself included), kept.
 
@@ -162,7 +143,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None =
             for a, b in zip(i.tolist(), j.tolist(), strict=True):
                 degree[keys[a]] += n[b]
                 degree[keys[b]] += n[a]
-                forest.tie(keys[a], keys[b])
+                forest.tie(keys[a], keys[b], (keys[a], keys[b]))
         out = [(k, None, d) for k, d in degree.items()] + [(a, b, 0) for a, b in forest.ties]
         cols = list(zip(*out, strict=True)) or [()] * 3
         return pa.table({"a": pa.array(cols[0], pa.binary()), "b": pa.array(cols[1], pa.binary()), "links": pa.array(cols[2], pa.int64())})
