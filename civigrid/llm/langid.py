@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 #: Training documents for each language, at most about this many (hash sample); half as many again calibrate.
 TRAIN_DOCS = 800
 BUCKETS = 1 << 15  # at most 2^16
@@ -181,8 +182,8 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     return fit([(np.frombuffer(i, np.uint16), np.frombuffer(c, np.float32), lang) for i, c, lang in rows])
 
 
-def identify(docs: DataFrame, model: Model | None = None, per_language: int = TRAIN_DOCS, keep: list[str] | None = None) -> DataFrame:
-    """A row for each document: doc_id, held_out, lang_pred, score and accepted, after the columns ``keep``.
+def identify(docs: DataFrame, model: Model | None = None, per_language: int = TRAIN_DOCS, keep: list[str] | None = None, keep_text: bool = False) -> DataFrame:
+    """A row for each document: doc_id, held_out, the columns ``keep`` and on demand the text, lang_pred, score, accepted.
 
     A text without a letter, null or empty, gets ``und``, score 0 and is not accepted; so does every text if nothing
     can be learned. A null id counts as not held out. Ties go to the first language by name. Other columns are ignored.
@@ -192,19 +193,24 @@ def identify(docs: DataFrame, model: Model | None = None, per_language: int = TR
     kinds = dict(docs.dtypes)
     keep = keep or []
 
+    sent = ["_id", "_held", *keep, *(["_text"] if keep_text else [])]
+    names = ["doc_id", "held_out", *keep, *(["text"] if keep_text else []), "lang_pred", "score", "accepted"]
+
     def predict(batches):
         scorer = Scorer(shared.value)
         for b in batches:
             langs, scores = scorer.predict(b.column(b.schema.get_field_index("_text")).to_pylist())
             ok = [x != UNKNOWN and s >= scorer.model.threshold for x, s in zip(langs, scores, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in ["_id", "_held", *keep]), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(ok, pa.bool_())], names=["doc_id", "held_out", *keep, "lang_pred", "score", "accepted"])
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in sent), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(ok, pa.bool_())], names=names)
 
     given = docs.select(F.col("doc_id").alias("_id"), F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False)).alias("_held"), F.col("text").cast("string").alias("_text"), *keep)
-    schema = ", ".join([f"doc_id {kinds['doc_id']}", "held_out boolean", *(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string, score double, accepted boolean"])
+    schema = ", ".join([f"doc_id {kinds['doc_id']}", "held_out boolean", *(f"`{c}` {kinds[c]}" for c in keep), *(["text string"] if keep_text else []), "lang_pred string, score double, accepted boolean"])
     return given.mapInArrow(predict, schema)
 
 
 def accepted(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFrame:
     """The documents whose prediction is accepted, with their own columns."""
-    packed = docs.select("doc_id", "text", "lang", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return identify(packed, train(packed, per_language), keep=["row"]).where("accepted").select("row.*")
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))  # the text goes to Python once
+    packed = docs.select("doc_id", "text", "lang", others.alias("row"))
+    found = identify(packed, train(packed, per_language), keep=["row"], keep_text=True).where("accepted")
+    return found.select(*((F.col("text").cast(docs.schema["text"].dataType) if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
