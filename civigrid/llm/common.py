@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,16 +67,12 @@ def digest(*cols: Column) -> Column:
     return F.unhex(F.md5(F.concat(*marked)))
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``fn`` over Arrow batches; Spark bounds a batch by rows and by bytes (``spark.sql.execution.arrow.max*PerBatch``)."""
-    return df.mapInArrow(fn, schema)
+def portions(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that a worker has few texts as Python objects at a time.
 
-
-def columns_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    """For each batch, the named columns as Python lists."""
+    Spark bounds a batch by rows and by bytes (``spark.sql.execution.arrow.max*PerBatch``).
+    """
     for b in batches:
-        yield tuple(b.column(b.schema.get_field_index(n)).to_pylist() for n in names)
-
-
-def batch(**cols: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        pa.default_memory_pool().release_unused()

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civigrid.llm.common import portions
 
 #: Training documents for each language, at most about this many (hash sample); half as many again calibrate.
 TRAIN_DOCS = 800
@@ -26,7 +27,7 @@ EPOCHS = 6
 GRAMS = (2, 3, 4)
 #: Share of correctly predicted calibration documents that the rejection threshold may lose.
 LOSS = 0.001
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -167,7 +168,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     chosen = usable.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
 
     def features(batches):
-        for b in batches:
+        for b in portions(batches):
             rows = []
             for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = [x for w in words_of(t) for x in subwords(w)]
@@ -198,7 +199,7 @@ def identify(docs: DataFrame, model: Model | None = None, per_language: int = TR
 
     def predict(batches):
         scorer = Scorer(shared.value)
-        for b in batches:
+        for b in portions(batches):
             langs, scores = scorer.predict(b.column(b.schema.get_field_index("_text")).to_pylist())
             ok = [x != UNKNOWN and s >= scorer.model.threshold for x, s in zip(langs, scores, strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in sent), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(ok, pa.bool_())], names=names)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import small, written
+from civigrid.llm.common import portions, small, written
 
 SIZE = 1 << 24
 #: Weight of an order against the lower ones, in counts (Witten-Bell-like: n / (n + K)).
@@ -34,7 +34,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         sums = {}  # a batch's distinct codes at a time, merged when there are many
-        for b in batches:
+        for b in portions(batches):
             for side in (False, True):
                 flags = b.column(1).to_pylist()
                 codes = [grams(t.encode()) for t, f in zip(b.column(0).to_pylist(), flags, strict=True) if f == side and t]
@@ -103,7 +103,7 @@ def lm_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(batches):
         gram, own, two, weight = shared.value
         full = None
-        for b in batches:
+        for b in portions(batches):
             if full is None:
                 codes = np.arange(SIZE, dtype=np.uint32)
                 full = two[codes & 65535] + weight[codes >> 8]

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import small, written
+from civigrid.llm.common import portions, small, written
 from civigrid.llm.components import Forest, components
 
 #: Bands and rows of a band, for a threshold of 0.8 and for 0.85 and more; a link at the threshold is missed with a chance of (1 - t ** rows) ** bands.
@@ -79,7 +79,7 @@ def signed(docs: DataFrame, k: int, bands: int) -> DataFrame:
 
     def sign(batches):
         hashes = Hashes(bands * ROWS)
-        for b in batches:
+        for b in portions(batches):
             sizes, keys, signs = [], [], []
             for t in b.column(1).to_pylist():
                 s = shingles(t or "", k)
@@ -99,7 +99,7 @@ def banded(classes: DataFrame) -> DataFrame:
     """band, bucket (a hash of the band's minima) and key, for each band of each class."""
 
     def deal(batches):
-        for b in batches:
+        for b in portions(batches):
             rows = [np.frombuffer(x, np.uint32).reshape(-1, ROWS) for x in b.column(1).to_pylist()]
             sizes = [len(x) for x in rows]
             buckets = [xxhash.xxh3_64_intdigest(r.tobytes(), seed=i) - (1 << 63) for x in rows for i, r in enumerate(x)]
@@ -118,7 +118,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """key and its set, for the classes in ``wanted`` (key, doc_id): made from the texts of those documents only."""
 
     def make(batches):
-        for b in batches:
+        for b in portions(batches):
             sets = [shingles(t or "", k) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([packed(s) for s in sets], pa.binary())], names=["key", "shingles"])
 
@@ -132,7 +132,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
 
     def check(batches):
-        for b in batches:
+        for b in portions(batches):
             keep = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     limit = least_equal(bands * ROWS, threshold)
 
     def alike(batches):
-        for b in batches:
+        for b in portions(batches):
             x, y = (np.array([np.frombuffer(v, np.uint32) for v in c.to_pylist()]).reshape(b.num_rows, -1) for c in (b.column(2), b.column(3)))
             t = pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"])
             yield t.filter(pa.array((x == y).sum(axis=1) >= limit, pa.bool_()))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import written
+from civigrid.llm.common import portions, written
 from civigrid.llm.wordbpe import encoder
 
 #: Lengths are rounded up to this many tokens where patterns are enumerated; real lengths are used from then on.
@@ -172,7 +172,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int = 0) -> Data
         from pyspark import TaskContext
 
         task, seen, enc, end = TaskContext.get().partitionId(), defaultdict(int), encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in portions(batches):
             ids, rows = b.column(0).to_pylist(), []
             for i, coded in zip(ids, enc.ids_of([x or "" for x in b.column(1).to_pylist()]), strict=True):
                 coded += end
@@ -204,7 +204,7 @@ def pack(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0, gr
     def assign(batches):
         p = made.value
         key = p[:, 0] * (1 << 44) + p[:, 1]
-        for b in batches:
+        for b in portions(batches):
             length, rank = (b.column(b.schema.get_field_index(x)).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("length", "rank"))
             row = p[np.searchsorted(key, length * (1 << 44) + rank, side="right") - 1] if len(length) else p[:0]
             at = rank - row[:, 1]

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import written
+from civigrid.llm.common import portions, written
 from civigrid.llm.components import Forest, components
 
 #: Chance to miss a pair that lies exactly at the threshold; the number of rotations follows from it.
@@ -90,7 +90,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None =
 
     def encode(batches):
         spins: dict[int, np.ndarray] = {}
-        for b in batches:
+        for b in portions(batches):
             codes = []
             for v in b.column(1).to_pylist():
                 x = np.array(v)
@@ -100,7 +100,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.binary())], names=["key", "code"])
 
     def deal(batches):
-        for b in batches:
+        for b in portions(batches):
             keys, places, hashes = [], [], []
             for k, label, d, code in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 width, of = len(code) // count, f"{label}|{d}|".encode()

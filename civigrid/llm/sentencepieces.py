@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civigrid.llm.common import portions
+
 MARK = "▁"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHE_WORDS = 700_000
@@ -190,7 +192,7 @@ def coded(docs: DataFrame, model: str) -> DataFrame:
         c = codec(model)
         c.verify(model)
         fallback = np.array([k == BYTE for *_, k in c.model["pieces"]])
-        for b in batches:
+        for b in portions(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids = c.encode(texts)
             arrays = [np.frombuffer(x, "<u4") for x in ids]

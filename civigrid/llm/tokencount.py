@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civigrid.llm.common import portions
 from civigrid.llm.wordbpe import CACHE_CHUNKS, byte_symbols, has_plain_words, splits_at_space, word_and_tail
 
 _loaded: dict[str, PrefixCounter] = {}
@@ -190,7 +191,7 @@ def token_counts(docs: DataFrame, tokenizer: str, budget: int = 2048) -> DataFra
 
     def count(batches):
         c = counter(tokenizer)
-        for b in batches:
+        for b in portions(batches):
             texts = [x or "" for x in b.column(1).to_pylist()]
             sizes, tokens, fits = [], [], []
             for t in texts:

@@ -16,7 +16,7 @@ assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Chunks that a worker remembers; when they are reached it forgets all and goes on (results are the same).
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 500_000
 _loaded: dict[str, ChunkEncoder] = {}
 
 
