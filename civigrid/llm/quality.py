@@ -18,8 +18,7 @@ from civigrid.llm.urlfilter import LOWER, UPPER
 
 #: Distinct documents of one host that may hold a line before it counts as boilerplate.
 LINE_LIMIT = 50
-#: Only lines of at most this many words are boilerplate. Longer ones that repeat are passages of copied documents, of
-#: which the near-duplicate operators keep one; removing them here would remove every copy.
+#: The library's default: only lines of at most this many words count. The queries count lines of every length.
 LINE_WORDS = 30
 #: Words that must be left once lines are removed, as a number and as a share of the document's words.
 LEFT_WORDS = 20
@@ -77,17 +76,20 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(measure, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), MEASURED]))
 
 
-def judged(docs: DataFrame, *, line_limit: int = LINE_LIMIT, line_words: int = LINE_WORDS) -> DataFrame:
+def judged(docs: DataFrame, *, line_limit: int = LINE_LIMIT, line_words: int | None = LINE_WORDS) -> DataFrame:
     """``docs`` (doc_id, text, source) with key, measures, base_failed, left_words, kept and ``removed`` line keys, without text.
 
     Documents of equal text on a host have one key and count once for a line, so plain copies do not make boilerplate of
-    each other, and they get the same verdict. Null texts count as empty and fail; null sources are one host.
+    each other, and they get the same verdict. Null texts count as empty and fail; null sources are one host. Lines of
+    more than ``line_words`` words are left alone; with None, lines of every length are counted.
     """
     keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")).withColumn("key", content_key())
     rows = written(measured(keyed, ["doc_id", "source", "key"]), "quality")
     # One row for each distinct document and line; hosts are hashed with the line, so one large host is spread.
     once = rows.select("key", "source", F.arrays_zip("line_keys", "line_words").alias("lines")).groupBy("key", "source").agg(F.first("lines").alias("lines"))
-    lines = once.select("key", "source", F.explode("lines").alias("l")).select("key", F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("no_host"), F.col("l.line_keys").alias("line"), F.col("l.line_words").alias("words")).where(F.col("words") <= line_words)
+    lines = once.select("key", "source", F.explode("lines").alias("l")).select("key", F.coalesce("source", F.lit("")).alias("host"), F.col("source").isNull().alias("no_host"), F.col("l.line_keys").alias("line"), F.col("l.line_words").alias("words"))
+    if line_words is not None:
+        lines = lines.where(F.col("words") <= line_words)
     lines = lines.groupBy("host", "no_host", "line", "key").agg(F.sum("words").alias("words"))
     lines = written(lines, "quality-lines")
     often = lines.groupBy("host", "no_host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > line_limit).drop("documents")

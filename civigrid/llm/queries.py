@@ -61,7 +61,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.llm.quality import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents"), line_words=None)
 
 
 def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:

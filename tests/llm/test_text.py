@@ -56,6 +56,20 @@ def test_lines_above_the_limit_go(spark):
     assert quality.clean(docs).columns == docs.columns and quality.quality_rules(documents(spark, [])).count() == 0
 
 
+def test_queries_count_long_lines(spark, tmp_path):
+    import corpus_pipeline
+
+    notice = " ".join(f"m{i}" for i in range(70))
+    rows = [(i, f"{filler(i, 55 if i % 2 else 20)}\n{notice}", "en", "big") for i in range(60)]
+    rows += [(100 + i, f"{filler(100 + i)}\n{notice}", "en", f"h{i}") for i in range(60)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op7_quality_rules(spark, str(tmp_path)).collect()}
+    assert all(got[i].left_words == (55 if i % 2 else 20) and got[i].kept == bool(i % 2) for i in range(60))
+    assert all(got[100 + i].left_words == 130 and got[100 + i].kept for i in range(60))
+    texts = {r.doc_id: r.text for r in corpus_pipeline.quality(spark, documents(spark, rows), str(tmp_path)).collect()}
+    assert texts.keys() == {i for i in got if got[i].kept} and texts[1] == filler(1, 55) and texts[100] == rows[60][1]
+
+
 def test_language(spark):
     import random
 
