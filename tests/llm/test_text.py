@@ -99,6 +99,48 @@ def test_lm_scores(spark):
     assert {r.score for r in flat} == {0.0, None} and lm_scores(documents(spark, []), labels).count() == 0
 
 
+def lm_by_hand(rows, good):
+    """Scores from plain counters over all documents."""
+    import math
+
+    from civigrid.llm.lmscore import BACKOFF, TOKEN
+
+    texts = {i: [*w, None] if w else [] for i, w in ((i, TOKEN.findall(t or "")) for i, t in rows)}
+    counts = [Counter(), Counter()]
+    for i, w in texts.items():
+        for a, b in zip([None, *w], w, strict=False):
+            counts[i in good].update([("word", b), ("context", a), ("pair", a, b)])
+    kinds = len({k for c in counts for k in c if k[0] == "word"})
+    b_sum, t_sum = (sum(n for k, n in c.items() if k[0] == "word") for c in counts)
+
+    def loss(c, scale, a, b):
+        low = (c["word", b] * scale + 1) / (t_sum + kinds)
+        return -math.log2((c["pair", a, b] * scale + BACKOFF * low) / (c["context", a] * scale + BACKOFF))
+
+    return {i: sum(loss(counts[1], 1, a, b) - loss(counts[0], t_sum / b_sum, a, b) for a, b in zip([None, *w], w, strict=False)) / len(w) if w else None for i, w in texts.items()}
+
+
+def test_lm_scores_by_words(spark, monkeypatch):
+    import random
+
+    from civigrid.llm import lmscore
+
+    monkeypatch.setattr(lmscore, "CHUNK_CHARS", 2000, raising=False)
+    rng = random.Random(4)
+    phrases = ["red fox", "old dog", "big cat", "wet hen"]  # targets keep each pair's order, the others swap it: the same words
+
+    def text(swap):
+        return ", ".join(" ".join(p.split()[:: -1 if swap else 1]) for p in rng.choices(phrases, k=12))
+
+    rows = [(i, text(i % 2)) for i in range(120)] + [(200, ""), (201, None), (202, " \n"), (203, "\u6c34\u706b red. fox"), (204, "fox")]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in lm_scores(documents(spark, rows), labels).collect()}
+    assert max(got[i].score for i in range(60, 120, 2)) < min(got[i].score for i in range(61, 120, 2)) - 1
+    wanted = lm_by_hand(rows, {i for i in range(60) if i % 2 == 0})
+    assert got.keys() == wanted.keys() and got[203].n_tokens == 5
+    assert all(got[i].score is None if x is None else abs(got[i].score - x) < 1e-5 for i, x in wanted.items())
+
+
 def licenses_by_hand(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(text))
     found = [(i, label) for label, ws in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(ws)] == list(ws)]
