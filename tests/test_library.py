@@ -239,6 +239,18 @@ def test_boundaries_pass_over_bad_files(spark, tmp_path):
     assert lookup_one(spark, 5, 5, entries, shapes, city="tucson")["district"] is None
 
 
+def test_discovery_takes_every_supplier(spark, tmp_path):
+    keys = [*range(1, 46), 1007]
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    asked = [k for k in keys if k % 5]  # the others get no answers
+    wanted = {(f"{k:07d}", v, f"https://gis.tucsonaz.gov/rest/services/P{k}/FeatureServer/0", k % 3 == 0) for k in asked for v in (0, 2)}
+    got = [(r.place_fips, r.ord, r.url, r.rejected) for r in registered.queries()["q_inspect"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(wanted) and set(got) == wanted
+    total = registered.queries()["q_discovery_summary"](spark, str(tmp_path)).first()
+    assert (total.municipalities, total.candidates, total.inspected, total.failed) == (len(keys), 2 * len(asked), 2 * len(asked), len(keys) - len(asked))
+    assert total.rejected == 2 * sum(k % 3 == 0 for k in asked) and total.valid == 2 * sum(k % 3 > 0 for k in asked) and total.no_canonical == sum(k % 3 == 0 for k in asked)
+
+
 def comparable(df: pd.DataFrame) -> list[str]:
     def plain(x):
         if isinstance(x, (list, tuple)):
