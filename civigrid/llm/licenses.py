@@ -1,6 +1,6 @@
 """License scans by an exact set-similarity join, in DataFrame operations only.
 
-Templates and text blocks (lines) are sets of words, ordered by how many blocks of the whole corpus hold a word, rarest
+Templates and text blocks (lines, and for notices wrapped over lines overlapping windows of words) are sets of words, ordered by how many blocks of the whole corpus hold a word, rarest
 first. A template is contained in a block if at least ``share`` of its words are there. If it is, then one of the
 template's first words (its prefix) is in the block, the block has enough words, and the words after the first common
 one suffice on both sides: prefix, length and position filters, after which the remaining pairs are counted in full.
@@ -48,7 +48,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float
     """For each document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     Base: places where the words of a phrase follow each other. ``labels`` has the base labels and those of templates
-    contained in a line. ``score`` is 1 with a base place, else the largest containment found, else 0. A null text
+    contained in a line or in a window of words across lines. ``score`` is 1 with a base place, else the largest containment found, else 0. A null text
     counts as empty (0 words, null places, empty labels). Repeated rows give repeated rows; other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
@@ -67,9 +67,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float
         return F.transform(F.filter("ends", lambda i: _before(i, ws, at)), lambda i: i - (len(ws) - 1))
 
     places = {label: starts_of(ws) for label, ws in PHRASES.items()}
+    # A wrapped notice is whole in one window: windows are as long as two of the longest template and start every template's length.
+    step = max((len(text.split()) for text in templates.values()), default=1)
     allowed = F.array(*map(F.lit, vocabulary)).cast("array<string>")
-    # A line's words that any template has, once each; lines with fewer than any template needs can hold none (length filter).
-    lines = F.filter(F.transform(F.split("text", "\n", -1), lambda line: F.array_intersect(words(line), allowed)), lambda b: F.size(b) >= least)
+    starts_at = F.when(F.contains("text", F.lit("\n")), F.sequence(F.lit(0), F.size("words"), F.lit(step))).otherwise(F.array().cast("array<int>"))
+    windows = F.transform(starts_at, lambda i: F.array_intersect(F.slice("words", i + 1, 2 * step), allowed))
+    # A block's words that any template has, once each; blocks with fewer than any template needs can hold none (length filter).
+    lines = F.filter(F.concat(F.transform(F.split("text", "\n", -1), lambda line: F.array_intersect(words(line), allowed)), windows), lambda b: F.size(b) >= least)
     rows = given.withColumn("ends", ends).select("doc_id", F.size("words").alias("n_words"), *(p.alias(label) for label, p in places.items()), lines.alias("blocks")).withColumn("row", F.monotonically_increasing_id())
     rows = written(rows, "licenses")
     starts = F.array_sort(F.concat(*PHRASES))

@@ -164,6 +164,18 @@ def test_licenses(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    rows, wanted = [], {}
+    for name, t in licenses.TEMPLATES.items():
+        w = t.split()
+        for before in (0, 1, 17, 30):  # wherever the notice starts, it is whole in a window
+            for cut in range(1, len(w)):
+                wanted[len(rows)] = name
+                rows.append((len(rows), "x " * before + " ".join(w[:cut]) + "\n# " + " ".join(w[cut:]) + " y" * 40))
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
+    assert all(name in got[i].labels.split(",") and got[i].score == 1 for i, name in wanted.items())
+
+
 def url_by_hand(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = lower_ascii(re.match(r"[^/?#]*", rest)[0])
