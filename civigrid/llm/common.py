@@ -17,16 +17,20 @@ _cleaned: set[str] = set()
 
 #: Rows whose number is at most this may be broadcast; beyond it, operators join by shuffle.
 BROADCAST_ROWS = 500_000
+#: A key of more rows than this, and than a HOT_KEYS-th of all rows, is dealt over at most MOST_SALTS tasks.
+HOT_ROWS, HOT_KEYS, MOST_SALTS = 256, 100_000, 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session has no such setting (plain local mode) is a local folder made.
+    Only where a session in local mode has no such setting is a local folder made; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="civigrid-")
@@ -54,6 +58,40 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def by_key(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner", spread_by: str) -> DataFrame:
+    """``rows`` joined with ``single`` (a cheap table with one row for each key; no other column in common).
+
+    If ``single`` is small it is broadcast and nothing is shuffled. Else the join is by shuffle, and the rows of a key
+    that many have are dealt over salts by a hash of ``spread_by``, so no key is one task's work. A null key meets nothing.
+    """
+    n = single.count()
+    if n <= BROADCAST_ROWS and narrow(single):
+        return rows.join(F.broadcast(single), key, how)
+    return spread(rows, single, key, how=how, by=spread_by)
+
+
+def narrow(df: DataFrame) -> bool:
+    """Whether arrays, if there are any, hold so few elements in all that ``BROADCAST_ROWS`` rows stay within some tens of MB."""
+    wide = [F.greatest(F.size(f.name), F.lit(0)).cast("long") for f in df.schema if f.dataType.typeName() == "array"]
+    return not wide or (df.agg(F.sum(sum(wide[1:], wide[0]))).first()[0] or 0) <= 4 * BROADCAST_ROWS
+
+
+def spread(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner", by: str, total: int | None = None) -> DataFrame:
+    """``rows`` joined with ``single`` (one row for each key) by shuffle, frequent keys over several tasks.
+
+    Keys of more than ``total / HOT_KEYS`` rows (at least HOT_ROWS) are counted first; there are at most HOT_KEYS of them,
+    and only these keys with their numbers of salts are broadcast. Rows of such a key are dealt over its salts by a hash
+    of ``by``, and its one row in ``single`` stands there once for each salt. Null keys are set aside by their hash too.
+    """
+    total = rows.count() if total is None else total
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    hot = F.broadcast(rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n")).where(F.col("n") > limit).select("_hot", F.least(F.lit(MOST_SALTS), F.ceil(F.col("n") / limit)).cast("int").alias("_salts")))
+    salts = F.when(F.col(key).isNull(), F.lit(MOST_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.pmod(F.xxhash64(F.col(by)), salts).cast("int")).drop("_hot", "_salts")
+    right = single.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_hot", "_salts")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     """Deletes an application's intermediate tables when its driver ends."""
     with contextlib.suppress(Exception):  # the JVM may have gone first

@@ -61,7 +61,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.llm.quality import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents"), line_words=None)
+    return quality_rules(table(spark, sf_dir, "documents"))
 
 
 def op8_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,17 +150,17 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 
 
 def sql_quality() -> str:
-    from civigrid.llm.quality import LEFT_SHARE, LEFT_WORDS, LINE_LIMIT, LINE_WORDS
+    from civigrid.llm.quality import LEFT_SHARE, LEFT_WORDS, LINE_FLOOR, LINE_SHARE
 
-    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 'n') AS host, coalesce(text, '') AS t, text IS NULL AS none FROM documents),
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, 'n') AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '{WORD}') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM d),
 g AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2))),
 c AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM g, range(3) x(k) WHERE n > 1 GROUP BY r),
-k AS (SELECT min(r) AS key, host, t, none FROM d GROUP BY host, t, none),
-l AS (SELECT key, host, line, sum(n) AS words FROM (SELECT key, k.host, array_to_string(x, ' ') AS line, len(x) AS n FROM (SELECT k.key, k.host, regexp_extract_all({LOWER.format("unnest(string_split(k.t, chr(10)))")}, '{WORD}') AS x FROM k) k WHERE len(x) BETWEEN 1 AND {LINE_WORDS}) GROUP BY ALL),
-often AS (SELECT host, line FROM l GROUP BY ALL HAVING count(*) > {LINE_LIMIT}),
-gone AS (SELECT key, sum(words) AS gone FROM l JOIN often USING (host, line) GROUP BY key),
-m AS (SELECT w.*, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) - coalesce(gone, 0) AS left_words FROM w LEFT JOIN c USING (r) JOIN k ON k.host = w.host AND k.t = w.t AND k.none = w.none LEFT JOIN gone USING (key)),
+l AS (SELECT r, doc_id, host, array_to_string(x, ' ') AS line, len(x) AS n FROM (SELECT r, doc_id, host, regexp_extract_all({LOWER.format("unnest(string_split(t, chr(10)))")}, '{WORD}') AS x FROM d) WHERE len(x) > 0),
+h AS (SELECT host, count(DISTINCT doc_id) AS n FROM d GROUP BY host),
+often AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT doc_id) AS n FROM l GROUP BY host, line) x JOIN h USING (host) WHERE x.n > {LINE_FLOOR} AND x.n > h.n * {LINE_SHARE}::DOUBLE),
+gone AS (SELECT r, sum(n) AS gone FROM l JOIN often USING (host, line) GROUP BY r),
+m AS (SELECT w.*, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) - coalesce(gone, 0) AS left_words FROM w LEFT JOIN c USING (r) LEFT JOIN gone USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, base_failed, left_words::BIGINT AS left_words, NOT base_failed AND left_words >= {LEFT_WORDS} AND left_words >= {LEFT_SHARE} * n_words AS kept FROM b"""

@@ -37,37 +37,60 @@ def test_lines_above_the_limit_go(spark):
     rows = [(i, f"{filler(i)}\n{menu if i % 2 else menu.lower()}\n{long}", "en", "big") for i in range(12)]
     rows += [(20 + i, f"{filler(20 + i)}\n{menu}", "en", f"h{i}") for i in range(12)]  # as often, but on other hosts
     rows += [(40, " ".join(["Home about contact"] * 1) + "\n" + filler(40, 5), "en", "big")]
-    rows += [(50 + i, "\n".join(f"copied line {k} of text" for k in range(20)), "en", "big") for i in range(12)]  # plain copies are one document
+    rows += [(50 + i, "\n".join(f"copied line {k} of text" for k in range(20)), "en", "big") for i in range(12)]  # plain copies are documents too
+    rows += [(90, f"{filler(90)}\nonly here", "en", "big")] * 8  # repeated rows are one document
     rows += [(70, "Home about contact\n" * 30 + "x", "en", "big"), (71, None, "en", "big"), (72, "", None, None), (5, rows[5][1], "en", "big")]
     docs = documents(spark, rows)
-    got = [r for r in quality.quality_rules(docs, line_limit=5).collect()]
+    got = [r for r in quality.quality_rules(docs, floor=5, share=0.0).collect()]
     by = {r.doc_id: r for r in got}
     assert len(got) == len(rows)
-    assert all(by[i].kept and by[i].left_words == 100 for i in range(12)) and all(by[20 + i].left_words == 63 for i in range(12))
-    assert all(by[50 + i].left_words == by[50 + i].n_words for i in range(12))
+    assert all(by[i].kept and by[i].left_words == 60 for i in range(12)) and all(by[20 + i].left_words == 63 for i in range(12))
+    assert all(by[50 + i].left_words == 0 and not by[50 + i].kept for i in range(12)) and by[90].left_words == 62
     assert by[70].left_words == 1 and not by[70].kept and by[71].base_failed and not by[72].kept
     for r in got:
         text = next(t for i, t, *_ in rows if i == r.doc_id)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == quality_by_hand(text)
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
-    kept = {r.doc_id: r for r in quality.clean(docs, line_limit=5).collect()}
+    kept = {r.doc_id: r for r in quality.clean(docs, floor=5, share=0.0).collect()}
     assert kept.keys() == {r.doc_id for r in got if r.kept}
-    assert kept[3].text == f"{filler(3)}\n{long}" and kept[3].n_chars == len(kept[3].text) and kept[20].text == rows[12][1]
+    assert kept[3].text == filler(3) and kept[3].n_chars == len(kept[3].text) and kept[20].text == rows[12][1]
     assert quality.clean(docs).columns == docs.columns and quality.quality_rules(documents(spark, [])).count() == 0
 
 
-def test_queries_count_long_lines(spark, tmp_path):
+@pytest.mark.parametrize("words", [31, 500])
+def test_lines_of_every_length_count(spark, words, tmp_path):
     import corpus_pipeline
 
-    notice = " ".join(f"m{i}" for i in range(70))
-    rows = [(i, f"{filler(i, 55 if i % 2 else 20)}\n{notice}", "en", "big") for i in range(60)]
-    rows += [(100 + i, f"{filler(100 + i)}\n{notice}", "en", f"h{i}") for i in range(60)]
+    notice = " ".join(f"m{i}" for i in range(words))
+    rows = [(i, f"{filler(i)}\n{notice}", "en", "big") for i in range(80)]
+    rows += [(100 + i, f"{filler(100 + i)}\n{notice}", "en", f"h{i}") for i in range(60)]  # one on each host
+    rows += [(200 + i, f"{filler(200 + i)}\n{notice if i < 11 else 'other'}", "en", "even") for i in range(550)]  # 2 of 100 are not more than the share
     documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r for r in queries.op7_quality_rules(spark, str(tmp_path)).collect()}
-    assert all(got[i].left_words == (55 if i % 2 else 20) and got[i].kept == bool(i % 2) for i in range(60))
-    assert all(got[100 + i].left_words == 130 and got[100 + i].kept for i in range(60))
+    assert all(got[i].left_words == 60 and got[i].kept == (words < 140) for i in range(80))
+    assert all(got[100 + i].left_words == 60 + words for i in range(60))
+    assert all(got[200 + i].left_words == (60 + words if i < 11 else 60) for i in range(550))
     texts = {r.doc_id: r.text for r in corpus_pipeline.quality(spark, documents(spark, rows), str(tmp_path)).collect()}
-    assert texts.keys() == {i for i in got if got[i].kept} and texts[1] == filler(1, 55) and texts[100] == rows[60][1]
+    assert texts.keys() == {i for i in got if got[i].kept} and texts.get(1) == (filler(1) if words < 140 else None) and texts[100] == rows[80][1]
+
+
+def test_equal_documents_count_each(spark):
+    rows = [(i, f"{filler(1)}\nCopyright of the site", "en", "big") for i in range(80)] + [(100 + i, f"{filler(100 + i)}\ncopyright  of THE site", "en", "big") for i in range(3)]
+    got = {r.doc_id: r for r in quality.quality_rules(documents(spark, rows)).collect()}
+    assert all(got[i].left_words == 0 and not got[i].kept for i in range(80)) and all(got[100 + i].left_words == 60 and got[100 + i].kept for i in range(3))
+
+
+def test_by_key_spreads_frequent_keys(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from civigrid.llm import common
+
+    rows = spark.range(3000).select(F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.col("id").cast("string")).alias("k"))
+    single = spark.createDataFrame([("hot", 1), ("5", 2), ("none", 3)], "k string, v int")
+    for how in ("inner", "left"):
+        wanted = sorted(map(repr, rows.join(single, "k", how).select("n", "v").collect()))
+        assert sorted(map(repr, common.spread(rows, single, "k", how=how, by="n").select("n", "v").collect())) == wanted
+        assert sorted(map(repr, common.by_key(rows, single, "k", how=how, spread_by="n").select("n", "v").collect())) == wanted
 
 
 def test_language(spark):
@@ -76,7 +99,7 @@ def test_language(spark):
     rng = random.Random(1)
     sounds = {"en": ["the", "ing", "th", "er"], "de": ["sch", "ung", "der", "ei"], "fr": ["eau", "que", "oi", "le"]}
     rows = [(i, " ".join("".join(rng.choice(sounds[lang]) for _ in range(3)) for _ in range(40)), lang) for i in range(600) for lang in [rng.choice(list(sounds))]]
-    odd = [(1000, None, "en"), (1001, "", "en"), (1002, "123 !! 4", "fr"), (None, rows[0][1], "en"), (1003, rows[1][1], None), (1004, rows[1][1] * 300, None)]
+    odd = [(1000, None, "en"), (1001, "", "en"), (1002, "123 !! 4 \u00bd \u00b2 \u2167 _", "fr"), (None, rows[0][1], "en"), (1003, rows[1][1], None), (1004, rows[1][1] * 300, None)]
     got = {r.doc_id: r for r in langid.identify(documents(spark, rows + odd), per_language=100).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 and not got[i].accepted for i in (1000, 1001, 1002))
     held = [got[i] for i, *_ in rows if got[i].held_out]
