@@ -2,7 +2,7 @@
 
 A document's vector is the mean of the embeddings of its words' subwords (the word itself and its letter n-grams,
 hashed to buckets); logits are linear in that mean, so a word's part of the logits is one small row that a worker
-computes once. Probabilities are calibrated with one temperature on a fold that training does not see, and documents
+computes once. The model is fitted in one task, on a bounded sample, and only the model reaches the driver. Probabilities are calibrated with one temperature on a fold that training does not see, and documents
 whose calibrated score is below a threshold set on that fold are rejected.
 """
 
@@ -17,18 +17,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import portions
+from civigrid.llm.common import portions, written
 
 #: Training documents for each language, at most about this many (hash sample); half as many again calibrate.
 TRAIN_DOCS = 800
+#: Languages that can be learned: those with the most documents.
+LANGUAGES = 300
 BUCKETS = 1 << 15  # at most 2^16
 DIM = 16
 EPOCHS = 6
 GRAMS = (2, 3, 4)
 #: Share of correctly predicted calibration documents that the rejection threshold may lose.
 LOSS = 0.001
-CACHE_WORDS = 400_000
-WORD = re.compile(r"[^\W\d_]+")
+CACHE_WORDS = 300_000
+
+
+def letters() -> str:
+    """A pattern for one letter (Unicode category L): a word character but for digits, other number signs and the underscore."""
+    others = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # there are none beyond
+    return rf"[^\W\d_{others}]"
+
+
+WORD = re.compile(f"{letters()}+")
 UNKNOWN = "und"
 
 
@@ -46,7 +56,7 @@ def words_of(text: str) -> list[str]:
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # of each bucket, its part of the logits
+    table: np.ndarray  # of each bucket, its part of the logits (float32)
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
@@ -130,7 +140,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model:
             w -= rate * np.outer(x, p)
             b -= rate * p
             e[i] -= 4 * rate * c[:, None] * back
-    model = Model(languages, e @ w, b)
+    model = Model(languages, (e @ w).astype(np.float32), b)
     held = held or data
     if held:
         means = np.array([c @ model.table[i] for i, c, _ in held])
@@ -153,41 +163,60 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3))
 
 
+FEATURES = "ids binary, shares binary, lang string"
+
+
+def features(batches):
+    """Of (text, lang): the text's bucket ids and their shares; texts without a letter are left out."""
+    for b in portions(batches):
+        rows = []
+        for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            ids = [x for w in words_of(t) for x in subwords(w)]
+            if ids:
+                i, c = np.unique(np.array(ids, np.uint16), return_counts=True)
+                rows.append((i.tobytes(), (c / c.sum()).astype(np.float32).tobytes(), lang))
+        cols = list(zip(*rows, strict=True)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.string())], names=["ids", "shares", "lang"])
+
+
+def fitted(batches):
+    """The model, in one row, of all rows of ``features``; the order of the rows has no part in it."""
+    found = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)]
+    if found:
+        found.sort(key=lambda x: (zlib.crc32(x[0]), x[1], x[2]))
+        m = fit([(np.frombuffer(i, np.uint16), np.frombuffer(c, np.float32), lang) for i, c, lang in found])
+        yield pa.RecordBatch.from_pylist([{"languages": m.languages, "table": m.table.tobytes(), "bias": m.bias.tobytes(), "temperature": m.temperature, "threshold": m.threshold}])
+
+
 def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     """Learn from text and non-null lang of rows whose fold is not 1 (a null id is in no fold and not learned from).
 
-    At most about 1.5 times ``per_language`` documents of a language are read, chosen by a hash of the id: the
-    languages' counts come first, then the hash bound for each. The driver gets their bucket counts, not their texts.
+    At most about 1.5 times ``per_language`` documents of each of the ``LANGUAGES`` most frequent languages are read,
+    chosen by a hash of the id: the languages' counts come first, then the hash bound for each. One task fits the model
+    on their bucket counts, from a written table; the driver gets the model.
     """
     usable = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string"), F.col("lang").cast("string"), fold(F.col("doc_id")).alias("fold")).where("fold <> 1 AND lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
+    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    none = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     if not counts:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
+        return none
     want = 3 * per_language // 2
     share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, want / n)))))
     chosen = usable.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
-
-    def features(batches):
-        for b in portions(batches):
-            rows = []
-            for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = [x for w in words_of(t) for x in subwords(w)]
-                if ids:
-                    i, c = np.unique(np.array(ids, np.uint16), return_counts=True)
-                    rows.append((i.tobytes(), (c / c.sum()).astype(np.float32).tobytes(), lang))
-            cols = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.string())], names=["ids", "shares", "lang"])
-
-    found = chosen.select("text", "lang").mapInArrow(features, "ids binary, shares binary, lang string").limit(2 * want * len(counts)).toArrow()
-    rows = sorted(zip(*(found.column(c).to_pylist() for c in ("ids", "shares", "lang")), strict=True), key=lambda x: (zlib.crc32(x[0]), x[1], x[2]))
-    return fit([(np.frombuffer(i, np.uint16), np.frombuffer(c, np.float32), lang) for i, c, lang in rows])
+    sample = written(chosen.select("text", "lang").mapInArrow(features, FEATURES), "language-sample")
+    rows = sample.coalesce(1).mapInArrow(fitted, "languages array<string>, table binary, bias binary, temperature double, threshold double").collect()
+    if not rows:
+        return none
+    r = rows[0]
+    return Model(list(r.languages), np.frombuffer(bytes(r.table), np.float32).reshape(BUCKETS, -1), np.frombuffer(bytes(r.bias)), r.temperature, r.threshold)
 
 
 def identify(docs: DataFrame, model: Model | None = None, per_language: int = TRAIN_DOCS, keep: list[str] | None = None, keep_text: bool = False) -> DataFrame:
     """A row for each document: doc_id, held_out, the columns ``keep`` and on demand the text, lang_pred, score, accepted.
 
-    A text without a letter, null or empty, gets ``und``, score 0 and is not accepted; so does every text if nothing
-    can be learned. A null id counts as not held out. Ties go to the first language by name. Other columns are ignored.
+    A text without a letter (Unicode category L), null or empty, gets ``und``, score 0 and is not accepted; so does every
+    text if nothing can be learned. A null id counts as not held out. Ties go to the first language by name. Very long
+    texts are read to the end, repeated rows give repeated rows, an empty table gives none; other columns are ignored.
     """
     model = train(docs, per_language) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS times the languages, whatever the input
