@@ -3,7 +3,9 @@
 For a word of symbols c1..cn the encoding of the open prefix c1..ci is the encoding of a shorter prefix followed by one
 token that ends at i, and there is exactly one such token that the two merge sequences leave untouched at their border.
 So one table entry for each prefix (its last token and its count) is filled from earlier entries, and the count of the
-prefix taken as a whole word needs one more step with tokens that carry the word end. Nothing is encoded twice.
+prefix taken as a whole word needs one more step with tokens that carry the word end. Nothing is encoded twice: a text's
+counts are kept at the end of every chunk, and inside the chunk where a budget is passed the table of the word there has
+the count at every character, so truncation and budgets are answered by looking up.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ import bisect
 import itertools
 import json
 import re
+import unicodedata
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 from civigrid.llm.common import portions
 from civigrid.llm.wordbpe import CACHE_CHUNKS, byte_symbols, has_plain_words, splits_at_space, word_and_tail
 
+ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\s]+")
 _loaded: dict[str, PrefixCounter] = {}
 
 
@@ -37,6 +42,7 @@ class PrefixCounter:
         self.pre = library.pre_tokenizer.pre_tokenize_str
         self.plain = has_plain_words(library, config)
         self.symbols = byte_symbols(library)
+        self.plain_ascii = self.plain and [w for w, _ in self.pre(self.normal("Ab12--3c"))][:5] == ["ab", "1", "2", "--", "3"]
         self.special = re.compile("|".join(re.escape(t["content"]) for t in config.get("added_tokens", [])) or r"(?!)")
         self.end = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -67,6 +73,8 @@ class PrefixCounter:
                 node[""] = i
         if not self.end:
             self.open_trie = self.closed_trie
+        #: Of the last so many prefixes at least one is a later prefix's but for its last token, so the least of them bounds all later counts.
+        self.longest = max((len(t) for t in ids), default=1)
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[bytes, int] = {}
         self.tails: dict[str, int] = {}
@@ -133,9 +141,17 @@ class PrefixCounter:
             return n + (self.tail(tail) if tail else 0)
         total, at = 0, 0
         for m in self.special.finditer(text):
-            total += 1 + sum(self.word(w) for w, _ in self.pre(self.normal(text[at : m.start()])))
+            total += 1 + self.plain_part(text[at : m.start()])
             at = m.end()
-        return total + sum(self.word(w) for w, _ in self.pre(self.normal(text[at:])))
+        return total + self.plain_part(text[at:])
+
+    def plain_part(self, text: str) -> int:
+        """Tokens of a text without strings of special tokens; a pre-token that returns is counted once."""
+        if self.plain_ascii and text.isascii() and text.isprintable() and "'" not in text:  # the same words without their places
+            words = ASCII_WORDS.findall(text.lower())
+        else:
+            words = [w for w, _ in self.pre(self.normal(text))]
+        return sum(n * self.word(w) for w, n in Counter(words).items())
 
     def tail(self, tail: str) -> int:
         n = self.tails.get(tail)
@@ -162,18 +178,83 @@ class PrefixCounter:
         return chunks, list(itertools.accumulate(got))
 
     def fitting(self, text: str, chunks: list[bytes], counts: list[int], budget: int) -> int:
-        """Characters of the longest prefix of ``text`` that has at most ``budget`` tokens and ends in the chunk where the budget is first passed."""
+        """Characters of the longest prefix of ``text`` that has at most ``budget`` tokens, by the places where it may be cut.
+
+        These are all places but those inside a special token and between characters that normalising joins.
+        """
         if not counts or counts[-1] <= budget:
             return len(text)
         k = bisect.bisect_right(counts, budget)
         at = -1
         for m in itertools.islice(re.finditer(r"[^\x20\x09-\x0D]+", text), k, k + 1):
             at = m.start()
-        before, own = (counts[k - 1] if k else 0), chunks[k].decode()
-        if len(own) > 4096 and not self.special.search(own) and len(words := self.pre(self.normal(own))) == 1 and len(words[0][0]) == len(own):
-            inner = self.word_prefixes(words[0][0])  # one long word of one-byte characters: its own table has the counts
-            return at + max(i for i, n in enumerate(inner) if before + n <= budget)
-        return at + max(i for i in range(len(own)) if i == 0 or before + self.chunk(own[:i]) <= budget)
+        return at + self.within(chunks[k].decode(), budget - (counts[k - 1] if k else 0))
+
+    def within(self, own: str, budget: int) -> int:
+        """The same for one chunk; a long one is read only as far as the budget goes."""
+        size = 64 + 8 * max(0, budget)
+        while True:
+            size = min(size, len(own))
+            for m in self.special.finditer(own, max(0, size - 256), min(len(own), size + 256)):
+                if m.start() < size < m.end():
+                    size = m.end()
+            while size < len(own) and joined(own, size):
+                size += 1
+            best, settled = self._cut(own[:size], budget)
+            if settled or size == len(own):
+                return best
+            size *= 4
+
+    def by_character(self, w: str, part: str) -> list[int]:
+        """Tokens of each prefix of a pre-token, which has the symbols ``w`` and the characters ``part``, from the empty one on."""
+        if part[0] == "'" and len(part) > 1 and part[1].isalpha():  # a contraction: its prefixes are divided otherwise
+            return [self.chunk(part[:x]) for x in range(len(part) + 1)]
+        table = self.word_prefixes(w)
+        sizes = (1 if len(w) == len(part) else len(c.encode()) for c in part)
+        return [table[x] for x in itertools.accumulate(sizes, initial=0)]
+
+    def _cut(self, text: str, budget: int) -> tuple[int, bool]:
+        """The last place of ``text`` where its prefix keeps the budget, and whether no text after it can change that."""
+        best = total = at = 0
+        for m in itertools.chain(self.special.finditer(text), [None]):
+            own = text[at : m.start() if m else len(text)]
+            normal = self.normal(own)
+            ends = places(own, normal, self.normal)
+            words = self.pre(normal)
+            for i, (w, (start, end)) in enumerate(words):
+                n = self.word(w)
+                if total + n <= budget and end in ends:
+                    total += n
+                    best = at + ends[end]
+                    continue
+                inside = self.by_character(w, normal[start:end])
+                best = max([best, *(at + ends[start + x] for x, y in enumerate(inside) if total + y <= budget and start + x in ends)])
+                total += n
+                if total > budget:
+                    return best, m is not None or i + 1 < len(words) or min(inside[-self.longest :]) + total - n > budget
+            if m is not None:
+                total += 1
+                if total > budget:
+                    return best, True
+                best = at = m.end()
+        return best, False
+
+
+def joined(text: str, i: int) -> bool:
+    """Whether normalising may join character ``i`` with the one before it: marks, vowels and finals of Hangul, white space after white space."""
+    c = text[i]
+    return unicodedata.category(c)[0] == "M" or "\u1160" <= c <= "\u11ff" or c.isspace() and text[i - 1].isspace()
+
+
+def places(text: str, normal: str, normalise) -> dict[int, int]:
+    """For each place in the normal form where the text may be cut, the place in the text."""
+    if text.isascii() and len(text) == len(normal):
+        return dict(zip(range(len(text) + 1), range(len(text) + 1), strict=True))
+    starts = [i for i in range(len(text)) if i == 0 or not joined(text, i)]
+    parts = [normalise(text[i:j]) for i, j in itertools.pairwise([*starts, len(text)])]
+    if "".join(parts) != normal:
+        return {0: 0, len(normal): len(text)}
+    return dict(zip(itertools.accumulate(map(len, parts), initial=0), [*starts, len(text)], strict=True))
 
 
 def counter(path: str) -> PrefixCounter:
@@ -186,7 +267,8 @@ def token_counts(docs: DataFrame, tokenizer: str, budget: int = 2048) -> DataFra
     """For each row: doc_id, n_bytes, n_tokens, over_limit (more than ``budget``) and fit_chars, the characters that fit.
 
     ``fit_chars`` is where the text can be cut so that the cut text has at most ``budget`` tokens; it is found in the
-    stored counts. A null or empty text has 0 of each. Repeated rows give repeated rows; other columns are ignored.
+    stored counts (of several such places the last). A null or empty text has 0 of each; a very long text, with spaces or
+    without, costs in proportion to its length. Repeated rows give repeated rows, an empty table none; other columns are ignored.
     """
 
     def count(batches):

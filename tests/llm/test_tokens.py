@@ -10,7 +10,7 @@ from tokenizers import Tokenizer  # noqa: E402
 
 from civigrid.llm.packing import nnls, pack, patterns, plan  # noqa: E402
 from civigrid.llm.sentencepieces import PieceCodec, coded  # noqa: E402
-from civigrid.llm.tokencount import PrefixCounter, token_counts  # noqa: E402
+from civigrid.llm.tokencount import PrefixCounter, joined, token_counts  # noqa: E402
 from civigrid.llm.wordbpe import ChunkEncoder  # noqa: E402
 from tests.llm.helpers import documents  # noqa: E402
 
@@ -40,11 +40,25 @@ def test_counts_equal_the_library_at_every_prefix():
         assert (counts[-1] if counts else 0) == len(lib.encode(t, add_special_tokens=False).ids), t
         for budget in (0, 1, 4, 9):
             cut = c.fitting(t, chunks, counts, budget)
-            assert len(lib.encode(t[:cut], add_special_tokens=False).ids) <= budget
+            allowed = [i for i in range(len(t) + 1) if i in (0, len(t), cut) or not (joined(t, i) or any(m.start() < i < m.end() for m in c.special.finditer(t)))]
+            assert cut == max(i for i in allowed if i == 0 or len(lib.encode(t[:i], add_special_tokens=False).ids) <= budget), (t, budget)
     for w in ("internationalization", "thonst", "aaaaaaaaaaaaa"):
         assert c.word_prefixes(w) == [len(lib.encode(w[:i], add_special_tokens=False).ids) for i in range(len(w) + 1)]
 
 
+@pytest.mark.parametrize("unit", ["a1,", "a", "don't", "\u00e9", "\u00e9,\u00df"])
+def test_long_texts_without_spaces(unit):
+    import time
+
+    lib, c, t = Tokenizer.from_file(BPE), PrefixCounter(BPE), unit * (1_000_000 // len(unit))
+    chunks, counts = c.cumulative(t)
+    assert counts[-1] == len(lib.encode(t, add_special_tokens=False).ids)
+    began = time.process_time()
+    cut = c.fitting(t, chunks, counts, 500)
+    assert time.process_time() - began < 1
+    assert len(lib.encode(t[:cut], add_special_tokens=False).ids) <= 500 < len(lib.encode(t[: cut + 40], add_special_tokens=False).ids)
+
+
 def test_token_counts_table(spark):
     rows = [(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (None, "word"), (5, "word " * 3000), (6, "x" * 20000)]
     got = token_counts(documents(spark, rows), BPE, 2048).collect()
