@@ -18,7 +18,7 @@ from civigrid.llm.queries import vocabulary
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines above the host's limit go; so do documents that fail the base rules or are depleted."""
-    return clean(docs, line_words=None)
+    return clean(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
