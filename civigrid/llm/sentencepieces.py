@@ -2,7 +2,8 @@
 
 The model protobuf is read field by field, and normaliser, white-space marker, scores or merges, and byte fallback are
 rebuilt. A unigram model keeps its scores; in a byte-pair model the score orders the merges. Where no piece holds the
-marker after another character, words are independent and each worker asks the library once for a repeated word.
+marker after another character, words are independent: each worker asks the library once for a repeated word, for many
+new words in one batch of joined strings, and compares their ids with those of the sentencepiece library.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ from civigrid.llm.common import portions
 
 MARK = "▁"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
+#: Characters of a string of new words, and one in how many documents is also compared as a whole where words are independent.
+JOINED = 20_000
+WHOLE = 32
 _loaded: dict[str, PieceCodec] = {}
 
 
@@ -112,8 +116,12 @@ class PieceCodec:
         # Pieces that cross into a further word would tie words together; runs of marks belong to the word they precede.
         self.by_word = self.plain and not m["squeeze"] and all(MARK not in p.lstrip(MARK) and (len(p) == len(p.lstrip(MARK)) or len(p) - len(p.lstrip(MARK)) == 1 or not p.strip(MARK)) for p, _, k in pieces if k in (NORMAL, USER))
         self.raw = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(MARK, " ").encode() for p, _, k in pieces]
-        self.known: dict[str, bytes] = {}
-        self.differing: set[str] = set()
+        #: Whether a piece opens a word; in joined words every piece that does is a word's first.
+        self.opens = np.array([p.startswith(MARK) for p, *_ in pieces])
+        self.by_word = self.by_word and MARK in vocab
+        self.known: dict[bytes, bytes] = {}  # by the word without its one marker in front
+        self.odd: dict[str, bytes] = {}  # other runs: several markers, markers alone, a start without one
+        self.differing: set = set()
         self.other = None
         self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -133,37 +141,91 @@ class PieceCodec:
 
         self.other = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def agrees(self, text: str, ids: bytes) -> bool:
-        """Whether the sentencepiece library gives these ids; words were compared as they were learned."""
-        if not self.by_word:
+    def agrees(self, text: str, ids: bytes, whole: bool = False) -> bool:
+        """Whether the sentencepiece library gives these ids.
+
+        Where words are independent, each was compared when it was learned, and only ``whole`` texts are encoded again.
+        """
+        if whole or not self.by_word:
             return self.other.encode(text) == np.frombuffer(ids, "<u4").tolist()
-        return not self.differing or self.differing.isdisjoint(self.words.findall(self.given(text).replace(" ", MARK)))
+        return not self.differing or self.differing.isdisjoint(self.divided(text))
 
-    def _asked(self, words: list[str]) -> list[bytes]:
+    def divided(self, text: str) -> list:
+        """The words of a text: bytes of a word that one marker precedes, and other runs as strings with their markers."""
+        raw = text.encode()
+        if self.model["prefix"] and raw and b"  " not in raw and raw[:1] != b" " and raw[-1:] != b" " and MARK.encode() not in raw:
+            return raw.split(b" ")
+        return [w[1:].encode() if w[0] == MARK and len(w) > 1 and w[1] != MARK else w for w in self.words.findall(self.given(text).replace(" ", MARK))]
+
+    def _alone(self, words: list[str]) -> list[list[int]]:
+        """Ids of words, each asked for by itself; those that the sentencepiece library can be given alone are compared."""
         ids = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
         if self.other is not None:
-            own = [w for w in words if w[0] == MARK or not self.model["prefix"]]
-            theirs = dict(zip(own, self.other.encode([w.replace(MARK, " ")[self.model["prefix"] :] for w in own], num_threads=1), strict=True))
-            self.differing.update(w for w, x in zip(words, ids, strict=True) if theirs.get(w, x) != x and w != MARK)
-        return [np.array(x, "<u4").tobytes() for x in ids]
+            for w, x in zip(words, ids, strict=True):
+                first = w[0] == MARK and self.model["prefix"]
+                if (first or not self.model["prefix"]) and w != MARK and self.other.encode(w.replace(MARK, " ")[first:]) != x:
+                    self.differing.add(w[1:].encode() if first and w[1] != MARK else w)
+        return ids
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ask both libraries for new words, many of them joined in each string; the pieces that open words divide the ids again."""
+        strings, at = [], 0
+        while at < len(new):
+            end, size = at, 0
+            while end < len(new) and (size < JOINED or end == at):
+                size += len(new[end])
+                end += 1
+            strings.append(new[at:end])
+            at = end
+        texts = [MARK + MARK.join(w.decode() for w in part) for part in strings]
+        own = [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        theirs = [None] * len(texts)
+        if self.other is not None:
+            theirs = self.other.encode([t.replace(MARK, " ")[self.model["prefix"] :] for t in texts], num_threads=1)
+        for part, ids, check in zip(strings, own, theirs, strict=True):
+            first = np.flatnonzero(self.opens[ids])
+            same = check is None or (len(check) == len(ids) and bool((ids == np.array(check, "<u4")).all()))
+            if not same or len(first) != len(part):
+                self.known.update(zip(part, (np.array(x, "<u4").tobytes() for x in self._alone([MARK + w.decode() for w in part])), strict=True))
+                continue
+            raw, ends = ids.tobytes(), (4 * np.append(first[1:], len(ids))).tolist()
+            begin = 0
+            for w, end in zip(part, ends, strict=True):
+                self.known[w] = raw[begin:end]
+                begin = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The same ids as little-endian unsigned 32-bit bytes, by way of the remembered words where words are independent."""
         if not self.by_word:
             return [np.array(x, "<u4").tobytes() for x in self.encode_batch(texts)]
-        out, known = [], self.known
+        held, size, out = [], 0, []
         for t in texts:
-            words = self.words.findall(self.given(t).replace(" ", MARK))
+            held.append(self.divided(t))
+            size += len(t)
+            if size > 1 << 20:
+                self._finish(held, out)
+                held, size = [], 0
+        self._finish(held, out)
+        return out
+
+    def _finish(self, held: list[list], out: list[bytes]) -> None:
+        known, odd = self.known, self.odd
+        distinct = set().union(*held)
+        new = distinct.difference(known)
+        runs = [w for w in new if isinstance(w, str)]
+        if len(known) + len(new) > CACHE_WORDS:
+            known.clear()
+            new = distinct
+        self._learn([w for w in new if isinstance(w, bytes)])
+        if len(odd) > 10_000:
+            odd.clear()
+        runs = [w for w in runs if w not in odd]
+        odd.update(zip(runs, (np.array(x, "<u4").tobytes() for x in self._alone(runs)), strict=True))
+        for words in held:
             got = list(map(known.get, words))
             if None in got:
-                new = list({w for w, g in zip(words, got, strict=True) if g is None})
-                if len(known) + len(new) > CACHE_WORDS:
-                    known.clear()
-                    new = list(set(words))
-                known.update(zip(new, self._asked(new), strict=True))
-                got = list(map(known.__getitem__, words))
+                got = [odd[w] if g is None else g for w, g in zip(words, got, strict=True)]
             out.append(b"".join(got))
-        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces, bytes put together (a broken sequence becomes U+FFFD), without the space in front."""
@@ -184,8 +246,9 @@ def coded(docs: DataFrame, model: str) -> DataFrame:
     """For each document: doc_id, n_tokens, ids_crc32, n_bytes_fallback, round_trip, parity.
 
     ``round_trip``: decoding gives the text back. ``parity``: the ids equal those of the sentencepiece library; where
-    words are independent they are compared word by word, each when a worker first meets it. A null text counts as empty; an empty text has no tokens.
-    Repeated rows give repeated rows; other columns are ignored.
+    words are independent they are compared word by word, each when a worker first meets it, and one document in
+    ``WHOLE`` (by its ids' checksum) is compared as a whole besides. A null text counts as empty; an empty text has no
+    tokens; a very long text is handled like any other. Repeated rows give repeated rows; other columns are ignored.
     """
 
     def run(batches):
@@ -196,9 +259,10 @@ def coded(docs: DataFrame, model: str) -> DataFrame:
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids = c.encode(texts)
             arrays = [np.frombuffer(x, "<u4") for x in ids]
-            parity = [c.agrees(t, x) for t, x in zip(texts, ids, strict=True)]
+            sums = [zlib.crc32(x) for x in ids]
+            parity = [c.agrees(t, x, n % WHOLE == 0) for t, x, n in zip(texts, ids, sums, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(a) for a in arrays], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array([int(fallback[a].sum()) for a in arrays], pa.int64()), pa.array([c.decode(x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()), pa.array(parity, pa.bool_())],
+                [b.column(0), pa.array([len(a) for a in arrays], pa.int64()), pa.array(sums, pa.int64()), pa.array([int(fallback[a].sum()) for a in arrays], pa.int64()), pa.array([c.decode(x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()), pa.array(parity, pa.bool_())],
                 names=["doc_id", "n_tokens", "ids_crc32", "n_bytes_fallback", "round_trip", "parity"],
             )
 
