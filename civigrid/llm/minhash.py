@@ -4,6 +4,7 @@ Texts with the same shingle set are one class from the start. Classes that share
 compared: first each with the smallest class of its bucket, then, where a bucket still has several components, all
 pairs across components, in blocks. A pair whose minima agree too seldom is dropped; the others are confirmed on the
 full sets, so no link below the threshold is ever made, and one at the threshold is missed with a chance below 1e-6.
+Sets are of 64-bit shingle hashes: a text of a million words has two equal ones of different shingles with a chance of 3e-8.
 """
 
 from __future__ import annotations
@@ -14,14 +15,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import portions, small, written
+from civigrid.llm.common import by_key, portions, small, spread, written
 from civigrid.llm.components import Forest, components
 
 #: Bands and rows of a band, for a threshold of 0.8 and for 0.85 and more; a link at the threshold is missed with a chance of (1 - t ** rows) ** bands.
 ROWS, BANDS = 5, {0.80: 36, 0.85: 28}
 #: Members, and shingles of all members, of a bucket's block in the pass over pairs across components (the other block has twice as much).
-BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
-MASK = np.uint64(0xFFFFFFFFFFFF)
+BLOCK, BLOCK_SHINGLES = 640, 2_000_000
 PRIME = (1 << 31) - 1
 
 
@@ -31,7 +31,7 @@ def word_hashes(text: str) -> np.ndarray:
 
 
 def shingles(text: str, k: int) -> np.ndarray:
-    """The sorted distinct 48-bit hashes of a text's ``k``-word shingles; with fewer words, of the whole sequence."""
+    """The sorted distinct 64-bit hashes of a text's ``k``-word shingles; with fewer words, of the whole sequence."""
     h = word_hashes(text)
     if not len(h):
         return h
@@ -41,7 +41,7 @@ def shingles(text: str, k: int) -> np.ndarray:
     for i in range(size):
         mix = (mix ^ h[i : i + n]) * np.uint64(0xFF51AFD7ED558CCD)
         mix ^= mix >> np.uint64(32)
-    return np.unique(mix & MASK)
+    return np.unique(mix)
 
 
 class Hashes:
@@ -63,17 +63,6 @@ class Hashes:
         return out.astype(np.uint32)
 
 
-def packed(s: np.ndarray) -> bytes:
-    """Six bytes for each hash."""
-    return s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
 def signed(docs: DataFrame, k: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, key (of the set, 16 bytes; null without words), signature."""
 
@@ -92,21 +81,21 @@ def signed(docs: DataFrame, k: int, bands: int) -> DataFrame:
 
 
 def set_key(s: np.ndarray) -> bytes | None:
-    return xxhash.xxh3_128_digest(packed(s)) if len(s) else None
+    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
 def banded(classes: DataFrame) -> DataFrame:
-    """band, bucket (a hash of the band's minima) and key, for each band of each class."""
+    """band, bucket (a hash of the band and its minima), key and doc_id, for each band of each class."""
 
     def deal(batches):
         for b in portions(batches):
-            rows = [np.frombuffer(x, np.uint32).reshape(-1, ROWS) for x in b.column(1).to_pylist()]
-            sizes = [len(x) for x in rows]
+            rows = [np.frombuffer(x, np.uint32).reshape(-1, ROWS) for x in b.column(2).to_pylist()]
+            sizes = np.array([len(x) for x in rows], np.int64)
+            at = pa.array(np.repeat(np.arange(len(rows)), sizes))
             buckets = [xxhash.xxh3_64_intdigest(r.tobytes(), seed=i) - (1 << 63) for x in rows for i, r in enumerate(x)]
-            keys = [k for k, n in zip(b.column(0).to_pylist(), sizes, strict=True) for _ in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array([i for n in sizes for i in range(n)], pa.int32()), pa.array(buckets, pa.int64()), pa.array(keys, pa.binary())], names=["band", "bucket", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for n in sizes for i in range(n)], pa.int32()), pa.array(buckets, pa.int64()), b.column(0).take(at), b.column(1).take(at)], names=["band", "bucket", "key", "doc_id"])
 
-    return classes.select("key", "signature").mapInArrow(deal, "band int, bucket long, key binary")
+    return classes.select("key", "doc_id", "signature").mapInArrow(deal, "band int, bucket long, key binary, doc_id long")
 
 
 def least_equal(n: int, threshold: float) -> int:
@@ -120,7 +109,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     def make(batches):
         for b in portions(batches):
             sets = [shingles(t or "", k) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([packed(s) for s in sets], pa.binary())], names=["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "shingles"])
 
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     texts = docs.join(small(written(ids, "minhash-wanted")), F.col("doc_id") == F.col("wanted_id"), "left_semi").select("text")
@@ -128,24 +117,43 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(make, "key binary, shingles binary").where("key IS NOT NULL").dropDuplicates(["key"])
 
 
+PAIR = ["u", "v", "a", "b"]  # of two classes: ids, keys
+PAIRS = "u long, v long, a binary, b binary"
+
+
+def beside(pairs: DataFrame, single: DataFrame, value: str) -> DataFrame:
+    """Pairs with ``x`` and ``y``, the ``value`` of their keys a and b; a's that have very many partners are spread over tasks."""
+    x, y = single.select(F.col("key").alias("a"), F.col(value).alias("x")), single.select(F.col("key").alias("b"), F.col(value).alias("y"))
+    return spread(pairs, x, "a", by="b").join(y, "b").select(*PAIR, "x", "y")
+
+
+def likely(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
+    """The pairs whose signatures agree in at least ``limit`` minima."""
+
+    def alike(batches):
+        for b in portions(batches):
+            x, y = (np.array([np.frombuffer(v, np.uint32) for v in c.to_pylist()]).reshape(b.num_rows, -1) for c in (b.column(4), b.column(5)))
+            yield pa.RecordBatch.from_arrays(b.columns[:4], names=PAIR).filter(pa.array((x == y).sum(axis=1) >= limit, pa.bool_()))
+
+    return beside(pairs, classes, "signature").mapInArrow(alike, PAIRS)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
+    """The pairs with 100 * intersection >= percent * union of their full sets."""
 
     def check(batches):
-        for b in portions(batches):
+        for b in portions(batches, 64):
             keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True):
                 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
                     keep.append(False)
                     continue
-                x, y = unpacked(x), unpacked(y)
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            t = pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"])
-            yield t.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(b.columns[:4], names=PAIR).filter(pa.array(keep, pa.bool_()))
 
-    x, y = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary")
+    return beside(pairs, sets, "shingles").mapInArrow(check, PAIRS)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -153,7 +161,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Links: 100 * intersection >= ``percent`` * union of the sets of ``k``-word shingles. A null or empty text has no
     set and is linked with nothing. Rows that repeat a doc_id are documents of that id: with equal sets they are one
-    class. A null doc_id is kept and never linked, as it has no id to be reached by. Other columns are ignored.
+    class. A null doc_id is kept and never linked, as it has no id to be reached by. Ties there are none: the smallest
+    id stands for a group. Very long texts are read to the end; other columns are ignored; an empty table gives no rows.
     """
     threshold = percent / 100
     bands = next((n for t, n in sorted(BANDS.items(), reverse=True) if threshold >= t), 0)
@@ -162,44 +171,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = written(signed(given, k, bands), "minhash")
     member = rows.where("doc_id IS NOT NULL AND key IS NOT NULL")
-    # One class for each distinct set; its rows' signatures are equal.
-    classes = written(member.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")), "minhash-classes")
-    # Rows of one id are one document, so an id with several sets links their classes.
-    ids = member.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("m"), F.count("*").alias("n")).where("n > 1")
-    same_id = member.join(ids.select("doc_id", "a"), "doc_id").select("a", F.col("key").alias("b")).where("a <> b").distinct()
+    # One class for each distinct set, named by its smallest id; its rows' signatures are equal.
+    classes = written(member.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")), "minhash-classes")
+    named = classes.select("key", F.col("doc_id").alias("u"))
+    # Rows of one id are one document, so an id with several sets ties their classes.
+    ids = member.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    same_id = member.join(ids, "doc_id").select(F.col("doc_id").alias("v"), "key").distinct().join(named, "key").select("u", "v")
+    # Each class of a bucket beside the one with the smallest id.
     buckets = banded(classes)
-    least = buckets.groupBy("band", "bucket").agg(F.min("key").alias("least"), F.count("*").alias("size")).where("size > 1").drop("size")
-    shared = written(buckets.join(least, ["band", "bucket"]), "minhash-buckets")
+    least = written(buckets.groupBy("bucket").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.count("*").alias("size")).where("size > 1").select("bucket", F.col("least.doc_id").alias("u"), F.col("least.key").alias("a")), "minhash-least")
+    shared = written(by_key(buckets, least, "bucket", spread_by="key"), "minhash-buckets")
     limit = least_equal(bands * ROWS, threshold)
-
-    def alike(batches):
-        for b in portions(batches):
-            x, y = (np.array([np.frombuffer(v, np.uint32) for v in c.to_pylist()]).reshape(b.num_rows, -1) for c in (b.column(2), b.column(3)))
-            t = pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"])
-            yield t.filter(pa.array((x == y).sum(axis=1) >= limit, pa.bool_()))
-
-    stars = written(shared.where("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b")).distinct(), "minhash-stars")
-    signature = classes.select("key", "signature")
-    likely = written(stars.join(signature.toDF("a", "x"), "a").join(signature.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary"), "minhash-pairs")
-    named = classes.select("key", "doc_id")
-
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-
-    sets = written(full_sets(given, named.join(ends(likely), "key", "left_semi"), k), "minhash-sets")
-    links = written(confirmed(likely, sets, percent).union(same_id), "minhash-links")
-    first = components(links)
+    stars = shared.where("key <> a").select("u", F.col("doc_id").alias("v"), "a", F.col("key").alias("b")).distinct()
+    near = written(likely(written(stars, "minhash-stars"), classes, limit), "minhash-pairs")
+    ends = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
+    sets = written(full_sets(given, classes.select("key", "doc_id").join(ends, "key", "left_semi"), k), "minhash-sets")
+    links = written(confirmed(near, sets, percent).select("u", "v").union(same_id), "minhash-links")
+    first = written(components(links.toDF("a", "b")).select(F.col("node").alias("doc_id"), "component"), "minhash-first")
     # Buckets that still hold several components, and pairs that no star had: pairs across components, in blocks.
-    placed = written(shared.join(first, shared["key"] == first["node"], "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component")), "minhash-placed")
+    placed = written(by_key(shared.select("band", "bucket", "key", "doc_id"), first, "doc_id", how="left", spread_by="bucket").select("band", "bucket", "key", F.coalesce("component", "doc_id").alias("component")), "minhash-placed")
     dealt = written(dealt_across(placed, classes.select("key", "n_shingles")), "minhash-dealt")
     more = dealt.select("key").distinct().join(sets.select("key"), "key", "left_anti")
-    sets = sets.unionByName(written(full_sets(given, named.join(more, "key", "left_semi"), k), "minhash-sets"))
-    crossing = written(across(dealt.join(classes.select("key", "signature"), "key").join(sets, "key"), limit, percent), "minhash-crossing")
-    found = components(links.unionByName(crossing))
-    tied = named.join(found, named["key"] == found["node"], "left").select("key", "doc_id", F.coalesce("component", "key").alias("component"))
-    lowest = tied.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    verdict = written(tied.join(lowest, "component").select("key", "component_id"), "minhash-verdict")
-    out = rows.select("doc_id", "n_shingles", "key").join(verdict, "key", "left")
+    sets = sets.unionByName(written(full_sets(given, classes.select("key", "doc_id").join(more, "key", "left_semi"), k), "minhash-sets"))
+    both = classes.select("key", "signature").join(sets, "key")
+    crossing = written(across(spread(dealt, both, "key", by="group"), limit, percent), "minhash-crossing")
+    found = components(links.toDF("a", "b").union(crossing)).select(F.col("node").alias("u"), "component")
+    # Of classes that are linked or have several rows; all other documents stand alone.
+    tied = classes.select("key", "n", F.col("doc_id").alias("u")).join(found, "u", "left").where("n > 1 OR component IS NOT NULL").select("key", F.coalesce("component", "u").alias("component_id"))
+    out = by_key(rows.select("doc_id", "n_shingles", "key"), written(tied, "minhash-verdict"), "key", how="left", spread_by="doc_id")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
@@ -212,14 +211,14 @@ def dealt_across(placed: DataFrame, sizes: DataFrame) -> DataFrame:
     no task gets a whole large bucket.
     """
     sized = placed.join(sizes, "key")
-    parts = sized.groupBy("band", "bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
-    info = parts.groupBy("band", "bucket").agg(F.max(F.struct("n", "w", "component")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).where("parts > 1 AND n > 2")
+    parts = sized.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    info = parts.groupBy("bucket").agg(F.max(F.struct("n", "w", "component")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("parts")).where("parts > 1 AND n > 2")
 
     def blocks(n: Column, w: Column, times: int) -> Column:
         return F.greatest(F.lit(1), F.ceil(n / (times * BLOCK)), F.ceil(w / (times * BLOCK_SHINGLES))).cast("int")
 
-    info = info.select("band", "bucket", F.col("most.component").alias("main"), blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w"), 1).alias("outer_blocks"), blocks(F.col("n"), F.col("w"), 2).alias("blocks"))
-    members = placed.join(info, ["band", "bucket"])
+    info = info.select("bucket", F.col("most.component").alias("main"), blocks(F.col("n") - F.col("most.n"), F.col("w") - F.col("most.w"), 1).alias("outer_blocks"), blocks(F.col("n"), F.col("w"), 2).alias("blocks"))
+    members = by_key(placed, written(info, "minhash-info"), "bucket", spread_by="key")
     outside = F.when(F.col("component") == F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
 
     def every(n: str) -> Column:
@@ -231,28 +230,28 @@ def dealt_across(placed: DataFrame, sizes: DataFrame) -> DataFrame:
     both = members.withColumn("outside", F.explode(outside))
     both = both.withColumn("outer_block", F.explode(F.when(F.col("outside"), one("outer_blocks")).otherwise(every("outer_blocks"))))
     both = both.withColumn("block", F.explode(F.when(F.col("outside"), every("blocks")).otherwise(one("blocks"))))
-    return both.select("band", "bucket", "outer_block", "block", "key", "component", "outside")
+    return both.select("band", F.xxhash64("bucket", "outer_block", "block").alias("group"), "key", "component", "outside")
 
 
 def across(dealt: DataFrame, limit: int, percent: int) -> DataFrame:
-    """Links (a, b) between components, confirmed on the full sets: of each group, as many as connect what its links connect.
+    """Links between components (by their names), confirmed on the full sets: of each group, as many as connect what its links connect.
 
     Pairs whose signatures agree in fewer than ``limit`` minima are left out, and so are those that share an earlier
     band, where they are looked at already.
     """
 
     def compare(t: pa.Table) -> pa.Table:
-        keys, names, band = t.column("key").to_pylist(), {}, t.column("band")[0].as_py()
-        comp = np.array([names.setdefault(c, len(names)) for c in t.column("component").to_pylist()])
+        ids, band = t.column("component").to_pylist(), t.column("band")[0].as_py()
+        comp = np.array(ids)
         signs = np.array([np.frombuffer(v, np.uint32) for v in t.column("signature").to_pylist()])
-        sets = [unpacked(v) for v in t.column("shingles").to_pylist()]
+        sets = [np.frombuffer(v, "<u8") for v in t.column("shingles").to_pylist()]
         inner = np.flatnonzero(~np.array(t.column("outside").to_pylist()))
         forest = Forest()
         for i in np.flatnonzero(np.array(t.column("outside").to_pylist())):
             near = inner[comp[inner] != comp[i]]
             same = signs[near] == signs[i]
             near = near[(same.sum(axis=1) >= limit) & ~same.reshape(len(near), -1, ROWS)[:, :band].all(axis=2).any(axis=1)]
-            near = [j for j in near.tolist() if forest.top(comp[i]) != forest.top(comp[j]) and 100 * min(len(sets[i]), len(sets[j])) >= percent * max(len(sets[i]), len(sets[j]))]
+            near = [j for j in near.tolist() if forest.top(ids[i]) != forest.top(ids[j]) and 100 * min(len(sets[i]), len(sets[j])) >= percent * max(len(sets[i]), len(sets[j]))]
             if not near:
                 continue
             sizes = np.array([len(sets[j]) for j in near])
@@ -260,10 +259,10 @@ def across(dealt: DataFrame, limit: int, percent: int) -> DataFrame:
             at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
             both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
             for j in np.array(near)[100 * both >= percent * (len(sets[i]) + sizes - both)].tolist():
-                forest.tie(comp[i], comp[j], (keys[i], keys[j]))
-        return pa.table({"a": pa.array([x[0] for x in forest.ties], pa.binary()), "b": pa.array([x[1] for x in forest.ties], pa.binary())})
+                forest.tie(ids[i], ids[j], (ids[i], ids[j]))
+        return pa.table({"a": pa.array([x[0] for x in forest.ties], pa.int64()), "b": pa.array([x[1] for x in forest.ties], pa.int64())})
 
-    return dealt.groupBy("band", "bucket", "outer_block", "block").applyInArrow(compare, "a binary, b binary")
+    return dealt.groupBy("group").applyInArrow(compare, "a long, b long")
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from civigrid.llm import minhash
 from civigrid.llm.components import Forest, components
 from civigrid.llm.minhash import deduplicated, near_duplicates
-from civigrid.llm.rabitq import bound, coded, estimates, near_vectors, rotation
+from civigrid.llm import rabitq
+from civigrid.llm.rabitq import Coder, Codes, join_up, linked, near_vectors, rotation, undecided
 from tests.llm.helpers import documents, groups, near_copies, shingles
 
 
@@ -43,9 +44,9 @@ def test_near_duplicates_odd_tables(spark):
     assert sorted(r.doc_id or 0 for r in deduplicated(documents(spark, rows)).collect()) == [0, 1, 2, 3]
 
 
-def test_set_packing():
+def test_signatures():
     s = minhash.shingles("a b c d a b c e", 3)
-    assert (minhash.unpacked(minhash.packed(s)) == s).all() and len(s) == 5
+    assert (np.unique(s) == s).all() and len(s) == 5
     h = minhash.Hashes(400)
     a, b = minhash.shingles(" ".join(map(str, range(900))), 1), minhash.shingles(" ".join(map(str, range(300, 1200))), 1)
     assert abs((h.signature(a) == h.signature(b)).mean() - 0.5) < 0.1
@@ -77,7 +78,20 @@ def test_near_vectors_against_all_pairs(spark):
         assert (got[i].component_id, got[i].kept, got[i].n_links) == (want[i], want[i] == i, sum(linked(i, j) for j in fine if j != i))
     assert all(got[i].n_links == 0 and got[i].kept and got[i].component_id == i for i in range(1, 7))
     assert near_vectors(vectors(spark, [])).count() == 0
-    assert [(r.vec_id, r.n_links) for r in near_vectors(vectors(spark, [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1)])).collect()] == [(1, 2), (1, 2), (None, 2)]
+    odd = [(4, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (4, [0.0, 1.0], 1), (2, [0.0, 1.0], 1)]
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors(vectors(spark, odd)).collect()]
+    assert sorted(got, key=repr) == sorted([(4, 1, 2, False), (4, 1, 2, False), (None, 0, None, True), (4, 1, 2, False), (2, 1, 2, True)], key=repr)
+
+
+def test_near_vectors_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(rabitq, "BLOCK", 7)  # buckets are dealt into pairs of blocks
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=24)
+    data = [(i, [float(x) for x in np.float32(base + rng.normal(size=24) * 0.06)], 1) for i in range(60)]
+    got = {r.vec_id: r.n_links for r in near_vectors(vectors(spark, data)).collect()}
+    x = np.array([v for _, v, _ in data])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert got == dict(enumerate((x @ x.T >= 0.98).sum(axis=1) - 1))
 
 
 def test_codes_bound_and_estimate():
@@ -85,13 +99,45 @@ def test_codes_bound_and_estimate():
     x = rng.normal(size=(400, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     y = x + rng.normal(size=x.shape) * 0.02
-    y /= np.linalg.norm(y, axis=1, keepdims=True)
     spin = rotation(64, 0)
     assert np.allclose(spin @ spin.T, np.eye(64))
-    codes, factors = coded(x @ spin)
-    cos = (x * y).sum(axis=1)
-    near = cos >= 0.98
-    assert near.any() and ((codes * (y @ spin)).sum(axis=1) >= bound(factors, 0.98))[near].all()
+    c = Codes(Coder(64, 12, 9).records(np.concatenate([x, 3 * y])), 64)
+    assert c.runs.shape == (800, 9) and c.runs.max() < 1 << 12
+    i, j = np.arange(400), np.arange(400, 800)
+    near = linked(np.concatenate([x, y]), i, j, 0.98)
+    assert 200 < near.sum() and c.open_pairs(i, j, 0.98, 0.0)[near].all()
     far = x @ x[::-1].T
-    guess = estimates(codes, factors, x[::-1] @ spin)
+    guess = (c.o[:400] @ c.q[:400][::-1].T) / c.f[:400, None]
     assert abs((guess - far)[np.abs(far) < 0.5].mean()) < 0.01
+    a, b = c.open_block(i, j, 0.98, 0.0)
+    assert set(zip(i[near], j[near], strict=True)) <= set(zip(a, b, strict=True))
+
+
+@pytest.mark.parametrize("listed", [1, 32])
+def test_codes_decide_what_is_computed_again(monkeypatch, listed):
+    monkeypatch.setattr(rabitq, "LISTED", listed)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 48))
+    x = np.concatenate([centres[k] + rng.normal(size=(20, 48)) * s for k in range(6) for s in (0.05, 0.3)])
+    c = Codes(Coder(48, 40 % 31, 4).records(x), 48)
+    n = len(x)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    true = {(i, j) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.98), strict=True) if i < j}
+    again = [p for i, j in undecided(c, np.zeros(n, int), np.full(n, 2), np.zeros(n, int), 0.98, 0.0) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert len(set(again)) == len(again) and true <= set(again)
+    assert len(again) < 0.2 * n * (n - 1) / 2 and min((unit @ unit.T)[i, j] for i, j in again) > 0.75  # the codes settle the others
+    real = linked(x, *np.array(again).T, 0.98)
+    assert {p for p, r in zip(again, real, strict=True) if r} == true
+    # In a later run, pairs that share an earlier one are left out.
+    later = [p for i, j in undecided(c, np.zeros(n, int), np.full(n, 2), np.full(n, 3), 0.98, 0.0) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert set(later) == {(i, j) for i, j in again if not (c.runs[i, :3] == c.runs[j, :3]).any()}
+    # A pair of blocks has the pairs with a row of each.
+    side = np.arange(n) % 2
+    crossing = [p for i, j in undecided(c, np.zeros(n, int), side, np.zeros(n, int), 0.98, 0.0) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert {tuple(sorted(p)) for p in crossing} == {p for p in again if side[p[0]] != side[p[1]]}
+
+
+def test_join_up():
+    label = np.arange(9)
+    join_up(label, np.array([8, 3, 5, 1]), np.array([3, 5, 8, 2]))
+    assert label.tolist() == [0, 1, 1, 3, 4, 3, 6, 7, 3]
