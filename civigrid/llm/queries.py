@@ -88,10 +88,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql_licenses() -> str:
-    from civigrid.llm.licenses import PHRASES, SHARE, TEMPLATES, needed
+    from civigrid.llm.licenses import PHRASES, SHARE, TEMPLATES, needed, words_of
 
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    sets = ", ".join(f"('{name}', {sorted(set(t.split()))}, {needed(len(set(t.split())), SHARE)})" for name, t in TEMPLATES.items())
+    sets = ", ".join(f"('{name}', {sorted(set(w))}, {len(w)}, {needed(len(set(w)), SHARE)})" for name, w in ((name, words_of(t)) for name, t in TEMPLATES.items()))
     base = " OR ".join("(" + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(ws)) + ")" for ws in PHRASES.values())
     label = "CASE " + " ".join(f"WHEN w[i + {len(ws) - 1}] = 'license' AND w[i] = '{ws[0]}' AND w[i + 1] = '{ws[1]}' THEN '{name}'" for name, ws in PHRASES.items()) + " END"
     return f"""
@@ -99,9 +99,11 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '{word}') AS w FROM d),
 p AS (SELECT r, i - 1 AS pos, {label} AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE t LIKE '%license%') WHERE {base}),
 b AS (SELECT r, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM p GROUP BY r),
-s(name, words, need) AS (VALUES {sets}),
-l AS (SELECT r, regexp_extract_all(line, '{word}') AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
-c AS (SELECT r, name, len(list_intersect(l.words, s.words)) AS common, len(s.words) AS size, need FROM l, s WHERE len(l.words) >= need),
+s(name, words, length, need) AS (VALUES {sets}),
+x AS (SELECT name, unnest(words) AS word, length, need, len(words) AS size FROM s),
+a AS (SELECT r, i - 1 AS pos, w[i] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+k AS (SELECT r, name, size, need, word, unnest([pos // length, pos // length - 1]) AS block FROM a JOIN x USING (word)),
+c AS (SELECT r, name, size, need, count(DISTINCT word) AS common FROM k WHERE block >= 0 GROUP BY r, name, size, need, block),
 m AS (SELECT r, list(DISTINCT name) AS names, max(common / size) AS contained FROM c WHERE common >= need GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,

@@ -164,39 +164,61 @@ def test_lm_scores_by_words(spark, monkeypatch):
     assert all(got[i].score is None if x is None else abs(got[i].score - x) < 1e-5 for i, x in wanted.items())
 
 
-def licenses_by_hand(text):
+def licenses_by_hand(text, templates=licenses.TEMPLATES):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(text))
     found = [(i, label) for label, ws in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(ws)] == list(ws)]
     labels, best = {x for _, x in found}, 0.0
-    for line in lower_ascii(text).split("\n"):
-        own = set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line))
-        for name, t in licenses.TEMPLATES.items():
-            s = set(t.split())
-            if len(s & own) >= licenses.needed(len(s), licenses.SHARE):
+    for name, t in templates.items():
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(t))
+        s = set(w)
+        for i in range(0, len(words), len(w)):
+            if 5 * len(s & set(words[i : i + 2 * len(w)])) >= 4 * len(s):
                 labels.add(name)
-                best = max(best, len(s & own) / len(s))
+                best = max(best, len(s & set(words[i : i + 2 * len(w)])) / len(s))
     at = [i for i, _ in found]
     return len(words), len(found), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in found})), ",".join(sorted(labels)), 1.0 if found else best
 
 
+def license_rows(spark, rows, templates=None):
+    return sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) for r in licenses.scan(documents(spark, rows), templates).collect()), key=repr)
+
+
 def test_licenses(spark):
     texts = ["", None, "MIT License", "mit-license mit\nlicense; General Public License 3 Apache license", "license mit", "É mit license é", "Licensed under CC BY-NC 4.0.", "licensed under cc by nc", "a\nLicensed under the Apache License, Version 2.0.\nb", "word " * 3000 + "general public license", "LICENSE", "public license", "This software and associated documentation files: permission is hereby granted, free of charge, to any person obtaining a copy", "mitlicense mit license license"]
     rows = list(enumerate(texts)) + [(2, texts[2]), (None, texts[3])]
-    got = sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) for r in licenses.scan(documents(spark, rows)).collect()), key=repr)
-    assert got == sorted(((i, *licenses_by_hand(t)) for i, t in rows), key=repr)
+    assert license_rows(spark, rows) == sorted(((i, *licenses_by_hand(t)) for i, t in rows), key=repr)
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
-def test_wrapped_licenses(spark):
-    rows, wanted = [], {}
+def test_licenses_wrapped_shuffled_and_long(spark):
+    import random
+    import textwrap
+
+    rng, rows, whole = random.Random(5), [], {}
     for name, t in licenses.TEMPLATES.items():
         w = t.split()
-        for before in (0, 1, 17, 30):  # wherever the notice starts, it is whole in a window
-            for cut in range(1, len(w)):
-                wanted[len(rows)] = name
-                rows.append((len(rows), "x " * before + " ".join(w[:cut]) + "\n# " + " ".join(w[cut:]) + " y" * 40))
-    got = {r.doc_id: r for r in licenses.scan(documents(spark, rows)).collect()}
-    assert all(name in got[i].labels.split(",") and got[i].score == 1 for i, name in wanted.items())
+        for k in range(6):
+            before = " ".join(rng.choice(["x", "the", "software", "of"]) for _ in range(rng.choice([0, 1, 17, 333])))
+            own = list(w)
+            if k == 1:
+                rng.shuffle(own)
+            if k == 2:  # some words fall out, so some of these pass and some don't
+                own = [x for x in own if rng.random() > 0.2]
+            if k == 3:  # spread too far apart
+                own = [y for x in own for y in (x, "fill", "er", "s")]
+            body = textwrap.fill(" ".join(own), 60, initial_indent=" * ", subsequent_indent=" * ") if k != 4 else " ".join(own)
+            if k in (0, 1, 4):
+                whole[len(rows)] = name
+            rows.append((len(rows), f"{before}\n{body}\n{' z' * rng.choice([0, 5, 900])}"))
+    rows += [(1000, "\n\n".join(licenses.TEMPLATES.values()) * 3), (1001, "the of and software license " * 20000), (1002, rows[0][1]), (1002, rows[0][1])]
+    got = license_rows(spark, rows)
+    assert got == sorted(((i, *licenses_by_hand(t)) for i, t in rows), key=repr)
+    by = {r[0]: r for r in got}
+    assert all(name in by[i][6].split(",") and by[i][7] == 1 for i, name in whole.items())
+    own = {"one": "alpha beta gamma delta epsilon", "none": " . ", "two": "Alpha BETA"}
+    rows = [(1, "x beta y alpha"), (2, "alpha " * 9 + "beta gamma delta"), (3, "alpha q q q q beta")]
+    assert license_rows(spark, rows, own) == sorted(((i, *licenses_by_hand(t, {k: v for k, v in own.items() if k != "none"})) for i, t in rows), key=repr)
+    assert {r[6] for r in license_rows(spark, rows, {})} == {""}
 
 
 def url_by_hand(url):
