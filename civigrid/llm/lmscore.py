@@ -4,7 +4,7 @@ The vocabulary is every word and sign of all documents, the same for both models
 bigrams come from every document: target from those labelled good, background from all others with text. Both models
 interpolate bigrams and words the same way, and the background's counts are scaled to the target's size, so neither
 gains from more data. A document's score is the mean over its tokens and its end of target loss minus background loss: the lower,
-the more it is like the target.
+the more it is like the target. The model that counted a document scores it without its own counts.
 
 The counts grow with the corpus and stay in a distributed table. Documents are dealt into chunks; a chunk sends each of
 its distinct n-grams once, as a key of at least 50 hash bits with its counts, to the key's bucket, so a frequent n-gram is
@@ -152,12 +152,20 @@ def scorer(bits: int, n_target: int, n_background: int, n_words: int):
             own, at = np.unique(keys.ravel(), return_inverse=True)
             if len(own) != len(counts[0]):
                 raise ValueError(f"{len(own)} n-grams of a chunk, but {len(counts[0])} sums")
+            # Of each token's n-grams, how often its own document has them.
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            _, pair, held = np.unique(np.tile(doc, 2) * len(own) + at, return_inverse=True, return_counts=True)
+            mine, flags = held[pair].reshape(2, -1), np.array(docs.column("target").to_pylist(), bool)
+            target = n_target - sizes * flags
+            scale = target / np.maximum(1, n_background - sizes * ~flags)
             losses = []
-            for n in (counts[0], counts[1] * (n_target / n_background)):
-                word, bigram = n[at].reshape(2, -1)
-                low = (word + 1) / (n_target + n_words)
-                losses.append(-np.log2((bigram + BACKOFF * low) / (np.roll(word, 1) + BACKOFF)))
-            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), losses[0] - losses[1], len(sizes))
+            for n, part, factor in ((counts[0], flags, np.ones(len(sizes))), (counts[1], ~flags, scale)):
+                word, bigram = n[at].reshape(2, -1) - mine * part[doc]
+                context, factor = np.roll(n[at[: len(doc)]], 1) - np.roll(mine[0], 1) * part[doc], factor[doc]
+                low = (word * factor + 1) / (target[doc] + n_words)
+                losses.append(-np.log2((bigram * factor + BACKOFF * low) / (context * factor + BACKOFF)))
+            total = np.bincount(doc, losses[0] - losses[1], len(sizes))
+            total[(target == 0) | (n_background == sizes * ~flags)] = 0  # no other document to compare with
         mean = [s / n if n else None for s, n in zip(total.tolist(), sizes.tolist(), strict=True)]
         return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(np.maximum(sizes - 1, 0)), "score": pa.array(mean, pa.float64())})
 
@@ -168,8 +176,9 @@ def lm_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """For each document: doc_id, n_tokens (words and signs), score (mean loss difference in bits; lower is nearer to the target).
 
     A document is a target document if any row of ``labels`` with its doc_id has quality 1. Null texts and those without
-    a word or sign have no tokens and a null score; without target or background text all scores are 0. Repeated rows
-    count as often as they stand there and each get a row; null ids match no label; other columns are ignored.
+    a word or sign have no tokens and a null score; without target or background text (but a document's own) scores are
+    0. Repeated rows count as often as they stand there and each get a row, without one count of their own; equal texts
+    of one side have equal scores; very long texts are read to the end. Null ids match no label; other columns are ignored.
     """
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

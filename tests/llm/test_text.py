@@ -136,11 +136,40 @@ def lm_by_hand(rows, good):
     kinds = len({k for c in counts for k in c if k[0] == "word"})
     b_sum, t_sum = (sum(n for k, n in c.items() if k[0] == "word") for c in counts)
 
-    def loss(c, scale, a, b):
+    def loss(c, scale, t_sum, a, b):
         low = (c["word", b] * scale + 1) / (t_sum + kinds)
         return -math.log2((c["pair", a, b] * scale + BACKOFF * low) / (c["context", a] * scale + BACKOFF))
 
-    return {i: sum(loss(counts[1], 1, a, b) - loss(counts[0], t_sum / b_sum, a, b) for a, b in zip([None, *w], w, strict=False)) / len(w) if w else None for i, w in texts.items()}
+    out = {}
+    for i, w in texts.items():
+        own = Counter(k for a, b in zip([None, *w], w, strict=False) for k in (("word", b), ("context", a), ("pair", a, b)))
+        t, b = counts[1].copy(), counts[0].copy()
+        (t if i in good else b).subtract(own)
+        n_t, n_b = t_sum - len(w) * (i in good), b_sum - len(w) * (i not in good)
+        out[i] = sum(loss(t, 1, n_t, x, y) - loss(b, n_t / n_b, n_t, x, y) for x, y in zip([None, *w], w, strict=False)) / len(w) if w else None
+    return out
+
+
+def test_lm_losses_of_a_token(spark):
+    """By hand: target "a b" twice, background "a c" and "d"; the vocabulary is a, b, c, d and the end."""
+    import math
+
+    rows = [(1, "a b"), (2, "a b"), (3, "a c"), (4, "d")]
+    labels = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    got = {r.doc_id: (r.n_tokens, r.score) for r in lm_scores(documents(spark, rows), labels).collect()}
+    # Document 1 is scored by the other target document (3 tokens) and by the background (5 tokens, scaled by 3 / 5).
+    k, v, s = 8.0, 5, 3 / 5
+
+    def loss(pair, word, context, f=1.0, total=3):
+        return -math.log2((pair * f + k * (word * f + 1) / (total + v)) / (context * f + k))
+
+    target = loss(1, 1, 1) + loss(1, 1, 1) + loss(1, 1, 1)  # start a, a b, b end
+    background = loss(1, 1, 2, s) + loss(0, 0, 1, s) + loss(0, 2, 0, s)
+    assert got[1][0] == 2 and abs(got[1][1] - (target - background) / 3) < 1e-9 and got[1] == got[2]
+    # Document 4 is scored by the target (6 tokens) and by document 3 (3 tokens, scaled by 2).
+    target = loss(0, 0, 2, 1, 6) + loss(0, 2, 0, 1, 6)
+    background = loss(0, 0, 1, 2, 6) + loss(0, 1, 0, 2, 6)
+    assert abs(got[4][1] - (target - background) / 2) < 1e-9
 
 
 def test_lm_scores_by_words(spark, monkeypatch):
