@@ -30,15 +30,8 @@ GRAMS = (2, 3, 4)
 #: Share of correctly predicted calibration documents that the rejection threshold may lose.
 LOSS = 0.001
 CACHE_WORDS = 300_000
-
-
-def letters() -> str:
-    """A pattern for one letter (Unicode category L): a word character but for digits, other number signs and the underscore."""
-    others = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())  # there are none beyond
-    return rf"[^\W\d_{others}]"
-
-
-WORD = re.compile(f"{letters()}+")
+#: Word characters but digits and the underscore; other number signs (of categories No and Nl) are taken out afterwards.
+WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
 
@@ -50,7 +43,11 @@ def subwords(word: str) -> list[int]:
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Runs of letters (Unicode category L) in lower case."""
+    found = WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for w in found for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 @dataclass
