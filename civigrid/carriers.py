@@ -81,25 +81,25 @@ def fields_column(key: Column) -> Column:
 
 
 def layer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inspected layers, one for each part, about 20 for a place at the smallest scales; without detected fields."""
+    """Inspected layers, one for each part, 20 for a place; without detected fields."""
     k = F.col("p_partkey")
-    place = F.pmod(k, F.lit(100))
+    place, nth = F.floor(k / 20), F.pmod(k, F.lit(20))
     return table(spark, sf_dir, "part").select(
         F.lpad(place.cast("string"), 7, "0").alias("place_fips"),
         k.alias("ord"),
         F.concat(F.lit("City "), place.cast("string")).alias("city"),
         F.lit("AZ").alias("state"),
-        F.concat(F.lit("https://"), pick(HOSTS, F.floor(k / 3)), F.lit("/arcgis/rest/services/S"), F.pmod(F.floor(k / 200), F.lit(13)).cast("string"), F.lit("/"), pick(SERVERS, F.floor(k / 5)), F.lit("/"), F.pmod(k, F.lit(4)).cast("string")).alias("url"),
+        F.concat(F.lit("https://"), pick(HOSTS, F.floor(k / 3)), F.lit("/arcgis/rest/services/S"), F.pmod(F.floor(nth / 2), F.lit(13)).cast("string"), F.lit("/"), pick(SERVERS, F.floor(k / 5)), F.lit("/"), F.pmod(place, F.lit(4)).cast("string")).alias("url"),
         pick(SOURCES, F.floor(k / 7)).alias("source"),
-        pick(TITLES, F.floor(k / 100)).alias("title"),
+        pick(TITLES, place + nth).alias("title"),
         pick(["Wards map", None, "Council open data"], k).alias("candidate_title"),
-        pick(SERVICES, F.floor(k / 300)).alias("service_name"),
-        pick(LAYERS, F.floor(k / 200)).alias("layer_name"),
+        pick(SERVICES, place + F.floor(nth / 3)).alias("service_name"),
+        pick(LAYERS, place + F.floor(nth / 2)).alias("layer_name"),
         pick(DESCRIPTIONS, F.floor(k / 11)).alias("description"),
-        pick(GEOMETRIES, F.floor(k / 100)).alias("geometry_type"),
+        pick(GEOMETRIES, 3 * place + nth).alias("geometry_type"),
         pick(SERVERS, F.floor(k / 5)).alias("service_type"),
-        fields_column(F.floor(k / 200)).alias("fields"),
-        F.pmod(F.floor(k / 200), F.lit(FIELD_SETS)).alias("field_set"),
+        fields_column(place + F.floor(nth / 2)).alias("fields"),
+        F.pmod(place + F.floor(nth / 2), F.lit(FIELD_SETS)).alias("field_set"),
         (k % 3 == 0).alias("supports_query"),
         (k % 5 == 0).alias("supports_geojson"),
         F.when(k % 7 != 0, k % 2 == 0).alias("supports_pagination"),
@@ -107,10 +107,10 @@ def layer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("candidate_url", F.col("url"))
 
 
-LAYERS_SQL = f"""layers AS (SELECT lpad((p_partkey % 100)::VARCHAR, 7, '0') AS place_fips, p_partkey AS ord, 'City ' || (p_partkey % 100)::VARCHAR AS city, 'AZ' AS state,
-  'https://' || {pick_sql(HOSTS, 'p_partkey // 3')} || '/arcgis/rest/services/S' || ((p_partkey // 200) % 13)::VARCHAR || '/' || {pick_sql(SERVERS, 'p_partkey // 5')} || '/' || (p_partkey % 4)::VARCHAR AS url,
-  {pick_sql(SOURCES, 'p_partkey // 7')} AS source, {pick_sql(TITLES, 'p_partkey // 100')} AS title, {pick_sql(["Wards map", None, "Council open data"], 'p_partkey')} AS candidate_title, {pick_sql(SERVICES, 'p_partkey // 300')} AS service_name, {pick_sql(LAYERS, 'p_partkey // 200')} AS layer_name,
-  {pick_sql(DESCRIPTIONS, 'p_partkey // 11')} AS description, {pick_sql(GEOMETRIES, 'p_partkey // 100')} AS geometry_type, {pick_sql(SERVERS, 'p_partkey // 5')} AS service_type, (p_partkey // 200) % {FIELD_SETS} AS field_set,
+LAYERS_SQL = f"""layers AS (SELECT lpad((p_partkey // 20)::VARCHAR, 7, '0') AS place_fips, p_partkey AS ord, 'City ' || (p_partkey // 20)::VARCHAR AS city, 'AZ' AS state,
+  'https://' || {pick_sql(HOSTS, 'p_partkey // 3')} || '/arcgis/rest/services/S' || (((p_partkey % 20) // 2) % 13)::VARCHAR || '/' || {pick_sql(SERVERS, 'p_partkey // 5')} || '/' || ((p_partkey // 20) % 4)::VARCHAR AS url,
+  {pick_sql(SOURCES, 'p_partkey // 7')} AS source, {pick_sql(TITLES, 'p_partkey // 20 + p_partkey % 20')} AS title, {pick_sql(["Wards map", None, "Council open data"], 'p_partkey')} AS candidate_title, {pick_sql(SERVICES, 'p_partkey // 20 + (p_partkey % 20) // 3')} AS service_name, {pick_sql(LAYERS, 'p_partkey // 20 + (p_partkey % 20) // 2')} AS layer_name,
+  {pick_sql(DESCRIPTIONS, 'p_partkey // 11')} AS description, {pick_sql(GEOMETRIES, '3 * (p_partkey // 20) + p_partkey % 20')} AS geometry_type, {pick_sql(SERVERS, 'p_partkey // 5')} AS service_type, (p_partkey // 20 + (p_partkey % 20) // 2) % {FIELD_SETS} AS field_set,
   p_partkey % 3 = 0 AS supports_query, p_partkey % 5 = 0 AS supports_geojson, CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 2 = 0 END AS supports_pagination, p_partkey % 17 = 0 AS requires_review FROM part)"""
 
 FIELDS_SQL = "field_rows(field_set, pos, name, alias) AS (VALUES " + ", ".join(f"({s}, {i}, {quoted(n)}, {quoted(a)})" for s, fs in enumerate(FIELDS) for i, (n, a) in enumerate(fs)) + ")"

@@ -126,5 +126,19 @@ def iso_now() -> Column:
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+# The forms of dates that are read: ISO forms (a day up to 31 in any month), with slashes, and with a month's name.
+_TIME = r"(?:[T ]+(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?|T24:00(?::00(?:\.0+)?)?)"
+_ZONE = r"(?: *(?:Z|UTC|GMT|(?:GMT|UTC)?[+-]\d{2}:?\d{2}))"
+_DAY, _MONTH = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])"
+_NAMES = "(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\\.?"
+DATE_FORMS = [
+    rf"^(?:[+-]\d{{6}}|\d{{4}})(?:-(?:0[1-9]|1[0-2])(?:-(?:0[1-9]|[12]\d|3[01]))?)?{_TIME}?{_ZONE}?$",
+    rf"^(?:{_MONTH}/{_DAY}/\d{{4}}|\d{{4}}/{_MONTH}/{_DAY}){_TIME}?{_ZONE}?$",
+    rf"(?i)^(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +)?(?:{_DAY} +{_NAMES},? +\d{{4}}|{_NAMES} +{_DAY},? +\d{{4}}){_TIME}?{_ZONE}?$",
+]
+
+
 def is_date(c: Column) -> Column:
-    return F.coalesce(F.try_to_timestamp(c).isNotNull(), F.lit(False))
+    """Whether a text is a date in one of ``DATE_FORMS``; null is none."""
+    text = trimmed(c)
+    return F.coalesce(text.rlike(DATE_FORMS[0]) | text.rlike(DATE_FORMS[1]) | text.rlike(DATE_FORMS[2]), F.lit(False))

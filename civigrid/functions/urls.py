@@ -7,32 +7,72 @@ from pyspark.sql import functions as F
 
 from civigrid.functions.text import blank, title_text, trimmed
 
-ADDRESS = r"(?i)^([a-z][a-z0-9+.-]*):/*([^/?#\s]+)([^?#]*)"
-PARSES = r"(?i)^(https?|ftp|wss?)://[^/?#\s]+"
+SPECIAL = r"(?i)^(https?|ftp|wss?):"
+OTHER = r"(?i)^([a-z][a-z0-9+.-]*):([^?#]*)"
+ADDRESS = r"(?i)^([a-z]+):/*(?:([^/?#@]*)@)?([^/?#@:]*|\[[0-9a-f:.]+\])(?::([0-9]*))?(/[^?#]*)?(?:[?#].*)?$"
 SERVICE = r"(?i)/(FeatureServer|MapServer)(?:/|$)"
+# The ports that schemes have unless told otherwise.
+PORTS = {"http": "80", "https": "443", "ws": "80", "wss": "443", "ftp": "21"}
 
 
-def _plain(url: Column) -> Column:
-    """Scheme, host (both in lower case, without a default port) and path of a URL that parses, without query and fragment."""
-    u = trimmed(url)
-    scheme, host, path = (F.regexp_extract(u, ADDRESS, i) for i in (1, 2, 3))
-    low = F.lower(scheme)
-    port = F.when(low == "http", F.regexp_replace(host, ":80$", "")).when(low == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
-    return F.concat(low, F.lit("://"), F.lower(port), F.when(path == "", F.lit("/")).otherwise(path))
+def _cleaned(url: Column) -> Column:
+    """As a URL is read: without white space and control characters around, or tabs and line ends inside; backslashes are slashes in known schemes."""
+    u = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\n\r]", "")
+    head, tail = F.regexp_extract(u, r"^([^?#]*)", 1), F.regexp_extract(u, r"^[^?#]*(.*)$", 1)
+    return F.when(u.rlike(SPECIAL), F.concat(F.translate(head, "\\", "/"), tail)).otherwise(u)
+
+
+def _host(raw: Column) -> Column:
+    """A host in lower case, percent-decoded, international names in their ASCII form; null for one that can't be a host."""
+    decoded = F.when(F.contains(raw, F.lit("%")), F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
+    # A dot for each of the three other full stops; only names that aren't ASCII are asked for.
+    foreign = decoded.rlike(r"[^\x00-\x7F]")
+    ascii = F.when(foreign, F.call_function("try_reflect", F.lit("java.net.IDN"), F.lit("toASCII"), F.lower(F.when(foreign, decoded).otherwise("x")))).otherwise(F.lower(decoded))
+    return F.when((ascii != "") & ~ascii.rlike(r"[\x00-\x20#%/:<>?@\\^|\x7F]|^\[(?![0-9a-f:.]+\]$)"), ascii).when(ascii.rlike(r"^\[[0-9a-f:.]+\]$"), ascii)
+
 
+def _path(raw: Column) -> Column:
+    """A path without dot segments, with what may not stand in it percent-encoded."""
+    unsafe = r"[\x00-\x20\"<>^`{}\x7F]|[^\x00-\x7F]"
+    letters = F.transform(F.split(raw, ""), lambda c: F.when(c.rlike(unsafe), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c))
+    coded = F.when(raw.rlike(unsafe), F.array_join(letters, "")).otherwise(raw)
+    parts = F.split(F.regexp_replace(coded, "^/", ""), "/")
+    one, two = r"(?i)^(?:\.|%2e)$", r"(?i)^(?:\.|%2e){2}$"
 
-def parses(url: Column) -> Column:
-    return F.coalesce(trimmed(url).rlike(PARSES), F.lit(False))
+    def step(done: Column, part: Column) -> Column:
+        return F.when(part.rlike(two), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(part.rlike(one), done).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    last = F.element_at(parts, -1)
+    plain = F.concat(F.lit("/"), F.array_join(F.when(last.rlike(one) | last.rlike(two), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
+    return F.when(coded.rlike(r"(?i)(?:^|/)(?:\.|%2e){1,2}(?:/|$)"), plain).otherwise(F.when(coded == "", "/").otherwise(coded))
+
+
+def _plain(url: Column) -> Column:
+    """A URL as its parser writes it, without query and fragment: scheme and host in lower case, no default port, a clean path; null if it doesn't parse.
+
+    Numbers as hosts are left as they are written. Other schemes keep what follows them.
+    """
+    u = _cleaned(url)
+    scheme, user, host, port, path = (F.regexp_extract(u, ADDRESS, i) for i in range(1, 6))
+    low, name = F.lower(scheme), _host(host)
+    usual = F.create_map(*(F.lit(x) for pair in PORTS.items() for x in pair))
+    number = F.regexp_replace(port, "^0+(?=[0-9])", "")
+    own_port = F.when((number == "") | (number == F.try_element_at(usual, low)), "").otherwise(F.concat(F.lit(":"), number))
+    own_user = F.when(user.isin("", ":"), "").otherwise(F.concat(F.regexp_replace(user, ":$", ""), F.lit("@")))
+    special = F.when(u.rlike(ADDRESS) & (number.try_cast("int").isNull() | (number.try_cast("int") < 65536)) & (F.length(number) < 6), F.concat(low, F.lit("://"), own_user, name, own_port, _path(path)))
+    other = F.when(u.rlike(OTHER), F.concat(F.lower(F.regexp_extract(u, OTHER, 1)), F.lit(":"), F.regexp_extract(u, OTHER, 2)))
+    return F.when(u.rlike(SPECIAL), special).otherwise(other)
 
 
 def lookup_key(url: Column) -> Column:
     """For joining search hits: no query or fragment, no trailing slashes, all lower case; else trimmed, the same."""
-    return F.lower(F.regexp_replace(F.when(parses(url), _plain(url)).otherwise(trimmed(url)), "/+$", ""))
+    return F.lower(F.regexp_replace(F.coalesce(_plain(url), trimmed(url)), "/+$", ""))
 
 
 def layer_key(url: Column) -> Column:
     """For comparing layers: no query or fragment, one trailing slash less, the path's case kept; else the text's words."""
-    return F.when(parses(url), F.regexp_replace(_plain(url), "/$", "")).otherwise(title_text(url))
+    return F.coalesce(F.regexp_replace(_plain(url), "/$", ""), title_text(url))
 
 
 def request_key(url: Column) -> Column:
@@ -69,7 +109,8 @@ def metadata_url(url: Column) -> Column:
 
 
 def is_http(url: Column) -> Column:
-    return F.coalesce(trimmed(url).rlike(r"(?i)^https?://[^/?#\s]+"), F.lit(False))
+    """Whether a text parses as a URL of these schemes."""
+    return F.coalesce(_plain(url).rlike("^https?:"), F.lit(False))
 
 
 # Spellings of geometry types and the names that are kept.

@@ -25,8 +25,13 @@ def value_text(v: Column) -> Column:
 
 
 def property_names(features: DataFrame, key: list[str]) -> DataFrame:
-    """For each ``key``, the distinct property names in the order in which they are first seen (feature_pos, then place)."""
-    seen = features.select(*key, "feature_pos", F.posexplode(F.json_object_keys(F.to_json("properties"))).alias("i", "name"))
+    """For each ``key``, the distinct property names in the order in which they are first seen (feature_pos, then place).
+
+    The place is that in ``properties_text``, the properties as they stand in the file; without it names are in
+    alphabetical order, as JSON values keep them.
+    """
+    text = F.coalesce("properties_text", F.to_json("properties")) if "properties_text" in features.columns else F.to_json("properties")
+    seen = features.select(*key, "feature_pos", F.posexplode(F.json_object_keys(text)).alias("i", "name"))
     return seen.groupBy(*key, "name").agg(F.min(F.struct("feature_pos", "i")).alias("first"))
 
 
@@ -63,7 +68,7 @@ def normalised(features: DataFrame, city: str, state: str, place_fips: str, boun
     key = key or []
     one = features if key else features.withColumn("_all", F.lit(1))
     found = detected_fields(one, key or ["_all"])
-    both = one.join(F.broadcast(found), key or ["_all"], "left")  # a row for each collection
+    both = one.join(found, key or ["_all"], "left")  # a row for each collection; broadcast only if it is found to be small
     d_field = F.lit(district_field) if district_field else F.col("district_property")
     n_field = F.lit(name_field) if name_field else F.col("name_property")
     district, name = value_text(get_property(F.col("properties"), d_field)), value_text(get_property(F.col("properties"), n_field))

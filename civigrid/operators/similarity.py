@@ -184,15 +184,15 @@ def grouped_layers(layers: DataFrame, key: str = "place_fips", order: str = "ord
                 for n in near if near is not None else ():
                     by.setdefault(n["x"], []).append(n)
                 # Members are looked at group by group, each in the order it was filled.
-                home, filled = {}, {}
+                home, filled, rank = {}, {}, {}
                 for o in orders:
                     best = None
-                    rank = {m: (g, i) for g, ms in filled.items() for i, m in enumerate(ms)} if o in by else {}
                     for n in sorted(by.get(o, ()), key=lambda n: rank[n["y"]]):
                         if best is None or n["confidence"] > best["confidence"]:
                             best = n
                     home[o] = o if best is None else home[best["y"]]
-                    filled.setdefault(home[o], []).append(o)
+                    filled[home[o]] = filled.get(home[o], 0) + 1
+                    rank[o] = (home[o], filled[home[o]])
                     rows.append((place, o, home[o], None if best is None else best["confidence"], ["initial candidate group"] if best is None else list(best["reasons"])))
             yield pd.DataFrame(rows, columns=[key, order, "group_id", "member_score", "member_reasons"])
 

@@ -14,6 +14,9 @@ def staged(df: DataFrame) -> DataFrame:
     below it with all its patterns inlined. A lost executor costs nothing that is already there.
     """
     spark = df.sparkSession
+    master = spark.sparkContext.master
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None and master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="civigrid-"))
     return df.checkpoint()

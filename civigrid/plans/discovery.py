@@ -39,12 +39,20 @@ def distinct_urls(found: DataFrame) -> DataFrame:
     return merged.select("place_fips", "_first.*", F.array_distinct(F.flatten(F.transform("_all", lambda x: x["r"]))).alias("candidate_reasons"))
 
 
-def discovered(places: DataFrame, hits: DataFrame, metadata: DataFrame) -> dict[str, DataFrame]:
+COUNTED = ("candidates", "inspected", "valid", "rejected", "groups", "chosen")
+
+
+def discovered(places: DataFrame, hits: DataFrame, metadata: DataFrame, failures: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of a run, keyed by place: candidates, inspected, valid, rejected, groups, sources, chosen, results.
 
-    ``results`` has a row for each place, with counts and, where the place couldn't be searched at all, an error.
+    A search or an address without an answer only leaves its hits or its layer out; a place with no hit at all has no
+    source, but hasn't failed. A place has failed if its processing broke off: ``failures`` has such places (place_fips)
+    with the message of the cause. ``results`` has a row for each place, with counts and, for failed ones, the error;
+    no other table has rows of failed places.
     """
-    searches = search_texts(places)
+    none = places.sparkSession.createDataFrame([], "place_fips string, error string")
+    failed = (none if failures is None else failures).groupBy("place_fips").agg(F.min(F.coalesce("error", F.lit("undefined"))).alias("error"))
+    searches = search_texts(places.join(failed.select("place_fips"), "place_fips", "left_anti").select(*places.columns))
     found = staged(distinct_urls(candidates(searches, hits)))
     layers = staged(classified(inspected(found.withColumn("candidate_url", F.col("url")), metadata)))
     valid, rejected = layers.where("NOT rejected"), layers.where("rejected")
@@ -52,12 +60,10 @@ def discovered(places: DataFrame, hits: DataFrame, metadata: DataFrame) -> dict[
     sources = group_sources(members)
     chosen = place_sources(sources)
     tables = {"candidates": found, "inspected": layers, "valid": valid, "rejected": rejected, "scored": scored_sources(valid), "members": members, "groups": groups(members), "sources": sources, "chosen": chosen}
-    answered = searches.join(hits.select("query").distinct(), "query", "left_semi").select("place_fips").distinct().withColumn("answered", F.lit(True))
-    counts = places
-    for name, table in (("candidates", found), ("inspected", layers), ("valid", valid), ("rejected", rejected), ("groups", tables["groups"]), ("chosen", chosen)):
-        counts = counts.join(table.groupBy("place_fips").agg(F.count("*").alias(f"n_{name}")), "place_fips", "left")
-    error = F.when(F.col("answered").isNull(), F.lit("no search was answered"))
-    tables["results"] = counts.join(answered, "place_fips", "left").select(*places.columns, *(F.coalesce(f"n_{n}", F.lit(0)).alias(f"n_{n}") for n in ("candidates", "inspected", "valid", "rejected", "groups", "chosen")), error.alias("error"))
+    counts = places.join(failed, "place_fips", "left")
+    for name in COUNTED:
+        counts = counts.join(tables[name].groupBy("place_fips").agg(F.count("*").alias(f"n_{name}")), "place_fips", "left")
+    tables["results"] = counts.select(*places.columns, *(F.coalesce(f"n_{n}", F.lit(0)).alias(f"n_{n}") for n in COUNTED), "error")
     return tables
 
 

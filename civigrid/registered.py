@@ -82,9 +82,9 @@ def q_place_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.in_state(C.place_rows(spark, sf_dir), "New York").select("place_fips", "city", T.state_code(F.col("state")).alias("code"))
 
 
-@query(f"WITH {C.PLACES_SQL} SELECT place_fips, city, state FROM places WHERE lower(trim(city)) = 'mesa town' AND upper(state) = 'CA'")
+@query(f"WITH {C.PLACES_SQL} SELECT place_fips, city, state FROM places WHERE lower(trim(city)) = 'mesa town' AND upper(state) = 'ARIZONA'")
 def q_places_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.chosen(C.place_rows(spark, sf_dir), city=" MESA town", state="ca").select("place_fips", "city", "state")
+    return P.chosen(C.place_rows(spark, sf_dir), city=" MESA town", state="arizona").select("place_fips", "city", "state")
 
 
 @query(f"WITH {C.PLACES_SQL} SELECT place_fips, {REGISTRY_NAME_SQL.format('city')} AS key, {state_sql('state')} AS code FROM places")
@@ -359,8 +359,8 @@ def q_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DEDUPED = f"""{LAYER_PAIRS}, near AS (SELECT x, list(struct_pack(y := y, c := confidence)) AS ns FROM lpairs WHERE equivalent GROUP BY x),
 valid AS (SELECT place_fips, ord, row_number() OVER (PARTITION BY place_fips ORDER BY ord) AS n, coalesce(ns, []) AS ns FROM lp LEFT JOIN near ON x = ord WHERE is_political AND NOT rejected),
-walk AS (SELECT place_fips, n, ord, ord AS g, NULL::DOUBLE AS s, [struct_pack(m := ord, g := ord)] AS homes FROM valid WHERE n = 1
-UNION ALL SELECT place_fips, n, ord, coalesce(best.g, ord), -best.c, list_append(homes, struct_pack(m := ord, g := coalesce(best.g, ord))) FROM (
+walk AS (SELECT place_fips, n, ord, ord AS g, NULL::DOUBLE AS s, NULL::BIGINT AS y, [struct_pack(m := ord, g := ord)] AS homes FROM valid WHERE n = 1
+UNION ALL SELECT place_fips, n, ord, coalesce(best.g, ord), -best.c, best.y, list_append(homes, struct_pack(m := ord, g := coalesce(best.g, ord))) FROM (
   SELECT w.place_fips, v.n, v.ord, w.homes, list_min(list_transform(v.ns, lambda q: struct_pack(c := -q.c, g := list_filter(w.homes, lambda h: h.m = q.y)[1].g, y := q.y))) AS best FROM walk w JOIN valid v ON v.place_fips = w.place_fips AND v.n = w.n + 1))"""
 
 
@@ -369,9 +369,31 @@ def q_cluster_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.deduplicated_layers(layers(spark, sf_dir)).select("place_fips", "ord", "group_id", F.round("member_score", 9).alias("member_score"))
 
 
-@query()
+def hundredths_sql(k: str) -> str:
+    """A ratio of two list lengths with two decimals, halves up, in whole numbers."""
+    both, either = f"len(list_intersect(a.p.{k}, b.p.{k}))", f"greatest(1, len(list_distinct(list_concat(a.p.{k}, b.p.{k}))))"
+    h = f"((200 * {both} + {either}) // (2 * {either}))"
+    return f"' (' || ({h} // 100)::VARCHAR || '.' || lpad(({h} % 100)::VARCHAR, 2, '0') || ')'"
+
+
+def stepped_sql(k: str, steps: list[tuple[float, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {RATIOS[k]} {'>' if least == 0 else '>='} {least!r} THEN {C.quoted(text)} || {hundredths_sql(k)}" for least, text in steps) + " END"
+
+
+REASONS = [
+    "'same political district type'",
+    "CASE WHEN a.p.geometry IS NULL OR b.p.geometry IS NULL OR a.p.geometry = b.p.geometry THEN 'same geometry type' END",
+    "CASE WHEN a.p.service = b.p.service THEN 'same ArcGIS service' END",
+    "CASE WHEN a.p.layer = b.p.layer THEN 'same ArcGIS layer name' END",
+    stepped_sql("words", [(0.75, "highly similar layer titles"), (0.5, "similar layer titles"), (0.3, "partially similar layer titles")]),
+    stepped_sql("districts", [(0.75, "strong district-field similarity"), (0, "partial district-field similarity")]),
+    stepped_sql("fields", [(0.75, "highly similar field structure"), (0.5, "similar field structure")]),
+]
+
+
+@query(f"""WITH RECURSIVE {DEDUPED} SELECT w.place_fips, w.ord, CASE WHEN w.y IS NULL THEN 'initial candidate group' WHEN a.p.url = b.p.url THEN 'same ArcGIS layer URL' ELSE {bars_sql(REASONS)} END AS reasons
+FROM walk w JOIN lp a ON a.ord = w.ord LEFT JOIN lp b ON b.ord = w.y""")
 def q_dedupe_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reasons end with ratios of two decimals that SQL rounds otherwise."""
     return M.deduplicated_layers(layers(spark, sf_dir)).select("place_fips", "ord", bars("member_reasons").alias("reasons"))
 
 
@@ -402,7 +424,7 @@ def q_score_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.ranked_sources(members(spark, sf_dir)).select("place_fips", "group_id", "ord", "score", "score_gap", "requires_review")
 
 
-@query(f"WITH RECURSIVE {CHOSEN} SELECT place_fips AS \"placeFips\", 'City ' || (ord % 100)::VARCHAR AS city, 'AZ' AS state, district_type AS \"districtType\", url, service_type AS \"serviceType\", title, official_source AS official, district_field AS district, name_field AS name, review AS \"requiresReview\" FROM chosen")
+@query(f"WITH RECURSIVE {CHOSEN} SELECT place_fips AS \"placeFips\", 'City ' || (ord // 20)::VARCHAR AS city, 'AZ' AS state, district_type AS \"districtType\", url, service_type AS \"serviceType\", title, official_source AS official, district_field AS district, name_field AS name, review AS \"requiresReview\" FROM chosen")
 def q_registry_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = C.layer_rows(spark, sf_dir).select("place_fips", "city", "state").distinct()
     entries = R.ordered(R.built(places, L.place_sources(L.group_sources(members(spark, sf_dir))), "2026-01-01T00:00:00.000Z"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civigrid import carriers as C
@@ -61,10 +61,9 @@ def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from civigrid.sources.documents import exploded
+    from civigrid.sources.documents import exploded, feature_collections
 
-    doc = collections(spark, sf_dir).withColumn("v", F.try_parse_json("value")).where(F.try_variant_get("v", "$.type", "string") == "FeatureCollection")
-    return exploded(doc.select("place_fips", "boundary_type", F.try_variant_get("v", "$.features", "array<variant>").alias("features")))
+    return exploded(feature_collections(collections(spark, sf_dir)))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,20 +122,29 @@ def broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "customer").select(k.alias("pos"), F.when(k % 31 == 0, "12").otherwise(F.lpad(k.cast("string"), 7, "0")).alias("placeFips"), bad(1, " ", F.lit("Tucson")).alias("city"), bad(2, "Az", F.lit("AZ")).alias("state"), bad(3, "county", F.lit("ward")).alias("districtType"), F.when(k % 31 != 8, source).alias("source"), F.when(k % 31 != 10, fields).alias("fields"), F.when(k % 31 != 13, meta).alias("metadata"))
 
 
-MESSAGES = {0: "placeFips must be a 7-digit Census place GEOID.", 1: "city is required.", 2: "state must be a two-letter abbreviation.", 3: "invalid districtType: county", 4: "source.url must be a valid HTTP or HTTPS URL.", 5: "source.serviceType must be FeatureServer or MapServer.", 6: "source.title is required.", 7: "source.official must be a boolean.", 8: "source is required.", 9: "fields.district is required.", 10: "fields is required.", 11: "metadata.generatedAt must be a valid date.", 12: "metadata.requiresReview must be a boolean.", 13: "metadata is required."}
+# The same rows in SQL, and the rules over their values, in their order.
+BROKEN_SQL = """broken AS (SELECT c_custkey AS pos, CASE WHEN k = 0 THEN '12' ELSE lpad(c_custkey::VARCHAR, 7, '0') END AS fips, CASE WHEN k = 1 THEN ' ' ELSE 'Tucson' END AS city, CASE WHEN k = 2 THEN 'Az' ELSE 'AZ' END AS state, CASE WHEN k = 3 THEN 'county' ELSE 'ward' END AS kind,
+ k <> 8 AS has_source, CASE WHEN k = 4 THEN 'ftp://x' ELSE 'https://example.com/a' END AS url, CASE WHEN k = 5 THEN 'ImageServer' ELSE 'MapServer' END AS service, CASE WHEN k = 6 THEN '  ' ELSE 'T' END AS title, CASE WHEN k <> 7 THEN true END AS official,
+ k <> 10 AS has_fields, CASE WHEN k = 9 THEN '' ELSE 'WARD' END AS district, k <> 13 AS has_metadata, CASE WHEN k = 11 THEN 'never' ELSE '2026-01-02T03:04:05.678Z' END AS made, CASE WHEN k <> 12 THEN false END AS review FROM (SELECT c_custkey, c_custkey % 31 AS k FROM customer)),
+judged AS (SELECT pos, CASE WHEN NOT regexp_full_match(fips, '[0-9]{7}') THEN 'placeFips must be a 7-digit Census place GEOID.' WHEN trim(city) = '' THEN 'city is required.' WHEN NOT regexp_full_match(state, '[A-Z]{2}') THEN 'state must be a two-letter abbreviation.'
+ WHEN kind NOT IN ('ward', 'council-district', 'aldermanic-district', 'municipal-district') THEN 'invalid districtType: ' || kind WHEN NOT has_source THEN 'source is required.' WHEN NOT regexp_matches(url, '^https?://') THEN 'source.url must be a valid HTTP or HTTPS URL.'
+ WHEN service NOT IN ('FeatureServer', 'MapServer') THEN 'source.serviceType must be FeatureServer or MapServer.' WHEN trim(title) = '' THEN 'source.title is required.' WHEN official IS NULL THEN 'source.official must be a boolean.' WHEN NOT has_fields THEN 'fields is required.'
+ WHEN trim(district) = '' THEN 'fields.district is required.' WHEN NOT has_metadata THEN 'metadata is required.' WHEN try_cast(made AS TIMESTAMPTZ) IS NULL THEN 'metadata.generatedAt must be a valid date.' WHEN review IS NULL THEN 'metadata.requiresReview must be a boolean.' END AS error FROM broken)"""
 
 
-@query("SELECT c_custkey AS pos, CASE c_custkey % 31 " + " ".join(f"WHEN {n} THEN 'Entry ' || (c_custkey + 1)::VARCHAR || ': ' || {C.quoted(m)}" for n, m in MESSAGES.items()) + " END AS error FROM customer")
+@query(f"WITH {BROKEN_SQL} SELECT pos, 'Entry ' || (pos + 1)::VARCHAR || ': ' || error AS error FROM judged")
 def q_registry_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.generated_entries(broken(spark, sf_dir)).select("pos", "error")
 
 
-@query("SELECT count(*) FILTER (c_custkey % 31 > 13) AS valid, count(*) FILTER (c_custkey % 31 <= 13) AS invalid FROM customer")
+@query(f"WITH {BROKEN_SQL} SELECT count(*) FILTER (error IS NULL) AS valid, count(error) AS invalid FROM judged")
 def q_registry_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.totals(V.generated_entries(broken(spark, sf_dir)))
 
 
-@query(f"""WITH {ENTRIES_SQL} SELECT pos, CASE k % 6 WHEN 1 THEN 'Invalid registry entry: missing city.' WHEN 2 THEN 'Invalid registry source: expected an object.' WHEN 3 THEN 'Invalid registry source: missing fieldMapping.district.' WHEN 4 THEN 'Invalid registry entry: missing generatedFile.' END AS error, {state_sql('state')} AS state FROM entries""")
+@query(f"""WITH {ENTRIES_SQL}, v AS (SELECT pos, state, "placeFips" AS fips, CASE WHEN k % 6 <> 1 THEN city END AS city, "boundaryType" AS kind, CASE WHEN k % 6 <> 4 THEN 'f' || k::VARCHAR END AS file, k % 6 <> 2 AS has_source, CASE WHEN k % 6 <> 3 THEN 'WARD' END AS district FROM entries)
+SELECT pos, CASE WHEN fips IS NULL THEN 'Invalid registry entry: missing placeFips.' WHEN city IS NULL THEN 'Invalid registry entry: missing city.' WHEN state IS NULL THEN 'Invalid registry entry: missing state.' WHEN kind IS NULL THEN 'Invalid registry entry: missing boundaryType.' WHEN file IS NULL THEN 'Invalid registry entry: missing generatedFile.'
+ WHEN NOT has_source THEN 'Invalid registry source: expected an object.' WHEN district IS NULL THEN 'Invalid registry source: missing fieldMapping.district.' END AS error, {state_sql('state')} AS state FROM v""")
 def q_registry_package_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("pos") % 6
     rows = entries(spark, sf_dir)
@@ -145,7 +153,8 @@ def q_registry_package_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.package_entries(rows).select("pos", "error", "state")
 
 
-@query(f"""WITH {C.PLACES_SQL} SELECT place_fips AS \"placeFips\", CASE ord % 5 WHEN 1 THEN 'Invalid Census place ' || place_fips || ': invalid placeType.' WHEN 2 THEN 'Invalid Census place: missing city.' END AS error, {state_sql('state')} AS state FROM places""")
+@query(f"""WITH {C.PLACES_SQL}, v AS (SELECT place_fips, state, CASE WHEN ord % 5 <> 2 THEN city END AS city, CASE ord % 5 WHEN 1 THEN 'other' WHEN 3 THEN 'incorporated-place' END AS kind FROM places)
+SELECT place_fips AS \"placeFips\", CASE WHEN city IS NULL THEN 'Invalid Census place: missing city.' WHEN kind NOT IN ('incorporated-place', 'census-designated-place') THEN 'Invalid Census place ' || place_fips || ': invalid placeType.' END AS error, {state_sql('state')} AS state FROM v""")
 def q_places_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("ord") % 5
     rows = C.place_rows(spark, sf_dir).select(F.col("place_fips").alias("placeFips"), F.when(k != 2, F.col("city")).alias("city"), "state", F.when(k == 1, "other").when(k == 3, "incorporated-place").alias("placeType"))
@@ -158,9 +167,28 @@ def q_geojson_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.normalised(shapes, "Tucson", "AZ", "0477000", "ward", key=["collection"]).select("collection", "feature_pos", "id", "district", "name", "geometry_type")
 
 
-@query(f"WITH {ENTRIES_SQL} SELECT \"placeFips\" AS place_fips, 'WARD' AS district_property, 'NAME' AS name_property FROM entries")
+# Property names of features, by the collection's number; the second feature has the next number's names too.
+PROPERTY_SETS = [["WARD", "NAME"], ["OBJECTID", "Council_District", "Label"], ["FID", "WardBoundaryNo", "council-name"], ["APN", "owner"], ["DistrictName", "Ward No", "Description", "district_name"], ["name", "my_ward_x", "his_district"], []]
+
+
+def named_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two features for each customer's collection, with properties of several names."""
+    k = F.col("c_custkey")
+    bodies = F.array(*(F.lit("{" + ",".join(f'"{n}":{i}' for i, n in enumerate(names)) + "}") for names in PROPERTY_SETS))
+    at = F.pmod(k + F.col("feature_pos"), F.lit(len(PROPERTY_SETS))).cast("int")
+    return C.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("place_fips"), k, F.explode(F.array(F.lit(0), F.lit(1))).alias("feature_pos")).select("place_fips", "feature_pos", F.parse_json(F.get(bodies, at)).alias("properties"), F.get(bodies, at).alias("properties_text"))
+
+
+def ranks_sql(names: list[str]) -> str:
+    return f"list_position({list(dict.fromkeys(n.replace('_', '') for n in names))}, key)"
+
+
+@query(f"""WITH names(set_no, i, name) AS (VALUES {", ".join(f"({s}, {i}, '{n}')" for s, names in enumerate(PROPERTY_SETS) for i, n in enumerate(names))}),
+p AS (SELECT c_custkey, name, {C.key_sql('name')} AS key, feature_pos * 100 + i AS place FROM customer, (VALUES (0), (1)) f(feature_pos) JOIN names ON set_no = (c_custkey + feature_pos) % {len(PROPERTY_SETS)}),
+o AS (SELECT c_custkey, name, key, min(place) AS place, {ranks_sql(J.DISTRICT_NAMES)} AS d, {ranks_sql(J.NAME_NAMES)} AS n FROM p GROUP BY c_custkey, name, key)
+SELECT c_custkey::VARCHAR AS place_fips, coalesce(arg_min(name, d * 1000 + place) FILTER (d > 0), arg_min(name, place) FILTER (key LIKE '%district%' OR key LIKE '%ward%')) AS district_property, arg_min(name, n * 1000 + place) FILTER (n > 0) AS name_property FROM o GROUP BY c_custkey""")
 def q_property_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.detected_fields(boundaries(spark, sf_dir), ["place_fips"])
+    return J.detected_fields(named_features(spark, sf_dir), ["place_fips"])
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k, length(props) AS n, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN 'Layer ' || event_id::VARCHAR ELSE 'x' END AS name FROM events")
@@ -174,39 +202,101 @@ def q_json_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").alias("n")).join(parsed, "event_id")
 
 
+#: Messages of what broke off the processing of some places.
+CAUSES = ["fetch failed", "Unexpected token < in JSON"]
+
+
 def recorded_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """A discovery run over all suppliers as places, with answers made from their keys.
 
-    The SQL of the queries over it stands for 20 places, and so gives other rows than they where there are more or fewer.
+    Each place makes six searches; every fifth place has no answer to any, of the others' a quarter of the searches have
+    none, and some answers lack the service's address. Of every eleven places one failed.
     """
     from civigrid.plans.discovery import discovered, search_texts
 
     k = F.col("s_suppkey")
     places = C.table(spark, sf_dir, "supplier").select(F.lpad(k.cast("string"), 7, "0").alias("place_fips"), F.concat(F.lit("City"), k.cast("string")).alias("city"), F.lit("AZ").alias("state"))
     n = F.col("place_fips").cast("long")
-    asked = search_texts(places).where((n % 5 != 0) & F.col("query_no").isin(0, 2))
+    failures = places.where(n % 11 == 3).select("place_fips", C.pick(CAUSES, n).alias("error"))
+    asked = search_texts(places).where((n % 5 != 0) & ((n + F.col("query_no")) % 4 != 0))
     base = F.concat(F.lit("https://gis.tucsonaz.gov/rest/services/P"), n.cast("string"), F.lit("/FeatureServer"))
-    hits = asked.select("query", F.posexplode(F.array(F.struct(F.lit("Wards").alias("title"), F.concat(base, F.lit("/0/")).alias("url")), F.struct(F.lit("Same").alias("title"), F.concat(base, F.lit("/0?f=html")).alias("url")), F.struct(F.lit("Service").alias("title"), base.alias("url")), F.struct(F.lit("No address").alias("title"), F.lit("").alias("url")))).alias("pos", "h")).select("query", "pos", "h.title", "h.url")
+
+    def hit(title: str, url: Column) -> Column:
+        return F.struct(F.lit(title).alias("title"), url.alias("url"))
+
+    answers = F.array(hit("Wards", F.concat(base, F.lit("/0/"))), hit("Same", F.concat(base, F.lit("/x/../0?f=html"))), hit("Service", F.when(n % 7 != 1, base)), hit("No address", F.lit("")))
+    hits = asked.select("query", F.posexplode(answers).alias("pos", "h")).select("query", "pos", "h.title", "h.url")
     fields = '"fields":[{"name":"WARD","alias":"Ward"},{"name":"NAME","alias":"Ward Name"}]'
     layer = F.concat(F.lit('{"name":"'), F.when(n % 3 == 0, "Parks").otherwise("Ward Boundary"), F.lit('","geometryType":"esriGeometryPolygon","capabilities":"Query","supportedQueryFormats":"JSON, geoJSON",' + fields + "}"))
     bodies = places.select(F.explode(F.array(F.struct(F.concat(base, F.lit("/0")).alias("url"), layer.alias("body")), F.struct(base.alias("url"), F.lit('{"name":"City service","layers":[{"id":1,"name":"Roads"},{"id":0,"name":"Wards"}]}').alias("body")))).alias("m")).select("m.*")
-    return discovered(places, hits, bodies)
+    return discovered(places, hits, bodies, failures)
+
 
+#: Candidates of the places that were processed: ``v`` is 0 for the layer's address, 2 for the service's.
+RUN_SQL = f"""p AS (SELECT s_suppkey AS k, s_suppkey % 11 = 3 AS failed, CASE WHEN s_suppkey % 11 = 3 THEN {C.pick_sql(CAUSES, 's_suppkey')} END AS error FROM supplier),
+s AS (SELECT k, q FROM p, range(6) r(q) WHERE NOT failed AND k % 5 <> 0 AND (k + q) % 4 <> 0),
+c AS (SELECT k, v, min(q) * 1000 + v AS ord, k % 3 = 0 AS rejected FROM s, (VALUES (0), (2)) u(v) WHERE v = 0 OR k % 7 <> 1 GROUP BY k, v)"""
 
-@query("SELECT 20::BIGINT AS municipalities, 32::BIGINT AS candidates, 32::BIGINT AS inspected, 22::BIGINT AS valid, 10::BIGINT AS rejected, 11::BIGINT AS groups, 11::BIGINT AS canonical, 5::BIGINT AS no_canonical, 4::BIGINT AS failed")
+
+@query(f"""WITH {RUN_SQL}, g AS (SELECT DISTINCT k FROM c WHERE NOT rejected)
+SELECT count(*) AS municipalities, (SELECT count(*) FROM c) AS candidates, (SELECT count(*) FROM c) AS inspected, (SELECT count(*) FROM c WHERE NOT rejected) AS valid, (SELECT count(*) FROM c WHERE rejected) AS rejected, (SELECT count(*) FROM g) AS groups,
+ (SELECT count(*) FROM g) AS canonical, count(*) FILTER (NOT failed AND k NOT IN (SELECT k FROM g)) AS no_canonical, count(*) FILTER (failed) AS failed FROM p""")
 def q_discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.plans.discovery import summary
 
     return summary(recorded_run(spark, sf_dir)["results"])
 
 
-@query("""SELECT lpad(k::VARCHAR, 7, '0') AS place_fips, v AS ord, 'https://gis.tucsonaz.gov/rest/services/P' || k::VARCHAR || '/FeatureServer/0' AS url, CASE WHEN v = 0 THEN 'P' || k::VARCHAR ELSE 'City service' END AS service_name, CASE WHEN k % 3 = 0 THEN 'Parks' ELSE 'Ward Boundary' END AS layer_name, 'WARD|NAME' AS district_fields, 'NAME' AS name_fields, k % 3 = 0 AS rejected
-FROM range(1, 21) t(k), (VALUES (0::BIGINT), (2::BIGINT)) u(v) WHERE k % 5 <> 0""")
+@query(f"""WITH {RUN_SQL} SELECT lpad(p.k::VARCHAR, 7, '0') AS place_fips, count(c.k) AS n_candidates, count(*) FILTER (NOT rejected) AS n_valid, count(DISTINCT CASE WHEN NOT rejected THEN c.k END) AS n_chosen, any_value(error) AS error FROM p LEFT JOIN c USING (k) GROUP BY p.k""")
+def q_discovery_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recorded_run(spark, sf_dir)["results"].select("place_fips", "n_candidates", "n_valid", "n_chosen", "error")
+
+
+@query(f"""WITH {RUN_SQL} SELECT lpad(k::VARCHAR, 7, '0') AS place_fips, ord::BIGINT AS ord, 'https://gis.tucsonaz.gov/rest/services/P' || k::VARCHAR || '/FeatureServer/0' AS url, CASE WHEN v = 0 THEN 'P' || k::VARCHAR ELSE 'City service' END AS service_name, CASE WHEN rejected THEN 'Parks' ELSE 'Ward Boundary' END AS layer_name, 'WARD|NAME' AS district_fields, 'NAME' AS name_fields, rejected FROM c""")
 def q_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = recorded_run(spark, sf_dir)["inspected"]
     return found.select("place_fips", "ord", "url", "service_name", "layer_name", bars("district_fields").alias("district_fields"), bars("name_fields").alias("name_fields"), "rejected")
 
 
+# Addresses with what a URL parser makes of them, as keys of a look-up and of a layer.
+ADDRESSES = [
+    ("HTTPS://Ex.com:443/a/../b/", "https://ex.com/b", "https://ex.com/b"),
+    ("http://ex.com/a b/C", "http://ex.com/a%20b/c", "http://ex.com/a%20b/C"),
+    ("http://münchen.de/Straße", "http://xn--mnchen-3ya.de/stra%c3%9fe", "http://xn--mnchen-3ya.de/Stra%C3%9Fe"),
+    ("https://ex.com?x=1#y", "https://ex.com", "https://ex.com"),
+    ("http://ex.com/./x/%2e%2E/y?q#f", "http://ex.com/y", "http://ex.com/y"),
+    ("  https://ex.com/A// ", "https://ex.com/a", "https://ex.com/A/"),
+    ("http:\\\\ex.com\\a", "http://ex.com/a", "http://ex.com/a"),
+    ("ftp://u:p@ex.com:21/x", "ftp://u:p@ex.com/x", "ftp://u:p@ex.com/x"),
+    ("http://ex.com:8080/a/..", "http://ex.com:8080", "http://ex.com:8080"),
+    ("http://ex.com:99999/A", "http://ex.com:99999/a", "http ex com 99999 a"),
+    ("http://EX%41.com/", "http://exa.com", "http://exa.com"),
+    ("https://[::1]:443/x", "https://[::1]/x", "https://[::1]/x"),
+    ("http:ex.com/x", "http://ex.com/x", "http://ex.com/x"),
+    ("http://ex.com/../..", "http://ex.com", "http://ex.com"),
+    ("http://a b/X", "http://a b/x", "http a b x"),
+    ("No Address", "no address", "no address"),
+    ("https://日本.jp/地図", "https://xn--wgv71a.jp/%e5%9c%b0%e5%9b%b3", "https://xn--wgv71a.jp/%E5%9C%B0%E5%9B%B3"),
+]
+
+
+@query(f"SELECT p_partkey AS id, {', '.join(f'{C.pick_sql([x[i] for x in ADDRESSES], "p_partkey")} AS {name}' for i, name in ((1, 'lookup_key'), (2, 'layer_key')))} FROM part")
+def q_url_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.functions import urls as U
+
+    rows = C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), C.pick([x[0] for x in ADDRESSES], F.col("p_partkey")).alias("url"))
+    return rows.select("id", U.lookup_key(F.col("url")).alias("lookup_key"), U.layer_key(F.col("url")).alias("layer_key"))
+
+
+# Texts and whether a date parser takes them for a date.
+DATES = [("2026-01-02T03:04:05.678Z", True), ("2026-01-02", True), ("2026-01", True), ("2026", True), ("2026-02-30", True), ("2026-13-01", False), ("2026-01-32", False), ("2026-01-02 03:04:05", True), ("2026-01-02T25:00Z", False), ("2026-01-02T03:04:05+02:00", True), ("Jan 2, 2026", True), ("2 January 2026 10:00 GMT", True), ("Fri, 02 Jan 2026 03:04:05 GMT", True), ("1/2/2026", True), ("2026/1/2", True), ("never", False), ("", False), (None, False), ("2026-01-02T24:00:00Z", True)]
+
+
+@query(f"SELECT p_partkey AS id, {C.pick_sql([str(ok).lower() for _, ok in DATES], 'p_partkey')}::BOOLEAN AS is_date FROM part")
+def q_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.is_date(C.pick([x for x, _ in DATES], F.col("p_partkey"))).alias("is_date"))
+
+
 @query("SELECT p_partkey AS id, CASE WHEN p_partkey * 997 < 1024 THEN (p_partkey * 997)::VARCHAR || ' B' WHEN p_partkey * 997 < 1048576 THEN printf('%.1f KB', floor(p_partkey * 997 / 1024.0 * 10 + 0.5) / 10) ELSE printf('%.1f MB', floor(p_partkey * 997 / 1048576.0 * 10 + 0.5) / 10) END AS size FROM part")
 def q_format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.byte_size(F.col("p_partkey") * 997).alias("size"))

@@ -57,21 +57,29 @@ def read_boundaries(spark: SparkSession, folder: str) -> DataFrame:
     Files that are no JSON or no feature collection are passed over; features that are no polygons have null coordinates.
     """
     raw = spark.read.text(f"{folder}/*/*.geojson", wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    doc = raw.select(F.regexp_extract("path", r"/([^/]+)/([^/]+)\.geojson$", 1).alias("place_fips"), F.regexp_extract("path", r"/([^/]+)/([^/]+)\.geojson$", 2).alias("boundary_type"), F.try_parse_json("value").alias("v"))
-    good = doc.where(F.try_variant_get("v", "$.type", "string") == "FeatureCollection")
-    return exploded(good.select("place_fips", "boundary_type", F.try_variant_get("v", "$.features", "array<variant>").alias("features")))
+    doc = raw.select(F.regexp_extract("path", r"/([^/]+)/([^/]+)\.geojson$", 1).alias("place_fips"), F.regexp_extract("path", r"/([^/]+)/([^/]+)\.geojson$", 2).alias("boundary_type"), "value")
+    return exploded(feature_collections(doc))
+
+
+def feature_collections(documents: DataFrame) -> DataFrame:
+    """Of JSON texts in ``value`` those that are feature collections: their features, and the properties' texts, in whose order names stand."""
+    own = [c for c in documents.columns if c != "value"]
+    doc = documents.select(*own, "value", F.try_parse_json("value").alias("v")).where(F.try_variant_get("v", "$.type", "string") == "FeatureCollection")
+    texts = F.from_json("value", "features array<struct<properties:string>>")["features"]
+    return doc.select(*own, F.try_variant_get("v", "$.features", "array<variant>").alias("features"), F.transform(texts, lambda x: x["properties"]).alias("texts"))
 
 
 def exploded(collections: DataFrame) -> DataFrame:
-    """Features of collections (an array of JSON values in ``features``), with the other columns."""
-    own = [c for c in collections.columns if c != "features"]
-    rows = collections.select(*own, F.posexplode("features").alias("feature_pos", "f"))
+    """Features of collections (an array of JSON values in ``features``, their properties' texts in ``texts``), with the other columns."""
+    own = [c for c in collections.columns if c not in ("features", "texts")]
+    rows = collections.select(*own, "texts", F.posexplode("features").alias("feature_pos", "f"))
     g = F.try_variant_get("f", "$.geometry", "variant")
     return rows.select(
         *own,
         "feature_pos",
         F.try_variant_get("f", "$.id", "variant").alias("feature_id"),
         F.try_variant_get("f", "$.properties", "variant").alias("properties"),
+        F.get("texts", F.col("feature_pos")).alias("properties_text"),
         F.try_variant_get(g, "$.type", "string").alias("geometry_type"),
         coordinates(g).alias("coordinates"),
     )

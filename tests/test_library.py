@@ -242,13 +242,56 @@ def test_boundaries_pass_over_bad_files(spark, tmp_path):
 def test_discovery_takes_every_supplier(spark, tmp_path):
     keys = [*range(1, 46), 1007]
     spark.createDataFrame([(k,) for k in keys], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
-    asked = [k for k in keys if k % 5]  # the others get no answers
-    wanted = {(f"{k:07d}", v, f"https://gis.tucsonaz.gov/rest/services/P{k}/FeatureServer/0", k % 3 == 0) for k in asked for v in (0, 2)}
+    failed = {k for k in keys if k % 11 == 3}
+    asked = {k: next(q for q in range(6) if (k + q) % 4) for k in keys if k % 5 and k not in failed}  # the first search with an answer
+    wanted = {(f"{k:07d}", 1000 * q + v, f"https://gis.tucsonaz.gov/rest/services/P{k}/FeatureServer/0", k % 3 == 0) for k, q in asked.items() for v in (0, 2) if v == 0 or k % 7 != 1}
     got = [(r.place_fips, r.ord, r.url, r.rejected) for r in registered.queries()["q_inspect"](spark, str(tmp_path)).collect()]
     assert len(got) == len(wanted) and set(got) == wanted
     total = registered.queries()["q_discovery_summary"](spark, str(tmp_path)).first()
-    assert (total.municipalities, total.candidates, total.inspected, total.failed) == (len(keys), 2 * len(asked), 2 * len(asked), len(keys) - len(asked))
-    assert total.rejected == 2 * sum(k % 3 == 0 for k in asked) and total.valid == 2 * sum(k % 3 > 0 for k in asked) and total.no_canonical == sum(k % 3 == 0 for k in asked)
+    assert (total.municipalities, total.candidates, total.inspected, total.failed) == (len(keys), len(wanted), len(wanted), len(failed))
+    assert total.rejected == sum(x[3] for x in wanted) and total.valid == sum(not x[3] for x in wanted)
+    assert total.canonical == sum(k % 3 > 0 for k in asked) and total.no_canonical == len(keys) - len(failed) - total.canonical
+
+
+def test_a_place_without_hits_has_not_failed(spark):
+    from civigrid.plans.discovery import discovered, summary
+
+    places = spark.createDataFrame([("0000001", "Nowhere", "AZ"), ("0000002", "Broken", "AZ"), ("0000003", "Odd", "AZ")], "place_fips string, city string, state string")
+    hits = spark.createDataFrame([], "query string, pos int, title string, url string")
+    bodies = spark.createDataFrame([], "url string, body string")
+    failures = spark.createDataFrame([("0000002", "fetch failed"), ("0000003", None)], "place_fips string, error string")
+    results = discovered(places, hits, bodies, failures)["results"]
+    assert {r.place_fips: r.error for r in results.collect()} == {"0000001": None, "0000002": "fetch failed", "0000003": "undefined"}
+    total = summary(results).first()
+    assert (total.municipalities, total.failed, total.no_canonical, total.canonical) == (3, 2, 1, 0)
+    assert summary(discovered(places, hits, bodies)["results"]).first().failed == 0
+
+
+def test_download(tmp_path):
+    import functools
+    import http.server
+    import threading
+
+    from civigrid.sources.gazetteer import download
+
+    (tmp_path / "a.zip").write_bytes(b"PK")
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(http.server.SimpleHTTPRequestHandler, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    assert download(f"{base}/a.zip") == b"PK"
+    with pytest.raises(RuntimeError, match="404"):
+        download(f"{base}/none.zip")
+    server.shutdown()
+
+
+def test_property_names_keep_their_order(spark):
+    from civigrid.operators.geojson import detected_fields
+    from civigrid.sources.documents import exploded, feature_collections
+
+    text = '{"type":"FeatureCollection","features":[{"properties":{"zz_ward_x":1,"a_district_y":2}},{"properties":null}]}'
+    docs = spark.createDataFrame([("k", text), ("none", "{"), ("other", "[]")], "place_fips string, value string")
+    got = detected_fields(exploded(feature_collections(docs)), ["place_fips"]).collect()
+    assert [(r.place_fips, r.district_property, r.name_property) for r in got] == [("k", "zz_ward_x", None)]
 
 
 def comparable(df: pd.DataFrame) -> list[str]:
