@@ -192,6 +192,7 @@ def pack(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0, gr
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset. Null and empty texts are one token
     (``end_id``). Repeated rows are packed each for itself; an empty table gives no rows; other columns are ignored.
+    Among pieces of equal length, places go by the order in which tasks met them, so another run may swap such pieces.
     """
     spark = docs.sparkSession
     cut = written(pieces(docs, tokenizer, limit, end_id), "pieces")

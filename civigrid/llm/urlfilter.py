@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import small, written
+from civigrid.llm.common import BROADCAST_ROWS, spread, written
 
 #: Hex digits of a digest that the join compares first.
 SHORT = 8
@@ -38,8 +38,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
 
     A rule fits its host and all subdomains, if the path starts with its path. The longest rule (host and path
     together) wins; among equally long ones the longer host, then the later rule and verdict in string order (block before allow). ``default`` is the verdict where
-    no rule fits, null and malformed URLs included. Rules with a null or an empty host never fit. Repeated rows give
-    repeated rows, an empty table none; other columns are ignored.
+    no rule fits, null and malformed URLs included. Rules with a null or an empty host never fit. Of a very long URL all
+    host suffixes are asked for, and path prefixes up to the longest rule's length. Repeated rows give repeated rows, an
+    empty table none; other columns are ignored.
     """
     own = rules.where("host <> '' AND path IS NOT NULL AND verdict IS NOT NULL").select(F.translate("host", UPPER, LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict"))
     own = written(own.withColumn("digest", expression(F.col("r_host"), F.col("r_path"))).withColumn("short", F.substring("digest", 1, SHORT)), "url-rules")
@@ -52,7 +53,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
     pairs = F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: expression(h, p))))
     # explode_outer keeps pages without an expression; a page's rows stay in one task until the aggregate has joined them again.
     asked = given.select("row", "page_id", "host", "path", F.explode_outer(pairs).alias("asked")).withColumn("short", F.substring("asked", 1, SHORT))
-    found = asked.join(small(own), "short", "left")
+    # Of many rules, those that a third of all pages ask for are dealt over salts.
+    found = asked.join(F.broadcast(own), "short", "left") if own.count() <= BROADCAST_ROWS else spread(asked, own, "short", how="left", by="row")
     fits = F.col("asked") == F.col("digest")
     rank = F.when(fits, F.struct((F.length("r_host") + F.length("r_path")).alias("n"), F.length("r_host").alias("h"), F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict")).alias("r")))
     best = found.groupBy("row", "page_id", "host", "path").agg(F.max(rank).alias("best"))
