@@ -1,10 +1,41 @@
-"""Intermediate tables that are used several times."""
+"""Intermediate tables that are used several times, and folders for files."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``; only a local session without it gets one of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if app not in _folders:
+        _folders[app] = tempfile.mkdtemp(prefix="civigrid-")
+    return _folders[app]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has; what is written there goes when the driver's process ends."""
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have gone first
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -14,9 +45,6 @@ def staged(df: DataFrame) -> DataFrame:
     below it with all its patterns inlined. A lost executor costs nothing that is already there.
     """
     spark = df.sparkSession
-    master = spark.sparkContext.master
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None and master != "local" and not master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="civigrid-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

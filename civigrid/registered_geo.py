@@ -13,7 +13,8 @@ from civigrid.functions import text as T
 from civigrid.operators import geojson as J
 from civigrid.operators import registry as R
 from civigrid.operators import validation as V
-from civigrid.registered import REGISTRY_NAME_SQL, bars, query, state_sql
+from civigrid.operators.staging import new_path
+from civigrid.registered import CHOSEN, PLACE_TYPE_SQL, REGISTRY_NAME_SQL, bars, query, state_sql
 from civigrid.registered import QUERIES as _OTHERS
 from civigrid.registered import SQL as _OTHER_SQL
 
@@ -297,6 +298,35 @@ def q_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.is_date(C.pick([x for x, _ in DATES], F.col("p_partkey"))).alias("is_date"))
 
 
+# Written and read again, with their order.
+
+PLACES_COLUMNS = ["placeFips", "city", "state", "placeName", "placeType", "latitude", "longitude"]
+
+
+@query(f"""WITH {C.GAZETTEER_SQL}, p AS (SELECT geoid, trim(regexp_replace(trim(name), '(?i)\\s+(city|town|village|borough|municipality|township)$', '')) AS city, upper(usps) AS state, trim(name) AS name, {PLACE_TYPE_SQL} AS kind, latitude::DOUBLE AS latitude, longitude::DOUBLE AS longitude, ord FROM gazetteer WHERE {PLACE_TYPE_SQL} = 'incorporated-place')
+SELECT geoid AS "placeFips", city, state, name AS "placeName", kind AS "placeType", latitude, longitude FROM p""")
+def q_places_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.operators import places as P
+    from civigrid.sources.gazetteer import read_places, write_places
+
+    path = new_path(spark, "places")
+    write_places(P.places(C.gazetteer(spark, sf_dir)), path, "gazetteer", 2025)
+    return read_places(spark, path).select(*PLACES_COLUMNS)
+
+
+@query(f"""WITH RECURSIVE {CHOSEN}, e AS (SELECT place_fips, 'City ' || (ord // 20)::VARCHAR AS city, district_type, url FROM chosen)
+SELECT row_number() OVER (ORDER BY 'AZ', lower(city), place_fips) - 1 AS pos, place_fips AS "placeFips", city, district_type AS "districtType", url FROM e""")
+def q_registry_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.operators import selection as L
+    from civigrid.registered import members
+    from civigrid.sources.documents import read_generated, write_registry
+
+    path = new_path(spark, "registry")
+    places = C.layer_rows(spark, sf_dir).select("place_fips", "city", "state").distinct()
+    write_registry(R.built(places, L.place_sources(L.group_sources(members(spark, sf_dir))), "2026-01-01T00:00:00.000Z"), path)
+    return read_generated(spark, path).select(F.col("pos").cast("long").alias("pos"), "placeFips", "city", "districtType", F.col("source.url").alias("url"))
+
+
 @query("SELECT p_partkey AS id, CASE WHEN p_partkey * 997 < 1024 THEN (p_partkey * 997)::VARCHAR || ' B' WHEN p_partkey * 997 < 1048576 THEN printf('%.1f KB', floor(p_partkey * 997 / 1024.0 * 10 + 0.5) / 10) ELSE printf('%.1f MB', floor(p_partkey * 997 / 1048576.0 * 10 + 0.5) / 10) END AS size FROM part")
 def q_format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), T.byte_size(F.col("p_partkey") * 997).alias("size"))
