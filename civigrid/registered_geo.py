@@ -304,14 +304,14 @@ PLACES_COLUMNS = ["placeFips", "city", "state", "placeName", "placeType", "latit
 
 
 @query(f"""WITH {C.GAZETTEER_SQL}, p AS (SELECT geoid, trim(regexp_replace(trim(name), '(?i)\\s+(city|town|village|borough|municipality|township)$', '')) AS city, upper(usps) AS state, trim(name) AS name, {PLACE_TYPE_SQL} AS kind, latitude::DOUBLE AS latitude, longitude::DOUBLE AS longitude, ord FROM gazetteer WHERE {PLACE_TYPE_SQL} = 'incorporated-place')
-SELECT geoid AS "placeFips", city, state, name AS "placeName", kind AS "placeType", latitude, longitude FROM p""")
+SELECT row_number() OVER (ORDER BY state, lower(strip_accents(city)), ord) - 1 AS ord, geoid AS "placeFips", city, state, name AS "placeName", kind AS "placeType", latitude, longitude FROM p""")
 def q_places_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.operators import places as P
     from civigrid.sources.gazetteer import read_places, write_places
 
     path = new_path(spark, "places")
     write_places(P.places(C.gazetteer(spark, sf_dir)), path, "gazetteer", 2025)
-    return read_places(spark, path).select(*PLACES_COLUMNS)
+    return read_places(spark, path).select(F.col("ord").cast("long").alias("ord"), *PLACES_COLUMNS)
 
 
 @query(f"""WITH RECURSIVE {CHOSEN}, e AS (SELECT place_fips, 'City ' || (ord // 20)::VARCHAR AS city, district_type, url FROM chosen)
