@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,9 +16,13 @@ from pyspark.sql import functions as F
 
 _fallback: dict[str, str] = {}
 _cleaned: set[str] = set()
+_kept: dict[str, Callable[[], None]] = {}
+_turn: str | None = None
 
 #: Rows whose number is at most this may be broadcast; beyond it, operators join by shuffle.
 BROADCAST_ROWS = 500_000
+#: Rows and bytes of a batch that goes to Python.
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 #: A key of more rows than this, and than a HOT_KEYS-th of all rows, is dealt over at most MOST_SALTS tasks.
 HOT_ROWS, HOT_KEYS, MOST_SALTS = 256, 100_000, 4096
 
@@ -105,6 +111,35 @@ def digest(*cols: Column) -> Column:
     return F.unhex(F.md5(F.concat(*marked)))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Has rows go to Python in batches of at most ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes, in this session, unless it says otherwise.
+
+    With Spark's 10,000 rows, a batch of texts takes some hundred MB of an executor's memory outside the heap, several times over.
+    """
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(value))
+
+
+def turn(operator: str) -> None:
+    """Called by an operator's task in a worker: what other operators keep in this worker goes, so that only one's cache is there at a time."""
+    global _turn
+    if _turn not in (None, operator):
+        for name, clear in _kept.items():
+            if name != operator:
+                clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+    _turn = operator
+
+
+def kept_by(operator: str, clear: Callable[[], None]) -> None:
+    """Says how to drop what an operator keeps between its tasks."""
+    _kept[operator] = clear
+
+
 def portions(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in slices of at most ``rows`` rows, so that a worker has few texts as Python objects at a time.
 

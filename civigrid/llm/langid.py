@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from civigrid.llm.common import portions, written
+from civigrid.llm.common import portions, small_batches, turn, written
 
 #: Training documents for each language, at most about this many (hash sample); half as many again calibrate.
 TRAIN_DOCS = 800
@@ -192,6 +193,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     chosen by a hash of the id: the languages' counts come first, then the hash bound for each. One task fits the model
     on their bucket counts, from a written table; the driver gets the model.
     """
+    small_batches(docs.sparkSession)
     usable = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string"), F.col("lang").cast("string"), fold(F.col("doc_id")).alias("fold")).where("fold <> 1 AND lang IS NOT NULL AND text IS NOT NULL")
     counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     none = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
@@ -215,15 +217,16 @@ def identify(docs: DataFrame, model: Model | None = None, per_language: int = TR
     text if nothing can be learned. A null id counts as not held out. Ties go to the first language by name. Very long
     texts are read to the end, repeated rows give repeated rows, an empty table gives none; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     model = train(docs, per_language) if model is None else model
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS times the languages, whatever the input
-    kinds = dict(docs.dtypes)
     keep = keep or []
 
     sent = ["_id", "_held", *keep, *(["_text"] if keep_text else [])]
     names = ["doc_id", "held_out", *keep, *(["text"] if keep_text else []), "lang_pred", "score", "accepted"]
 
     def predict(batches):
+        turn("language")
         scorer = Scorer(shared.value)
         for b in portions(batches):
             langs, scores = scorer.predict(b.column(b.schema.get_field_index("_text")).to_pylist())
@@ -231,7 +234,9 @@ def identify(docs: DataFrame, model: Model | None = None, per_language: int = TR
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in sent), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(ok, pa.bool_())], names=names)
 
     given = docs.select(F.col("doc_id").alias("_id"), F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False)).alias("_held"), F.col("text").cast("string").alias("_text"), *keep)
-    schema = ", ".join([f"doc_id {kinds['doc_id']}", "held_out boolean", *(f"`{c}` {kinds[c]}" for c in keep), *(["text string"] if keep_text else []), "lang_pred string, score double, accepted boolean"])
+    kinds = docs.schema
+    text = [StructField("text", StringType())] if keep_text else []
+    schema = StructType([StructField("doc_id", kinds["doc_id"].dataType), StructField("held_out", BooleanType()), *(StructField(c, kinds[c].dataType) for c in keep), *text, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())])
     return given.mapInArrow(predict, schema)
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import portions, written
+from civigrid.llm.common import portions, small_batches, written
 from civigrid.llm.wordbpe import encoder
 
 #: Lengths are rounded up to this many tokens where patterns are enumerated; real lengths are used from then on.
@@ -167,6 +167,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int = 0) -> Data
 
     A null text counts as empty. ``task`` and ``nth`` number the pieces of one length within a task.
     """
+    small_batches(docs.sparkSession)
 
     def cut(batches):
         from pyspark import TaskContext

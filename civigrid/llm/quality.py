@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import by_key, digest, portions, small, written
+from civigrid.llm.common import by_key, digest, portions, small, small_batches, turn, written
 from civigrid.llm.urlfilter import LOWER, UPPER
 
 #: A line is boilerplate if more distinct documents of its host hold it than this share of them and than this number.
@@ -61,6 +61,7 @@ def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
     kinds = dict(docs.dtypes)
 
     def measure(batches):
+        turn("quality")
         for b in portions(batches):
             rows, keys, sizes = [], [], []
             for t in b.column(b.schema.get_field_index("text")).to_pylist():
@@ -104,6 +105,7 @@ def judged(docs: DataFrame, *, floor: int = LINE_FLOOR, share: float = LINE_SHAR
     text under other ids count as the documents that they are. Null texts count as empty and fail; null sources are one
     host. Rows of equal text and host have one ``key`` and get the same verdict.
     """
+    small_batches(docs.sparkSession)
     keyed = docs.select("doc_id", F.col("text").cast("string").alias("text"), digest(F.col("source").cast("string")).alias("host"), content_key().alias("key"))
     rows = written(measured(keyed, ["doc_id", "host", "key"]).withColumn("row", F.monotonically_increasing_id()), "quality")
     repeated = small(written(rows.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("again")), "quality-repeated"))

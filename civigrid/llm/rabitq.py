@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import by_key, portions, spread, written
+from civigrid.llm.common import by_key, portions, small_batches, spread, written
 from civigrid.llm.components import components
 
 #: Chance to miss a pair that lies exactly at the threshold; the number of rotations follows from it.
@@ -168,6 +168,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None =
     neither does one without a vec_id: it is kept, with no component. Rows that repeat a vec_id are vectors of their own
     for ``n_links`` and share their component. Other columns are ignored; an empty table gives no rows.
     """
+    small_batches(vectors.sparkSession)
     single = dict(vectors.dtypes)["embedding"] == "array<float>"
     given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("v"))
     fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False)) & F.exists("v", lambda x: x != 0)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import portions
+from civigrid.llm.common import kept_by, portions, small_batches, turn
 
 MARK = "▁"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -108,7 +108,8 @@ class PieceCodec:
         self.library = Tokenizer(core)
         steps = [normalizers.Precompiled(m["charsmap"])] if m["charsmap"] else []
         if m["squeeze"]:
-            steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
+            steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+            steps += [normalizers.Prepend(" ")] if m["prefix"] else []
         steps += [normalizers.Replace(" ", MARK)]
         self.plain = not m["charsmap"]
         self.library.normalizer = normalizers.Sequence(steps)
@@ -126,10 +127,11 @@ class PieceCodec:
         self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def given(self, text: str) -> str:
-        """A text as the library gets it: with the space that stands in front of every text that isn't empty."""
-        if self.model["squeeze"]:
-            text = text.strip(" ")
-        return " " + text if text and self.model["prefix"] else text
+        """A text as the library gets it: with the space that stands in front of every text that isn't empty.
+
+        Where the model squeezes spaces, the normaliser adds it once that is done.
+        """
+        return " " + text if text and self.model["prefix"] and not self.model["squeeze"] else text
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids by the library, by all its threads at once."""
@@ -236,12 +238,16 @@ class PieceCodec:
 
 
 def codec(path: str) -> PieceCodec:
+    turn("pieces")
     if path not in _loaded:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         _loaded[path] = PieceCodec(path)
     return _loaded[path]
 
 
+kept_by("pieces", _loaded.clear)
+
+
 def coded(docs: DataFrame, model: str) -> DataFrame:
     """For each document: doc_id, n_tokens, ids_crc32, n_bytes_fallback, round_trip, parity.
 
@@ -250,6 +256,7 @@ def coded(docs: DataFrame, model: str) -> DataFrame:
     ``WHOLE`` (by its ids' checksum) is compared as a whole besides. A null text counts as empty; an empty text has no
     tokens; a very long text is handled like any other. Repeated rows give repeated rows; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
 
     def run(batches):
         c = codec(model)

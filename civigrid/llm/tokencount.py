@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import portions
+from civigrid.llm.common import kept_by, portions, small_batches, turn
 from civigrid.llm.wordbpe import CACHE_CHUNKS, byte_symbols, has_plain_words, splits_at_space, word_and_tail
 
 ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\s]+")
@@ -258,11 +258,15 @@ def places(text: str, normal: str, normalise) -> dict[int, int]:
 
 
 def counter(path: str) -> PrefixCounter:
+    turn("counts")
     if path not in _loaded:
         _loaded[path] = PrefixCounter(path)
     return _loaded[path]
 
 
+kept_by("counts", _loaded.clear)
+
+
 def token_counts(docs: DataFrame, tokenizer: str, budget: int = 2048) -> DataFrame:
     """For each row: doc_id, n_bytes, n_tokens, over_limit (more than ``budget``) and fit_chars, the characters that fit.
 
@@ -270,6 +274,7 @@ def token_counts(docs: DataFrame, tokenizer: str, budget: int = 2048) -> DataFra
     stored counts (of several such places the last). A null or empty text has 0 of each; a very long text, with spaces or
     without, costs in proportion to its length. Repeated rows give repeated rows, an empty table none; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
 
     def count(batches):
         c = counter(tokenizer)

@@ -12,6 +12,8 @@ import os
 import sys
 from array import array
 
+from civigrid.llm.common import kept_by, turn
+
 assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -134,6 +136,10 @@ class ChunkEncoder:
 
 def encoder(path: str) -> ChunkEncoder:
     """One encoder for each file and worker process."""
+    turn("chunks")
     if path not in _loaded:
         _loaded[path] = ChunkEncoder(path)
     return _loaded[path]
+
+
+kept_by("chunks", _loaded.clear)

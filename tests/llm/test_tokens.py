@@ -137,3 +137,46 @@ def test_pack(spark):
         assert at <= 128
     assert len(by) <= 1.05 * sum(r.length for r in got) / 128 + 1
     assert pack(documents(spark, []), BPE, 128).count() == 0
+
+
+def unigram_model(path, prefix=True, squeeze=False):
+    """A small unigram model, written field by field: scores by hand, byte pieces, nothing learned."""
+    import struct
+
+    def number(n, value):
+        return bytes([n << 3 & 0x7F | (0x80 if n > 15 else 0), *([n >> 4] if n > 15 else []), value])
+
+    def block(n, raw):
+        size, out = len(raw), []
+        while True:
+            out.append(size & 127 | (128 if size > 127 else 0))
+            size >>= 7
+            if not size:
+                return bytes([n << 3 | 2, *out]) + raw
+
+    def piece(text, score, kind):
+        return block(1, block(1, text.encode()) + bytes([2 << 3 | 5]) + struct.pack("<f", score) + number(3, kind))
+
+    words = {"\u2581": -4.0, "\u2581the": -2.0, "\u2581th": -3.5, "e": -3.0, "th": -4.1, "he": -4.0, "t": -5.0, "h": -5.2, "\u2581cat": -3.0, "c": -6.0, "a": -4.5, "at": -4.4, "s": -3.3, "ca": -5.1, "\u00e9": -6.5, "\u2581s": -4.2}
+    raw = piece("<unk>", 0, 2) + piece("<s>", 0, 3) + piece("</s>", 0, 3)
+    raw += b"".join(piece(f"<0x{i:02X}>", -20.0, 6) for i in range(256)) + b"".join(piece(w, x, 1) for w, x in words.items())
+    raw += block(2, number(3, 1) + number(35, 1)) + block(3, block(1, b"identity") + number(3, prefix) + number(4, squeeze) + number(5, 1))
+    path.write_bytes(raw)
+    return str(path)
+
+
+@pytest.mark.parametrize(("prefix", "squeeze"), [(True, False), (False, False), (True, True)])
+def test_unigram_model(spark, tmp_path, prefix, squeeze):
+    import sentencepiece
+
+    path = unigram_model(tmp_path / "small.model", prefix, squeeze)
+    theirs, own = sentencepiece.SentencePieceProcessor(model_file=path), PieceCodec(path)
+    rng = random.Random(6)
+    texts = ["", "the cats", "that chat", " the  cat ", "th\u00e9 \u6c34 cat", "the\ncat\tsat", "e" * 400] + ["".join(rng.choice("the cast\u00e9\u6c34 ") for _ in range(30)) for _ in range(60)]
+    assert own.model["unigram"] and own.model["byte_fallback"]
+    assert own.encode_batch(texts) == [theirs.encode(t) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [theirs.encode(t) for t in texts]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[1]), (None, None)]  # repeated rows
+    got = coded(documents(spark, rows), path).collect()
+    assert len(got) == len(rows) and all(r.parity for r in got) and len({(r.ids_crc32, r.n_tokens) for r in got if r.doc_id == 1}) == 1
+    assert all(r.round_trip for r in got if not squeeze)
