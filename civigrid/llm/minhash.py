@@ -15,14 +15,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import by_key, portions, small, spread, written
+from civigrid.llm.common import by_key, portions, small, small_batches, spread, turn, written
 from civigrid.llm.components import Forest, components
 
 #: Bands and rows of a band, for a threshold of 0.8 and for 0.85 and more; a link at the threshold is missed with a chance of (1 - t ** rows) ** bands.
 ROWS, BANDS = 5, {0.80: 36, 0.85: 28}
 #: Members, and shingles of all members, of a bucket's block in the pass over pairs across components (the other block has twice as much).
 BLOCK, BLOCK_SHINGLES = 640, 2_000_000
-PRIME = (1 << 31) - 1
+#: Shingles that are hashed at a time.
+STEP = 512
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -45,28 +46,31 @@ def shingles(text: str, k: int) -> np.ndarray:
 
 
 class Hashes:
-    """Universal hash functions (a x + b) mod p over 31 bits of a shingle's hash; signatures are their minima."""
+    """Universal hash functions: the upper 32 bits of a x + b mod 2^64, x of 32 bits; signatures are their minima."""
 
     def __init__(self, n: int, seed: int = 20):
         rng = np.random.default_rng(seed)
-        self.a = rng.integers(1, PRIME, n, dtype=np.uint64)
-        self.b = rng.integers(0, PRIME, n, dtype=np.uint64)
+        self.a, self.b = (rng.integers(0, 1 << 64, (n, 1), dtype=np.uint64) for _ in range(2))
+        self.a |= np.uint64(1)
+        self.room = np.empty((n, STEP), np.uint64)
 
     def signature(self, s: np.ndarray) -> np.ndarray:
-        x = ((s ^ (s >> np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(PRIME)
-        out = np.full(len(self.a), PRIME, np.uint64)
-        for at in range(0, len(x), 512):  # bounded memory for very long texts
-            y = self.a[:, None] * x[None, at : at + 512] + self.b[:, None]
-            y = (y & np.uint64(PRIME)) + (y >> np.uint64(31))
-            y = np.where(y >= PRIME, y - np.uint64(PRIME), y)
-            out = np.minimum(out, y.min(axis=1))
-        return out.astype(np.uint32)
+        x = (s ^ (s >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+        out = np.full(len(self.a), np.iinfo(np.uint64).max, np.uint64)
+        for at in range(0, len(x), STEP):  # bounded memory for very long texts
+            part = x[at : at + STEP]
+            y = self.room[:, : len(part)]
+            np.multiply(self.a, part, out=y)
+            np.add(y, self.b, out=y)
+            np.minimum(out, y.min(axis=1), out=out)
+        return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def signed(docs: DataFrame, k: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, key (of the set, 16 bytes; null without words), signature."""
 
     def sign(batches):
+        turn("minhash")
         hashes = Hashes(bands * ROWS)
         for b in portions(batches):
             sizes, keys, signs = [], [], []
@@ -164,6 +168,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     class. A null doc_id is kept and never linked, as it has no id to be reached by. Ties there are none: the smallest
     id stands for a group. Very long texts are read to the end; other columns are ignored; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     threshold = percent / 100
     bands = next((n for t, n in sorted(BANDS.items(), reverse=True) if threshold >= t), 0)
     if not bands:
