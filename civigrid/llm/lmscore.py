@@ -14,16 +14,16 @@ Only three totals reach the driver.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import small, written
+from civigrid.llm.common import small, small_batches, written
 
 #: Weight of an order against the lower one, in counts (Witten-Bell-like: n / (n + K)).
 BACKOFF = 8.0
@@ -36,20 +36,6 @@ VALUE_BITS = 40
 TOKEN = re.compile(r"[฀-໿က-႟ក-៿぀-ヿ㐀-鿿]|[^\W฀-໿က-႟ក-៿぀-ヿ㐀-鿿]+|[^\w\s]")
 #: Stands before and after each text, so a word is as often a context as it is a word.
 EDGE = np.zeros(1, np.uint64)
-_CACHED = 100_000
-
-
-class Words(dict):
-    """A word's 64-bit hash, the same in every process; the worker keeps the hashes of words that it has met."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHED:
-            self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little") or 1
-        return h
-
-
-_words = Words()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -64,7 +50,7 @@ def keyed(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray]:
 
     A key's upper ``bits`` are its bucket; its lowest bit is set for words alone, whose totals the buckets add up.
     """
-    found = [np.fromiter(map(_words.__getitem__, TOKEN.findall(t or "")), np.uint64) for t in texts]
+    found = [np.fromiter(map(xxhash.xxh3_64_intdigest, TOKEN.findall(t or "")), np.uint64) for t in texts]  # the same in every process
     sizes = np.array([len(x) and len(x) + 1 for x in found], np.int64)
     if not sizes.any():
         return sizes, np.empty((2, 0), np.uint64)
@@ -180,6 +166,7 @@ def lm_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     0. Repeated rows count as often as they stand there and each get a row, without one count of their own; equal texts
     of one side have equal scores; very long texts are read to the end. Null ids match no label; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     good = small(written(good, "good"))  # else the texts would be shuffled only to be marked
