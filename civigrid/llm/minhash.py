@@ -21,7 +21,7 @@ from civigrid.llm.components import Forest, components
 #: Bands and rows of a band, for a threshold of 0.8 and for 0.85 and more; a link at the threshold is missed with a chance of (1 - t ** rows) ** bands.
 ROWS, BANDS = 5, {0.80: 36, 0.85: 28}
 #: Members, and shingles of all members, of a bucket's block in the pass over pairs across components (the other block has twice as much).
-BLOCK, BLOCK_SHINGLES = 640, 2_000_000
+BLOCK, BLOCK_SHINGLES = 448, 2_000_000
 #: Shingles that are hashed at a time.
 STEP = 512
 
