@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def vocabulary(name: str) -> str:
@@ -33,6 +34,8 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Verdict, host and path of the rules over the pages.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
+SHARDS, SHARD_SEED = 8, 11
+
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.llm.licenses import scan
@@ -82,8 +85,30 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules_of(spark, URL_RULES))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.sharding import assigned
+
+    placed = assigned(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.infill import restored, transformed
+
+    made = transformed(table(spark, sf_dir, "documents"), seed="1")
+    back = F.sha2(restored(F.col("output"), F.col("form")), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), back.alias("restored_sha256"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civigrid.llm.resample import resampled
+
+    drawn = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_vectors, op2_minhash, op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter)
+    found = (op1_vectors, op2_minhash, op3_license_scan, op4_token_counts, op5_lm_scores, op6_packing, op7_quality_rules, op8_sentencepieces, op9_language_id, op10_url_filter, op11_sharding, op12_fill_in_middle, op13_resample)
     return {f.__name__: f for f in found}
 
 
@@ -168,5 +193,43 @@ SELECT doc_id, n_words::BIGINT AS n_words, coalesce(list_sum(list_transform(w, l
   n_repeat_words::BIGINT AS n_repeat_words, base_failed, left_words::BIGINT AS left_words, NOT base_failed AND left_words >= {LEFT_WORDS} AND left_words >= {LEFT_SHARE} * n_words AS kept FROM b"""
 
 
+#: The CRC-32 of a text's bytes, bit by bit.
+CRC32 = "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(regexp_extract_all(hex(encode({})), '..'), lambda h: [('0x' || h)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384)), 4294967295)"
+
+
+def sql_sharding() -> str:
+    return f"""WITH d AS (SELECT doc_id, source, strlen(coalesce(text, '')) + 1 AS size, {CRC32.format("coalesce(text, '')")} AS text_crc32, coalesce('v' || doc_id::VARCHAR, 'n') AS k, coalesce('v' || source, 'n') AS stratum FROM documents),
+h AS (SELECT *, ('0x' || substr(md5(concat_ws(':', '{SHARD_SEED}', k, size::VARCHAR, text_crc32::VARCHAR)), 1, 15))::BIGINT AS h, ('0x' || substr(md5('{SHARD_SEED}:' || stratum), 1, 8))::BIGINT / 4294967296::DOUBLE AS phase FROM d),
+f AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY h, k, size, text_crc32) - 1 + phase) / count(*) OVER (PARTITION BY stratum) AS f FROM h),
+p AS (SELECT *, row_number() OVER (ORDER BY f, stratum) - 1 AS place, count(*) OVER () AS total FROM f)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (place * {SHARDS} // total)::INT AS shard, (place - (place * {SHARDS} // total * total + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard, source FROM p"""
+
+
+def sql_infill() -> str:
+    return """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+x AS (SELECT *, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x),
+p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(prefix || middle || suffix) AS restored_sha256 FROM p"""
+
+
+def sql_resample() -> str:
+    from civigrid.llm.resample import BUCKETS, LEAST_WORDS, PERCENT, SEED
+
+    words = f"regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+x AS (SELECT r, unnest(w) AS word FROM d), y AS (SELECT unnest({words}) AS word FROM benchmark),
+b AS (SELECT word, {CRC32.format("word")} % {BUCKETS} AS bucket FROM (SELECT word FROM x UNION SELECT word FROM y)),
+s AS (SELECT bucket, count(*) AS s FROM x JOIN b USING (word) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM y JOIN b USING (word) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM x) + {BUCKETS})::DOUBLE / ((s + 1)::DOUBLE * ((SELECT count(*) FROM y) + {BUCKETS})::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+m AS (SELECT r, sum(gain) AS total FROM x JOIN b USING (word) JOIN g USING (bucket) GROUP BY r),
+e AS (SELECT doc_id, len(w) AS n_words, CASE WHEN len(w) = 0 THEN 0 ELSE floor(total::DOUBLE / len(w)) END::BIGINT AS weight, ('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN m USING (r)),
+v AS (SELECT doc_id, n_words, weight, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM e),
+k AS (SELECT *, row_number() OVER (ORDER BY n_words < {LEAST_WORDS}, score DESC, doc_id NULLS FIRST) AS place FROM v)
+SELECT doc_id, n_words::BIGINT AS n_features, weight, score, CASE WHEN n_words >= {LEAST_WORDS} AND place <= (SELECT {PERCENT} * count(*) // 100 FROM v WHERE n_words >= {LEAST_WORDS}) THEN place END::BIGINT AS rank, n_words::BIGINT AS n_words FROM k"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_vectors": sql_vectors(), "op2_minhash": sql_minhash(), "op3_license_scan": sql_licenses(), "op7_quality_rules": sql_quality(), "op10_url_filter": sql_urls()}
+    return {"op1_vectors": sql_vectors(), "op2_minhash": sql_minhash(), "op3_license_scan": sql_licenses(), "op7_quality_rules": sql_quality(), "op10_url_filter": sql_urls(), "op11_sharding": sql_sharding(), "op12_fill_in_middle": sql_infill(), "op13_resample": sql_resample()}
