@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-USAGE = "commands: places ARCHIVE OUT | discover PLACES HITS METADATA OUT | build PLACES SOURCES OUT | validate REGISTRY"
+USAGE = "commands: places ARCHIVE OUT | discover PLACES OUT [--recorded ANSWERS] [--folder FOLDER] [--again] | discover PLACES HITS METADATA OUT | build PLACES SOURCES OUT | validate REGISTRY"
 
 
 class Parser(argparse.ArgumentParser):
@@ -25,6 +25,10 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--city", default="")
     p.add_argument("--state", default="", type=str.upper)
     p.add_argument("--placeFips", default="")
+    p.add_argument("--recorded", default="", help="a table of answers as JSON lines (url, status, body) instead of the network")
+    p.add_argument("--folder", default="", help="where answers are kept, so that a run that broke off goes on")
+    p.add_argument("--again", action="store_true", help="ask once more for what failed in earlier runs")
+    p.add_argument("--endpoint", default="")
     p.add_argument("--review", action="store_true")
     p.add_argument("--verbose", action="store_true")
     return p.parse_args(argv)
@@ -42,6 +46,7 @@ def report(spark: SparkSession, tables: dict[str, DataFrame], verbose: bool) ->
     lines += [f"failed: {r.city}, {r.state}: {r.error}" for r in results.where("error IS NOT NULL").orderBy("place_fips").toLocalIterator()]
     if verbose:
         best = top(tables["inspected"]).where(F.col("score") > float("-inf")).select("place_fips", "place_rank", "url", fixed(F.col("score"), 3).alias("score"), F.array_join("reasons", "; ").alias("why"))
+        lines += [f"not inspected: {r.place_fips} {r.url}: {r.cause}" for r in tables["uninspected"].orderBy("place_fips", "ord").toLocalIterator()]
         lines += [f"{r.place_fips} {r.place_rank}. {r.url} {r.score} ({r.why})" for r in best.orderBy("place_fips", "place_rank").toLocalIterator()]
     return lines
 
@@ -50,19 +55,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     from civigrid.operators.places import chosen as choose
     from civigrid.operators.registry import built
     from civigrid.operators.validation import generated_entries, require_valid
+    from civigrid.plans import crawl
     from civigrid.plans.discovery import discovered
-    from civigrid.sources import documents, gazetteer, recorded
+    from civigrid.sources import documents, gazetteer, recorded, requests
 
     if args.command == "places" and len(args.paths) == 2:
         n = gazetteer.generate_places(spark, *args.paths).count()
         print(f"{n} places")
-    elif args.command == "discover" and len(args.paths) == 4:
-        where, answers, bodies, out = args.paths
-        rows = gazetteer.read_places(spark, where).withColumnRenamed("placeFips", "place_fips")
+    elif args.command == "discover" and len(args.paths) in (2, 4):
+        rows = gazetteer.read_places(spark, args.paths[0]).withColumnRenamed("placeFips", "place_fips")
         rows = choose(rows, args.city, args.state, args.placeFips).select("place_fips", "city", "state")
-        tables = discovered(rows, recorded.hits(spark.read.schema("query string, body string").json(answers)), spark.read.schema("url string, body string").json(bodies))
+        if len(args.paths) == 2:
+            answers = requests.recorded(spark.read.schema("url string, status int, body string").json(args.recorded)) if args.recorded else requests.live()
+            tables = crawl.crawled(rows, answers, args.folder or None, args.endpoint or crawl.ENDPOINT, again=args.again)
+        else:
+            tables = discovered(rows, recorded.hits(spark.read.schema("query string, body string").json(args.paths[1])), spark.read.schema("url string, body string").json(args.paths[2]))
         print("\n".join(report(spark, tables, args.verbose)))
-        documents.write_registry(built(rows, tables["chosen"], spark.sql("SELECT date_format(now(), \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")").first()[0]), out)
+        documents.write_registry(built(rows, tables["chosen"], spark.sql("SELECT date_format(now(), \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")").first()[0]), args.paths[-1])
     elif args.command == "build" and len(args.paths) == 3:
         rows = gazetteer.read_places(spark, args.paths[0]).select(F.col("placeFips").alias("place_fips"), "city", "state")
         documents.write_registry(built(rows, spark.read.parquet(args.paths[1]), spark.sql("SELECT date_format(now(), \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")").first()[0]), args.paths[2])

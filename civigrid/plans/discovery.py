@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civigrid.functions.text import blank
-from civigrid.functions.urls import lookup_key
+from civigrid.functions.urls import lookup_key, request_key
 from civigrid.operators.classify import classified
 from civigrid.operators.fields import inspected
 from civigrid.operators.registry import built
@@ -42,24 +42,33 @@ def distinct_urls(found: DataFrame) -> DataFrame:
 COUNTED = ("candidates", "inspected", "valid", "rejected", "groups", "chosen")
 
 
-def discovered(places: DataFrame, hits: DataFrame, metadata: DataFrame, failures: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of a run, keyed by place: candidates, inspected, valid, rejected, groups, sources, chosen, results.
+def discovered(places: DataFrame, hits: DataFrame, metadata: DataFrame, failures: DataFrame | None = None, faults: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables of a run, keyed by place: candidates, inspected, uninspected, valid, rejected, groups, sources, chosen, results.
 
     A search or an address without an answer only leaves its hits or its layer out; a place with no hit at all has no
     source, but hasn't failed. A place has failed if its processing broke off: ``failures`` has such places (place_fips)
     with the message of the cause. ``results`` has a row for each place, with counts and, for failed ones, the error;
-    no other table has rows of failed places.
+    no other table has rows of failed places. ``faults`` (url, cause) has addresses whose metadata can't be classified:
+    candidates that lead to one are listed in ``uninspected`` and are not inspected.
     """
     none = places.sparkSession.createDataFrame([], "place_fips string, error string")
     failed = (none if failures is None else failures).groupBy("place_fips").agg(F.min(F.coalesce("error", F.lit("undefined"))).alias("error"))
     searches = search_texts(places.join(failed.select("place_fips"), "place_fips", "left_anti").select(*places.columns))
     found = staged(distinct_urls(candidates(searches, hits)))
-    layers = staged(classified(inspected(found.withColumn("candidate_url", F.col("url")), metadata)))
+    looked = inspected(found.withColumn("candidate_url", F.col("url")), metadata)
+    cause = F.lit(None).cast("string")
+    if faults is not None:
+        looked = staged(looked)
+        own, best = (faults.select(F.col("url").alias(f"_{k}"), F.col("cause").alias(f"_{k}_cause")) for k in ("own", "best"))
+        looked = looked.join(own, request_key(F.col("candidate_url")) == F.col("_own"), "left").join(best, request_key(F.col("url")) == F.col("_best"), "left")
+        cause = F.coalesce("_own_cause", "_best_cause")
+    looked = looked.withColumn("_cause", cause)
+    layers = staged(classified(looked.where("_cause IS NULL").drop("_cause", "_own", "_own_cause", "_best", "_best_cause")))
     valid, rejected = layers.where("NOT rejected"), layers.where("rejected")
     members = staged(grouped_sources(valid))
     sources = group_sources(members)
     chosen = place_sources(sources)
-    tables = {"candidates": found, "inspected": layers, "valid": valid, "rejected": rejected, "scored": scored_sources(valid), "members": members, "groups": groups(members), "sources": sources, "chosen": chosen}
+    tables = {"candidates": found, "inspected": layers, "uninspected": looked.where("_cause IS NOT NULL").select("place_fips", "ord", F.col("candidate_url").alias("url"), F.col("_cause").alias("cause")), "valid": valid, "rejected": rejected, "scored": scored_sources(valid), "members": members, "groups": groups(members), "sources": sources, "chosen": chosen}
     counts = places.join(failed, "place_fips", "left")
     for name in COUNTED:
         counts = counts.join(tables[name].groupBy("place_fips").agg(F.count("*").alias(f"n_{name}")), "place_fips", "left")

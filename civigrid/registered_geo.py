@@ -259,6 +259,71 @@ def q_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("place_fips", "ord", "url", "service_name", "layer_name", bars("district_fields").alias("district_fields"), bars("name_fields").alias("name_fields"), "rejected")
 
 
+def recorded_answers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All suppliers as places, and recorded answers (url, status, body) to the requests that a run over them makes.
+
+    Every fifth place has no answer to any search. Of the others' searches a quarter is answered by what is no JSON, and
+    of every 17 places one has a search with status 500. Of every 13 places one has a hit whose address is a number, of
+    every 19 one has a hit with a malformed address, of every 23 one has a layer whose name is a number.
+    """
+    from civigrid.plans.crawl import ENDPOINT
+    from civigrid.plans.discovery import search_texts
+    from civigrid.sources.recorded import USUAL_HITS
+    from civigrid.sources.requests import search_address
+
+    k = F.col("s_suppkey")
+    places = C.table(spark, sf_dir, "supplier").select(F.lpad(k.cast("string"), 7, "0").alias("place_fips"), F.concat(F.lit("City"), k.cast("string")).alias("city"), F.lit("AZ").alias("state"))
+    n = F.col("place_fips").cast("long")
+    base = F.concat(F.lit("https://gis.tucsonaz.gov/rest/services/P"), n.cast("string"), F.lit("/FeatureServer"))
+
+    def hit(title: str, url: Column) -> Column:
+        return F.concat(F.lit(f'{{"title":"{title}","url":'), url, F.lit("}"))
+
+    def text(url: Column) -> Column:
+        return F.concat(F.lit('"'), url, F.lit('"'))
+
+    odd = F.concat_ws(",", F.when(n % 13 == 4, F.lit('{"url":17}')), F.when(n % 19 == 6, F.lit('{"url":"https://[bad/FeatureServer/0"}')), F.lit('{"title":"No address"}'))
+    hits = F.concat_ws(",", hit("Wards", text(F.concat(base, F.lit("/0/")))), hit("Same", text(F.concat(base, F.lit("/x/../0?f=html")))), F.when(n % 7 != 1, hit("Service", text(base))), odd)
+    asked = search_texts(places).where(n % 5 != 0)
+    body = F.when((n + F.col("query_no")) % 4 == 0, F.lit("<html>")).otherwise(F.concat(F.lit('{"results":['), hits, F.lit("]}")))
+    searches = asked.select(search_address(F.col("query"), ENDPOINT, USUAL_HITS).alias("url"), F.when((n % 17 == 5) & (F.col("query_no") == 1), 500).otherwise(200).alias("status"), body.alias("body"))
+    fields = '"fields":[{"name":"WARD","alias":"Ward"},{"name":"NAME","alias":"Ward Name"}]'
+    name = F.when(n % 23 == 7, F.lit("7")).when(n % 3 == 0, F.lit('"Parks"')).otherwise(F.lit('"Ward Boundary"'))
+    layer = F.concat(F.lit('{"name":'), name, F.lit(',"geometryType":"esriGeometryPolygon","capabilities":"Query","supportedQueryFormats":"JSON, geoJSON",' + fields + "}"))
+    service = F.lit('{"name":"City service","layers":[{"id":1,"name":"Roads"},{"id":0,"name":"Wards"}]}')
+    metadata = places.select(F.explode(F.array(F.struct(F.concat(base, F.lit("/0?f=json")).alias("url"), F.lit(200).alias("status"), layer.alias("body")), F.struct(F.concat(base, F.lit("?f=json")).alias("url"), F.lit(200).alias("status"), service.alias("body")))).alias("m")).select("m.*")
+    return places, searches.union(metadata)
+
+
+def crawl(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from civigrid.plans.crawl import crawled
+    from civigrid.sources.requests import recorded
+
+    places, answers = recorded_answers(spark, sf_dir)
+    return crawled(places, recorded(answers))
+
+
+#: Candidates of a run over recorded answers: ``v`` is 0 for the layer's address, 2 for the service's, 3 for a malformed one.
+CRAWL_SQL = """p AS (SELECT s_suppkey AS k, s_suppkey % 13 = 4 AND s_suppkey % 5 <> 0 AS failed FROM supplier),
+s AS (SELECT k, q, failed FROM p, range(6) r(q) WHERE k % 5 <> 0 AND (k + q) % 4 <> 0 AND NOT (k % 17 = 5 AND q = 1)),
+c AS (SELECT DISTINCT k, v, failed, k % 23 = 7 AND v < 3 AS odd, k % 3 = 0 OR v = 3 AS rejected FROM s, (VALUES (0), (2), (3)) u(v) WHERE v = 0 OR (v = 2 AND k % 7 <> 1) OR (v = 3 AND k % 19 = 6))"""
+
+
+@query(f"""WITH {CRAWL_SQL} SELECT lpad(p.k::VARCHAR, 7, '0') AS place_fips, count(c.k) AS n_candidates, count(*) FILTER (NOT odd) AS n_inspected, count(*) FILTER (NOT odd AND NOT rejected) AS n_valid, count(*) FILTER (NOT odd AND rejected) AS n_rejected,
+ count(DISTINCT CASE WHEN NOT odd AND NOT rejected THEN c.k END) AS n_groups, count(DISTINCT CASE WHEN NOT odd AND NOT rejected THEN c.k END) AS n_chosen, CASE WHEN p.failed THEN 'url.trim is not a function' END AS error
+FROM p LEFT JOIN c ON c.k = p.k AND NOT c.failed GROUP BY p.k, p.failed""")
+def q_discovery_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl(spark, sf_dir)["results"].select("place_fips", "n_candidates", "n_inspected", "n_valid", "n_rejected", "n_groups", "n_chosen", "error")
+
+
+@query(f"""WITH {CRAWL_SQL}, t(q, t) AS (VALUES (0, 'council districts'), (1, 'city council'), (2, 'wards'), (3, 'ward boundaries'), (4, 'council district boundaries'), (5, 'municipal districts')),
+r AS (SELECT 'https://www.arcgis.com/sharing/rest/search?q=%22City' || k::VARCHAR || '%22+AZ+' || replace(t, ' ', '+') || '&num=50&start=1&f=json' AS url, CASE WHEN k % 5 = 0 THEN 'no recorded answer' WHEN k % 17 = 5 AND q = 1 THEN 'status 500' END AS error FROM p, t
+UNION SELECT CASE WHEN v = 3 THEN 'https://[bad/FeatureServer/0?f=json' ELSE 'https://gis.tucsonaz.gov/rest/services/P' || k::VARCHAR || CASE v WHEN 0 THEN '/FeatureServer/0?f=json' ELSE '/FeatureServer?f=json' END END, CASE WHEN v = 3 THEN 'no recorded answer' END FROM c)
+SELECT url, error FROM r""")
+def q_discovery_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crawl(spark, sf_dir)["requests"].select("url", "error")
+
+
 # Addresses with what a URL parser makes of them, as keys of a look-up and of a layer.
 ADDRESSES = [
     ("HTTPS://Ex.com:443/a/../b/", "https://ex.com/b", "https://ex.com/b"),

@@ -8,6 +8,7 @@ slice of the asked texts.
 from __future__ import annotations
 
 import hashlib
+import http.client
 import json
 import os
 import urllib.parse
@@ -50,8 +51,8 @@ def answer(options: dict, key: str, url: str) -> str | None:
             return None
     try:
         with urllib.request.urlopen(urllib.request.Request(url, headers={"Accept": "application/json"}), timeout=30) as r:  # noqa: S310
-            return r.read().decode()
-    except OSError:
+            return r.read().decode("utf-8-sig", "replace")
+    except (OSError, ValueError, http.client.HTTPException):  # an address that can't be asked for is a failed request
         return None
 
 
