@@ -4,7 +4,7 @@ Each document's features are its runs of words, hashed to buckets. Chunks of doc
 the documents that have it and their counts: the postings, which are shuffled to their bucket. There the two corpora meet,
 the bucket's gain (the log ratio of its share in the target and in the documents) is computed, and each posting's
 contribution is sent back to its chunk, where contributions are added up by document. Frequent buckets are dealt over
-salts, and their counts are added up by partial sums first, so no bucket is one task's work.
+salts by chunk, and their counts are added up by partial sums first, so no bucket is one task's work.
 
 A document's weight is the floored mean of its features' gains. Seeded Gumbel noise is added, and the highest scores are
 drawn without replacement: a sample by importance.
@@ -22,13 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import portions, small_batches, spread, written
+from civigrid.llm.common import portions, small_batches, written
 from civigrid.llm.ranks import numbered
 
 #: Buckets of features, least words of a document that may be drawn, documents of a hundred that are drawn, and the noise's seed.
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 10, 2024
 #: Postings and documents of a chunk; the last document of a chunk adds at most as many postings as there are buckets.
 CHUNK_POSTINGS, CHUNK_DOCS = 1 << 18, 30_000
+#: Chunks whose rows of a bucket meet under one salt; a bucket has one row of each chunk at most.
+SALT_CHUNKS = 2048
 #: A gain of 1000 is one natural logarithm.
 SCALE = 1000
 #: Runs of ASCII letters, digits and everything beyond ASCII, in lower-cased UTF-8.
@@ -77,7 +79,7 @@ class Chunk:
             "bucket": pa.array(np.concatenate(([-1], keys[first] >> 16)), pa.int32()),
             "total": pa.array(np.concatenate(([0], np.add.reduceat(counts, first) if len(first) else [])), pa.int64()),
             "at": pa.ListArray.from_arrays(offsets, pa.array(keys & 0xFFFF, pa.int16())),
-            "n": pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
+            "n": pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())),
             "ids": pa.ListArray.from_arrays(whole, pa.array(self.ids, ids)),
             "words": pa.ListArray.from_arrays(whole, pa.array(self.words, pa.int64())),
             "features": pa.ListArray.from_arrays(whole, pa.array(self.features, pa.int64())),
@@ -106,7 +108,7 @@ def postings(texts: DataFrame, low: int, high: int, buckets: int) -> DataFrame:
         if chunk.ids:
             yield chunk.rows(name, ids)
 
-    return source.mapInArrow(inverted, f"chunk long, bucket int, total long, at array<short>, n array<long>, ids array<{kind}>, words array<long>, features array<long>")
+    return source.mapInArrow(inverted, f"chunk long, bucket int, total long, at array<short>, n array<int>, ids array<{kind}>, words array<long>, features array<long>")
 
 
 def gains(docs: DataFrame, target: DataFrame, buckets: int) -> DataFrame:
@@ -125,8 +127,10 @@ def weighed(docs: DataFrame, target: DataFrame, *, low: int = 1, high: int = 1,
     aim = written(postings(target.select(F.lit(0).alias("key"), "text"), low, high, buckets).select("bucket", "total"), "target-postings")
     gain = written(gains(own, aim, buckets), "gains")
     lists = own.where("bucket >= 0").select("chunk", "bucket", "at", "n")
-    met = spread(lists, gain.hint("merge"), "bucket", by="chunk")
-    heads = own.where("bucket < 0").select("chunk", F.lit(None).cast("long").alias("gain"), F.lit(None).cast("array<short>").alias("at"), F.lit(None).cast("array<long>").alias("n"), "ids", "words", "features")
+    heads = own.where("bucket < 0").select("chunk", F.lit(None).cast("long").alias("gain"), F.lit(None).cast("array<short>").alias("at"), F.lit(None).cast("array<int>").alias("n"), "ids", "words", "features")
+    salts = -(-heads.count() // SALT_CHUNKS) or 1
+    salted = gain.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = lists.withColumn("salt", F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int")).join(salted.hint("merge"), ["bucket", "salt"])
     lone = {c: F.lit(None).cast(heads.schema[c].dataType).alias(c) for c in ("ids", "words", "features")}
     parts = met.select("chunk", "gain", "at", "n", *lone.values()).union(heads)
     kind = docs.schema[key].dataType.simpleString()
@@ -140,7 +144,7 @@ def weighed(docs: DataFrame, target: DataFrame, *, low: int = 1, high: int = 1,
         for b in lists.to_batches():
             at, counts = (b.column(c) for c in ("at", "n"))
             each = np.repeat(b.column("gain").to_numpy(zero_copy_only=False), np.diff(at.offsets.to_numpy()))
-            np.add.at(weight, at.flatten().to_numpy(), each * counts.flatten().to_numpy())
+            np.add.at(weight, at.flatten().to_numpy(), each * counts.flatten().to_numpy().astype(np.int64))
         return pa.table({key: ids, "n_words": words, "n_features": pa.array(n), "weight": pa.array(weight // np.maximum(n, 1))})
 
     return parts.groupBy("chunk").applyInArrow(reduced, f"`{key}` {kind}, n_words long, n_features long, weight long")
