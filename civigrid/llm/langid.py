@@ -22,15 +22,16 @@ from civigrid.llm.common import portions, small_batches, turn, written
 
 #: Training documents for each language, at most about this many (hash sample); half as many again calibrate.
 TRAIN_DOCS = 800
-#: Languages that can be learned: those with the most documents.
-LANGUAGES = 300
 BUCKETS = 1 << 15  # at most 2^16
 DIM = 16
 EPOCHS = 6
 GRAMS = (2, 3, 4)
 #: Share of correctly predicted calibration documents that the rejection threshold may lose.
 LOSS = 0.001
-CACHE_WORDS = 300_000
+#: Words that a worker remembers, and bytes that they and their rows take; when either is reached it forgets all and goes on.
+CACHE_WORDS, CACHE_BYTES = 300_000, 128 << 20
+#: Words whose rows are added up at a time, and bytes of the subwords' rows that are.
+SLICE, GATHERED = 50_000, 32 << 20
 #: Word characters but digits and the underscore; other number signs (of categories No and Nl) are taken out afterwards.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -69,26 +70,46 @@ class Scorer:
     """Applies a model to texts; remembers each word's summed rows and their number."""
 
     def __init__(self, model: Model):
-        self.model, self.index = model, {}
+        self.model, self.index, self.held = model, {}, 0
         self.rows = np.zeros((1024, len(model.languages) + 1))
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.index) + len(new) > CACHE_WORDS:
+        size = 4 * sum(map(len, new)) + len(new) * (100 + self.rows.itemsize * self.rows.shape[1])
+        if len(self.index) + len(new) > CACHE_WORDS or self.held + size > CACHE_BYTES:
             self.index.clear()
+            self.held = 0
+            if len(self.rows) * self.rows[0].nbytes > CACHE_BYTES:  # a few very many words had made it larger
+                self.rows = np.zeros((1024, self.rows.shape[1]))
+        self.held += size
         ids = list(map(subwords, new))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = self.model.table[np.fromiter((x for i in ids for x in i), np.int64, int(sizes.sum()))]
         at = len(self.index)
         while at + len(new) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at : at + len(new), :-1] = np.add.reduceat(flat, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
-        self.rows[at : at + len(new), -1] = sizes
+            self.rows = np.concatenate([self.rows, np.zeros((min(len(self.rows), max(len(new), (32 << 20) // self.rows[0].nbytes)), self.rows.shape[1]))])
+        self.rows[at : at + len(new), -1] = sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        most = max(1, GATHERED // max(1, self.model.table[:1].nbytes))
+        upto, begin = np.cumsum(sizes), 0
+        while begin < len(new):
+            end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + most, "right")))
+            flat = np.fromiter((x for i in ids[begin:end] for x in i), np.int64, int(sizes[begin:end].sum()))
+            if len(flat) <= most:
+                self.rows[at + begin : at + end, :-1] = np.add.reduceat(self.model.table[flat], np.concatenate([[0], np.cumsum(sizes[begin:end])[:-1]]), axis=0)
+            else:  # one very long word
+                self.rows[at + begin, :-1] = sum(self.model.table[flat[k : k + most]].sum(axis=0) for k in range(0, len(flat), most))
+            begin = end
         self.index.update(zip(new, range(at, at + len(new)), strict=True))
 
     def mean(self, text: str) -> np.ndarray | None:
-        words, index = words_of(text), self.index
+        words = words_of(text)
         if not words:
             return None
+        # A slice has at most so many rows as a worker may keep, whatever the number of languages.
+        n = max(1, min(SLICE, CACHE_BYTES // (2 * self.rows[0].nbytes)))
+        total = sum(self._sum(words[at : at + n]) for at in range(0, len(words), n))
+        return total[:-1] / total[-1]
+
+    def _sum(self, words: list[str]) -> np.ndarray:
+        """The sum of some words' rows."""
+        index = self.index
         got = list(map(index.get, words))
         if None in got:
             self._learn(list({w for w, g in zip(words, got, strict=True) if g is None}))
@@ -96,8 +117,7 @@ class Scorer:
             if None in got:
                 self._learn(list({w for w in words if w not in index}))
                 got = list(map(index.get, words))
-        total = self.rows[np.array(got)].sum(axis=0)
-        return total[:-1] / total[-1]
+        return self.rows[np.array(got)].sum(axis=0)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         means = [self.mean(t) if t and self.model.languages else None for t in texts]
@@ -186,16 +206,17 @@ def fitted(batches):
         yield pa.RecordBatch.from_pylist([{"languages": m.languages, "table": m.table.tobytes(), "bias": m.bias.tobytes(), "temperature": m.temperature, "threshold": m.threshold}])
 
 
-def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
+def train(docs: DataFrame, per_language: int = TRAIN_DOCS, languages: int | None = None) -> Model:
     """Learn from text and non-null lang of rows whose fold is not 1 (a null id is in no fold and not learned from).
 
-    At most about 1.5 times ``per_language`` documents of each of the ``LANGUAGES`` most frequent languages are read,
-    chosen by a hash of the id: the languages' counts come first, then the hash bound for each. One task fits the model
+    At most about 1.5 times ``per_language`` documents of each language are read (with ``languages``, only of so many, the most
+    frequent ones), chosen by a hash of the id: the languages' counts come first, then the hash bound for each. One task fits the model
     on their bucket counts, from a written table; the driver gets the model.
     """
     small_batches(docs.sparkSession)
     usable = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string"), F.col("lang").cast("string"), fold(F.col("doc_id")).alias("fold")).where("fold <> 1 AND lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    found = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = {r.lang: r.n for r in (found if languages is None else found.orderBy(F.desc("n"), "lang").limit(languages)).collect()}
     none = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     if not counts:
         return none

@@ -22,7 +22,8 @@ from civigrid.llm.common import kept_by, portions, small_batches, turn
 
 MARK = "▁"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS = 600_000
+#: Words that a worker remembers, and bytes that they and their ids take; when either is reached it forgets all and goes on.
+CACHE_WORDS, CACHE_BYTES, ENTRY = 600_000, 160 << 20, 150
 #: Characters of a string of new words, and one in how many documents is also compared as a whole where words are independent.
 JOINED = 20_000
 WHOLE = 32
@@ -121,6 +122,7 @@ class PieceCodec:
         self.opens = np.array([p.startswith(MARK) for p, *_ in pieces])
         self.by_word = self.by_word and MARK in vocab
         self.known: dict[bytes, bytes] = {}  # by the word without its one marker in front
+        self.held = 0  # bytes that both take
         self.odd: dict[str, bytes] = {}  # other runs: several markers, markers alone, a start without one
         self.differing: set = set()
         self.other = None
@@ -214,14 +216,16 @@ class PieceCodec:
         known, odd = self.known, self.odd
         distinct = set().union(*held)
         new = distinct.difference(known)
-        runs = [w for w in new if isinstance(w, str)]
-        if len(known) + len(new) > CACHE_WORDS:
+        new.difference_update(odd)
+        size = sum(5 * len(w) + ENTRY for w in new)
+        if len(known) + len(odd) + len(new) > CACHE_WORDS or self.held + size > CACHE_BYTES:
             known.clear()
+            odd.clear()
             new = distinct
+            self.held, size = 0, sum(5 * len(w) + ENTRY for w in new)
+        self.held += size
         self._learn([w for w in new if isinstance(w, bytes)])
-        if len(odd) > 10_000:
-            odd.clear()
-        runs = [w for w in runs if w not in odd]
+        runs = [w for w in new if isinstance(w, str)]
         odd.update(zip(runs, (np.array(x, "<u4").tobytes() for x in self._alone(runs)), strict=True))
         for words in held:
             got = list(map(known.get, words))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civigrid.llm.common import kept_by, portions, small_batches, turn
-from civigrid.llm.wordbpe import CACHE_CHUNKS, byte_symbols, has_plain_words, splits_at_space, word_and_tail
+from civigrid.llm.wordbpe import CACHE_CHUNKS, LONGEST, byte_symbols, has_plain_words, splits_at_space, word_and_tail
 
 ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9\s]+")
 _loaded: dict[str, PrefixCounter] = {}
@@ -137,7 +137,9 @@ class PrefixCounter:
             key = word.encode()
             n = self.known.get(key)
             if n is None:
-                n = self.known[key] = self.word(word if word.isascii() else word.translate(self.symbols))
+                n = self.word(word if word.isascii() else word.translate(self.symbols))
+                if len(key) <= LONGEST:
+                    self.known[key] = n
             return n + (self.tail(tail) if tail else 0)
         total, at = 0, 0
         for m in self.special.finditer(text):
@@ -157,7 +159,7 @@ class PrefixCounter:
         n = self.tails.get(tail)
         if n is None:
             n = self.word(tail)
-            if len(self.tails) < 10_000:
+            if len(self.tails) < 10_000 and len(tail) <= LONGEST:
                 self.tails[tail] = n
         return n
 
@@ -168,12 +170,14 @@ class PrefixCounter:
         if None in got:
             if len(known) > CACHE_CHUNKS:
                 known.clear()
+            long: dict[bytes, int] = {}  # of this text alone
             for i, n in enumerate(got):
                 if n is None:
                     c = chunks[i]
-                    n = known.get(c)
+                    kept = known if len(c) <= LONGEST else long
+                    n = kept.get(c)
                     if n is None:
-                        n = known[c] = self.chunk(c.decode())
+                        n = kept[c] = self.chunk(c.decode())
                     got[i] = n
         return chunks, list(itertools.accumulate(got))
 

@@ -17,8 +17,9 @@ from civigrid.llm.common import kept_by, turn
 assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Chunks that a worker remembers; when they are reached it forgets all and goes on (results are the same).
-CACHE_CHUNKS = 500_000
+#: Chunks that a worker remembers, each of at most LONGEST bytes, which bounds the bytes too; when they are reached it
+#: forgets all and goes on. Longer ones, as texts without spaces have, are asked for each time (results are the same).
+CACHE_CHUNKS, LONGEST = 500_000, 64
 _loaded: dict[str, ChunkEncoder] = {}
 
 
@@ -120,17 +121,19 @@ class ChunkEncoder:
             key = word.encode()
             coded = known.get(key)
             if coded is None:
-                coded = known[key] = self._word(word)
+                coded = self._word(word)
+                if len(key) <= LONGEST:
+                    known[key] = coded
             if tail:
                 end = self.tails.get(tail)
                 if end is None:
                     end = self._asked([tail])[0]
-                    if len(self.tails) < 10_000:
+                    if len(self.tails) < 10_000 and len(tail) <= LONGEST:
                         self.tails[tail] = end
                 coded += end
             ids[c] = coded
         ids.update(zip(ask, self._asked([c.decode() for c in ask]), strict=True))
-        known.update(ids)
+        known.update((c, x) for c, x in ids.items() if len(c) <= LONGEST)
         return ids
 
 

@@ -287,3 +287,22 @@ def test_against_sql(spark, name):
     order = sorted(df.columns)
     assert sorted(wanted.columns) == order
     assert sorted(map(repr, (tuple(r[c] for c in order) for r in df.collect()))) == sorted(map(repr, wanted.select(", ".join(order)).fetchall()))
+
+
+def test_language_rows_are_bounded_in_bytes(monkeypatch):
+    """300 languages, many words, and runs of letters as long as a text: the same means whatever is kept."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    model = langid.Model([f"l{i:03}" for i in range(300)], rng.normal(size=(langid.BUCKETS, 300)).astype(np.float32), np.zeros(300))
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}q" for i in range(k, k + 400)) for k in range(0, 2000, 200)] + ["漢字" * 700, "か" * 5000 + " kana"]
+    free = langid.Scorer(model)
+    want = [free.mean(t) for t in texts]
+    monkeypatch.setattr(langid, "CACHE_BYTES", 1 << 20)
+    monkeypatch.setattr(langid, "GATHERED", 1 << 20)
+    tight = langid.Scorer(model)
+    for t, w in zip(texts * 2, want * 2, strict=True):
+        assert np.allclose(tight.mean(t), w, atol=1e-5)
+        assert tight.rows.nbytes <= 4 << 20 and tight.held <= 2 << 20
+    by_hand = np.array([model.table[b] for w in langid.words_of(texts[-1]) for b in langid.subwords(w)]).mean(axis=0)
+    assert np.allclose(want[-1], by_hand, atol=1e-5)

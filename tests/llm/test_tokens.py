@@ -180,3 +180,38 @@ def test_unigram_model(spark, tmp_path, prefix, squeeze):
     got = coded(documents(spark, rows), path).collect()
     assert len(got) == len(rows) and all(r.parity for r in got) and len({(r.ids_crc32, r.n_tokens) for r in got if r.doc_id == 1}) == 1
     assert all(r.round_trip for r in got if not squeeze)
+
+
+def spaceless(seed, n, size):
+    rng = random.Random(seed)
+    return ["".join(chr(rng.randint(0x4E00, 0x5E00)) for _ in range(size)) + rng.choice(["", "。", " the", " a b"]) for _ in range(n)]
+
+
+def test_texts_without_spaces_are_not_remembered():
+    """What workers keep of such texts is bounded in bytes, and results don't depend on what is kept."""
+    import sys
+
+    from tokenizers import Tokenizer
+
+    from civigrid.llm import sentencepieces
+    from civigrid.llm.tokencount import PrefixCounter
+    from civigrid.llm.wordbpe import LONGEST, ChunkEncoder
+
+    texts = spaceless(4, 120, 700) + ["x" * 3000 + "!" * 500, "word " * 50] + ["!" * 100 + str(i) for i in range(20)]
+    lib = Tokenizer.from_file(BPE)
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    e, c = ChunkEncoder(BPE), PrefixCounter(BPE)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.ids_of(texts)] == want
+        assert [c.cumulative(t)[1][-1] for t in texts] == list(map(len, want))
+    for kept in (e.known, c.known):
+        assert kept and max(map(len, kept)) <= LONGEST and sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in kept.items()) < 20_000
+    p = sentencepieces.PieceCodec(PIECES)
+    first = p.encode(texts)
+    limit, sentencepieces.CACHE_BYTES = sentencepieces.CACHE_BYTES, 100_000
+    try:
+        for k in range(0, len(texts), 10):
+            assert p.encode(texts[k : k + 10]) == first[k : k + 10]
+            assert sum(map(len, [*p.known, *p.odd])) + sum(map(len, [*p.known.values(), *p.odd.values()])) < 150_000
+    finally:
+        sentencepieces.CACHE_BYTES = limit
