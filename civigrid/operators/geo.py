@@ -1,8 +1,8 @@
 """Points in polygons: the batch look-up of districts.
 
-Polygons are put into the cells of a grid that their bounds touch, points into theirs, and the two are joined on the
-cell: an equi-join, with as many candidates for a point as there are polygons in its cell. The exact test is an
-expression over rings: even-odd crossings, holes included, and every edge and vertex counts as inside.
+Polygons are divided into leaves of a quadtree (``quadtree.py``), points are put into the cells of the levels that there
+are, and the two are joined on the cell: an equi-join, with a bounded number of edges for each candidate. The exact test
+is even-odd crossings, holes included, and every edge and vertex counts as inside; ``inside`` is the same over whole rings.
 """
 
 from __future__ import annotations
@@ -12,8 +12,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Degrees of a grid cell.
-CELL = 0.5
+from civigrid.operators.quadtree import cells, grown, in_leaf
+from civigrid.operators.staging import staged
+
+#: Leaves, and edges of them all, that are broadcast at most (some tens of MB).
+FEW_LEAVES, FEW_EDGES = 100_000, 500_000
+#: Points of a cell that one task meets, about, and tasks that a cell's points are dealt over at most.
+HOT_POINTS, MOST_SALTS = 100_000, 4096
 MULTI = "array<array<array<array<double>>>>"
 
 
@@ -61,32 +66,25 @@ def inside(edges: Column, x: Column, y: Column) -> Column:
     return F.exists(edges, in_poly)
 
 
-def bounds(coordinates: Column) -> dict[str, Column]:
-    flat = F.flatten(F.flatten(coordinates))
-    xs, ys = F.transform(flat, lambda p: F.get(p, F.lit(0))), F.transform(flat, lambda p: F.get(p, F.lit(1)))
-    return {"min_x": F.array_min(xs), "max_x": F.array_max(xs), "min_y": F.array_min(ys), "max_y": F.array_max(ys)}
-
-
-def gridded(features: DataFrame, cell: float = CELL) -> DataFrame:
-    """``features`` (coordinates) with their edges and bounds, once for each grid cell that the bounds touch."""
-    f = features.withColumns(bounds(F.col("coordinates"))).withColumn("edges", prepared_edges(F.col("coordinates"))).where("min_x IS NOT NULL")
-
-    def span(axis: str) -> Column:
-        return F.sequence(F.floor(F.col(f"min_{axis}") / cell), F.floor(F.col(f"max_{axis}") / cell))
-
-    return f.withColumn("cell_x", F.explode(span("x"))).withColumn("cell_y", F.explode(span("y")))
-
-
-def located(points: DataFrame, features: DataFrame, cell: float = CELL) -> DataFrame:
+def located(points: DataFrame, features: DataFrame) -> DataFrame:
     """``points`` (point_id, lat, lon) with the first feature that holds each: entry order, then feature order.
 
     ``features`` has entry_pos, feature_pos, coordinates and the columns to return. Points outside the valid range or
-    any polygon come back with found false. Points are counted once for each point_id.
+    any polygon come back with found false. Points are counted once for each point_id. A point meets the leaves of its own
+    cells. Leaves are broadcast if they are few, which shuffles no point; else cells with very many points are dealt over salts.
     """
     payload = [c for c in features.columns if c != "coordinates"]
-    grid = gridded(features, cell)
-    asked = points.where(valid_point(F.col("lat"), F.col("lon"))).withColumn("cell_x", F.floor(F.col("lon") / cell)).withColumn("cell_y", F.floor(F.col("lat") / cell))
-    boxed = F.col("lon").between(F.col("min_x"), F.col("max_x")) & F.col("lat").between(F.col("min_y"), F.col("max_y"))
-    hits = asked.join(grid, ["cell_x", "cell_y"]).where(boxed).where(inside(F.col("edges"), F.col("lon"), F.col("lat")))
+    grid = staged(grown(features))
+    size = grid.agg(F.count("*").alias("leaves"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges"), F.array_sort(F.collect_set("level")).alias("levels")).first()
+    asked = points.where(valid_point(F.col("lat"), F.col("lon"))).select("point_id", "lat", "lon", F.explode(cells(F.col("lon"), F.col("lat"), size.levels or [0])).alias("c")).select("point_id", "lat", "lon", "c.*")
+    key = ["level", "cell_x", "cell_y"]
+    if size.leaves <= FEW_LEAVES and size.edges <= FEW_EDGES:
+        met = asked.join(F.broadcast(grid), key)
+    else:
+        hot = F.broadcast(asked.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > HOT_POINTS).select(*key, F.least(F.lit(MOST_SALTS), F.ceil(F.col("n") / HOT_POINTS)).cast("int").alias("salts")))
+        dealt = asked.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64("point_id", "lat", "lon"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+        copied = grid.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+        met = dealt.join(copied, [*key, "salt"])
+    hits = met.where(in_leaf(F.col("lon"), F.col("lat")))
     best = hits.groupBy("point_id").agg(F.min(F.struct("entry_pos", "feature_pos", *(c for c in payload if c not in ("entry_pos", "feature_pos")))).alias("hit"))
     return points.join(best, "point_id", "left").select(*points.columns, F.col("hit").isNotNull().alias("found"), *(F.col(f"hit.{c}").alias(c) for c in payload if c not in ("entry_pos", "feature_pos")))
