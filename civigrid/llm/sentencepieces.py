@@ -3,7 +3,8 @@
 The model protobuf is read field by field, and normaliser, white-space marker, scores or merges, and byte fallback are
 rebuilt. A unigram model keeps its scores; in a byte-pair model the score orders the merges. Where no piece holds the
 marker after another character, words are independent: each worker asks the library once for a repeated word, for many
-new words in one batch of joined strings, and compares their ids with those of the sentencepiece library.
+new words in one batch of joined strings. The ids of every document are compared with those that the sentencepiece
+library gives for it as a whole.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ MARK = "▁"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Words that a worker remembers, and bytes that they and their ids take; when either is reached it forgets all and goes on.
 CACHE_WORDS, CACHE_BYTES, ENTRY = 600_000, 160 << 20, 150
-#: Characters of a string of new words, and one in how many documents is also compared as a whole where words are independent.
-JOINED = 20_000
-WHOLE = 32
+#: Characters of a string of new words, and of the texts that are compared at a time.
+JOINED, COMPARED = 20_000, 1 << 20
 _loaded: dict[str, PieceCodec] = {}
 
 
@@ -89,6 +89,7 @@ class PieceCodec:
         from tokenizers import Regex, Tokenizer, decoders, normalizers
         from tokenizers.models import BPE, Unigram
 
+        self.other, self.differing = None, 0  # the sentencepiece library's model, and how many texts it gave other ids for
         self.model = m = parse(path)
         if not m["escape"] or m["suffix"]:
             raise ValueError("only models that mark white space in front of words are supported")
@@ -124,8 +125,6 @@ class PieceCodec:
         self.known: dict[bytes, bytes] = {}  # by the word without its one marker in front
         self.held = 0  # bytes that both take
         self.odd: dict[str, bytes] = {}  # other runs: several markers, markers alone, a start without one
-        self.differing: set = set()
-        self.other = None
         self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def given(self, text: str) -> str:
@@ -140,19 +139,28 @@ class PieceCodec:
         return [e.ids for e in self.library.encode_batch_fast([self.given(t) for t in texts], add_special_tokens=False)]
 
     def verify(self, path: str) -> None:
-        """From now on, compare what the library is asked with the sentencepiece library's ids."""
-        import sentencepiece
+        """Load the sentencepiece library's model, once."""
+        if self.other is None:
+            import sentencepiece
 
-        self.other = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.other = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def agrees(self, text: str, ids: bytes, whole: bool = False) -> bool:
-        """Whether the sentencepiece library gives these ids.
+    def agrees(self, text: str, ids: bytes) -> bool:
+        return self.agree([text], [ids])[0]
 
-        Where words are independent, each was compared when it was learned, and only ``whole`` texts are encoded again.
-        """
-        if whole or not self.by_word:
-            return self.other.encode(text) == np.frombuffer(ids, "<u4").tolist()
-        return not self.differing or self.differing.isdisjoint(self.divided(text))
+    def agree(self, texts: list[str], ids: list[bytes]) -> list[bool]:
+        """Whether the sentencepiece library gives these ids for each text as a whole."""
+        out, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (size < COMPARED or end == at):
+                size += len(texts[end])
+                end += 1
+            theirs = self.other.encode(texts[at:end], num_threads=2)
+            out += [x == np.frombuffer(own, "<u4").tolist() for x, own in zip(theirs, ids[at:end], strict=True)]
+            at = end
+        self.differing += out.count(False)
+        return out
 
     def divided(self, text: str) -> list:
         """The words of a text: bytes of a word that one marker precedes, and other runs as strings with their markers."""
@@ -162,17 +170,11 @@ class PieceCodec:
         return [w[1:].encode() if w[0] == MARK and len(w) > 1 and w[1] != MARK else w for w in self.words.findall(self.given(text).replace(" ", MARK))]
 
     def _alone(self, words: list[str]) -> list[list[int]]:
-        """Ids of words, each asked for by itself; those that the sentencepiece library can be given alone are compared."""
-        ids = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        if self.other is not None:
-            for w, x in zip(words, ids, strict=True):
-                first = w[0] == MARK and self.model["prefix"]
-                if (first or not self.model["prefix"]) and w != MARK and self.other.encode(w.replace(MARK, " ")[first:]) != x:
-                    self.differing.add(w[1:].encode() if first and w[1] != MARK else w)
-        return ids
+        """Ids of words, each asked for by itself."""
+        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, new: list[bytes]) -> None:
-        """Ask both libraries for new words, many of them joined in each string; the pieces that open words divide the ids again."""
+        """Ask for new words, many of them joined in each string; the pieces that open words divide the ids again."""
         strings, at = [], 0
         while at < len(new):
             end, size = at, 0
@@ -183,13 +185,9 @@ class PieceCodec:
             at = end
         texts = [MARK + MARK.join(w.decode() for w in part) for part in strings]
         own = [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        theirs = [None] * len(texts)
-        if self.other is not None:
-            theirs = self.other.encode([t.replace(MARK, " ")[self.model["prefix"] :] for t in texts], num_threads=1)
-        for part, ids, check in zip(strings, own, theirs, strict=True):
+        for part, ids in zip(strings, own, strict=True):
             first = np.flatnonzero(self.opens[ids])
-            same = check is None or (len(check) == len(ids) and bool((ids == np.array(check, "<u4")).all()))
-            if not same or len(first) != len(part):
+            if len(first) != len(part):
                 self.known.update(zip(part, (np.array(x, "<u4").tobytes() for x in self._alone([MARK + w.decode() for w in part])), strict=True))
                 continue
             raw, ends = ids.tobytes(), (4 * np.append(first[1:], len(ids))).tolist()
@@ -255,9 +253,8 @@ kept_by("pieces", _loaded.clear)
 def coded(docs: DataFrame, model: str) -> DataFrame:
     """For each document: doc_id, n_tokens, ids_crc32, n_bytes_fallback, round_trip, parity.
 
-    ``round_trip``: decoding gives the text back. ``parity``: the ids equal those of the sentencepiece library; where
-    words are independent they are compared word by word, each when a worker first meets it, and one document in
-    ``WHOLE`` (by its ids' checksum) is compared as a whole besides. A null text counts as empty; an empty text has no
+    ``round_trip``: decoding gives the text back. ``parity``: the ids equal those that the sentencepiece library gives
+    for the document as a whole. A null text counts as empty; an empty text has no
     tokens; a very long text is handled like any other. Repeated rows give repeated rows; other columns are ignored.
     """
     small_batches(docs.sparkSession)
@@ -271,7 +268,7 @@ def coded(docs: DataFrame, model: str) -> DataFrame:
             ids = c.encode(texts)
             arrays = [np.frombuffer(x, "<u4") for x in ids]
             sums = [zlib.crc32(x) for x in ids]
-            parity = [c.agrees(t, x, n % WHOLE == 0) for t, x, n in zip(texts, ids, sums, strict=True)]
+            parity = c.agree(texts, ids)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(a) for a in arrays], pa.int64()), pa.array(sums, pa.int64()), pa.array([int(fallback[a].sum()) for a in arrays], pa.int64()), pa.array([c.decode(x) == t for x, t in zip(ids, texts, strict=True)], pa.bool_()), pa.array(parity, pa.bool_())],
                 names=["doc_id", "n_tokens", "ids_crc32", "n_bytes_fallback", "round_trip", "parity"],
