@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from civigrid.functions.text import iso_now
 from civigrid.operators.geojson import coordinates
 from civigrid.operators.registry import VERSION, ordered
 from civigrid.operators.validation import document_error, package_entries
+from civigrid.sources.onefile import existing, write_document
 
 GENERATED = (
     "version string, generatedAt string, entries array<struct<placeFips:string,city:string,state:string,districtType:string,"
@@ -35,9 +39,17 @@ def read_generated(spark: SparkSession, path: str) -> DataFrame:
     return read_document(spark, path, GENERATED)[2]
 
 
+def package_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Entries for look-ups, each with what is wrong with it."""
+    return package_entries(read_document(spark, path, PACKAGE)[2])
+
+
 def read_package(spark: SparkSession, path: str) -> DataFrame:
-    """Entries for look-ups; the first invalid one is an error."""
-    entries = package_entries(read_document(spark, path, PACKAGE)[2]).cache()
+    """Entries for look-ups; the first invalid one is an error. They are read each time; a ``Catalogue`` keeps them."""
+    return without_error(package_rows(spark, path))
+
+
+def without_error(entries: DataFrame) -> DataFrame:
     bad = entries.where("error IS NOT NULL").orderBy("pos").limit(1).collect()
     if bad:
         raise ValueError(bad[0].error)
@@ -45,22 +57,39 @@ def read_package(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_registry(entries: DataFrame, path: str) -> None:
-    """A registry document in its order, one file. Meant for a country's registry, which one task can hold."""
-    listed = ordered(entries).agg(F.collect_list(F.struct(*entries.columns)).alias("entries"))
-    doc = listed.select(F.lit(VERSION).alias("version"), iso_now().alias("generatedAt"), "entries")
-    doc.select(F.to_json(F.struct("*"), {"pretty": "true"})).coalesce(1).write.mode("overwrite").text(path)
+    """A registry document in its order: one file, which replaces what was there at once."""
+    now = entries.sparkSession.range(1).select(iso_now()).first()[0]
+    write_document(ordered(entries), F.struct(*entries.columns), f'{{"version":{json.dumps(VERSION)},"generatedAt":{json.dumps(now)},"entries":[', "]}\n", path)
 
 
-def read_boundaries(spark: SparkSession, folder: str) -> DataFrame:
+def read_boundaries(spark: SparkSession, folder: str, wanted: list[tuple[str, str]] | None = None) -> DataFrame:
     """Features of ``<folder>/<place>/<type>.geojson``: place_fips, boundary_type, feature_pos, feature_id, properties, geometry_type, coordinates.
 
     Files that are no JSON or no feature collection are passed over; features that are no polygons have null coordinates.
+    With ``wanted`` (places and types) only these files are looked at; those that don't exist have no features.
     """
-    raw = spark.read.text(f"{folder}/*/*.geojson", wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    paths = [f"{folder}/*/*.geojson"] if wanted is None else existing(spark, [f"{folder}/{place}/{kind}.geojson" for place, kind in wanted])
+    if paths:
+        raw = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    else:
+        raw = spark.createDataFrame([], "value string, path string")
     doc = raw.select(F.regexp_extract("path", r"/([^/]+)/([^/]+)\.geojson$", 1).alias("place_fips"), F.regexp_extract("path", r"/([^/]+)/([^/]+)\.geojson$", 2).alias("boundary_type"), "value")
     return exploded(feature_collections(doc))
 
 
+def write_boundary_store(boundaries: DataFrame, folder: str) -> None:
+    """Boundaries as a Parquet table that look-ups prune: folders by the state's digits of the place and by type, files sorted by place."""
+    keyed = boundaries.withColumn("region", F.substring("place_fips", 1, 2))
+    keyed.repartitionByRange("region", "boundary_type", "place_fips").sortWithinPartitions("region", "boundary_type", "place_fips", "feature_pos").write.mode("overwrite").partitionBy("region", "boundary_type").parquet(folder)
+
+
+def read_boundary_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The table of ``write_boundary_store``; ``lookup`` reads the folders and row groups of the entries that it wants."""
+    kinds = spark.read.parquet(folder).schema
+    texts = StructType([StructField(f.name, StringType() if f.name in ("region", "boundary_type") else f.dataType) for f in kinds])
+    return spark.read.schema(texts).parquet(folder)  # else "04" would be read as a number
+
+
 def feature_collections(documents: DataFrame) -> DataFrame:
     """Of JSON texts in ``value`` those that are feature collections: their features, and the properties' texts, in whose order names stand."""
     own = [c for c in documents.columns if c != "value"]

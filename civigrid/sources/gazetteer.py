@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import urllib.request
 import zipfile
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from civigrid.functions.text import iso_now
 from civigrid.operators.places import places, sorted_places
+from civigrid.sources.onefile import write_document
 
 PLACES = "source string, year int, generatedAt string, places array<struct<placeFips:string,city:string,state:string,stateFips:string,placeName:string,placeType:string,geoidFq:string,ansicode:string,funcstat:string,latitude:double,longitude:double>>"
 NAMES = {"place_fips": "placeFips", "city": "city", "state": "state", "place_name": "placeName", "place_type": "placeType", "geoid_fq": "geoidFq", "ansicode": "ansicode", "funcstat": "funcstat", "latitude": "latitude", "longitude": "longitude"}
@@ -95,12 +97,12 @@ def read_places(spark: SparkSession, path: str, validate: bool = False) -> DataF
 
 
 def write_places(found: DataFrame, path: str, source: str, year: int) -> None:
-    """A places document of one file; none at all is an error. Meant for a country's places, which one task can hold."""
-    rows = sorted_places(found).select(*(F.col(c).alias(n) for c, n in NAMES.items()))
-    doc = rows.agg(F.collect_list(F.struct(*NAMES.values())).alias("places")).select(F.lit(source).alias("source"), F.lit(year).alias("year"), iso_now().alias("generatedAt"), "places")
+    """A places document: one file, which replaces what was there at once; no place at all is an error."""
     if not found.take(1):
         raise ValueError("the gazetteer gave no incorporated places")
-    doc.select(F.to_json(F.struct("*"), {"pretty": "true"})).coalesce(1).write.mode("overwrite").text(path)
+    now = found.sparkSession.range(1).select(iso_now()).first()[0]
+    head = f'{{"source":{json.dumps(source)},"year":{year},"generatedAt":{json.dumps(now)},"places":['
+    write_document(sorted_places(found).select(*(F.col(c).alias(n) for c, n in NAMES.items())), F.struct(*NAMES.values()), head, "]}\n", path)
 
 
 def generate_places(spark: SparkSession, archive: str, out: str, source: str = "gazetteer", year: int = 2025) -> DataFrame:
