@@ -126,19 +126,106 @@ def iso_now() -> Column:
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-# The forms of dates that are read: ISO forms (a day up to 31 in any month), with slashes, and with a month's name.
-_TIME = r"(?:[T ]+(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?|T24:00(?::00(?:\.0+)?)?)"
-_ZONE = r"(?: *(?:Z|UTC|GMT|(?:GMT|UTC)?[+-]\d{2}:?\d{2}))"
-_DAY, _MONTH = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])"
-_NAMES = "(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\\.?"
-DATE_FORMS = [
-    rf"^(?:[+-]\d{{6}}|\d{{4}})(?:-(?:0[1-9]|1[0-2])(?:-(?:0[1-9]|[12]\d|3[01]))?)?{_TIME}?{_ZONE}?$",
-    rf"^(?:{_MONTH}/{_DAY}/\d{{4}}|\d{{4}}/{_MONTH}/{_DAY}){_TIME}?{_ZONE}?$",
-    rf"(?i)^(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +)?(?:{_DAY} +{_NAMES},? +\d{{4}}|{_NAMES} +{_DAY},? +\d{{4}}){_TIME}?{_ZONE}?$",
-]
+# The standard form of dates (a day up to 31 in any month), and how one begins that has a time.
+_STANDARD = r"(?:[+-][0-9]{6}|[0-9]{4})(?:-(?:0[1-9]|1[0-2])(?:-(?:0[1-9]|[12][0-9]|3[01]))?)?"
+_CLOCK = r"(?:(?:[01][0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:\.[0-9]+)?)?|24:00(?::00(?:\.0+)?)?)"
+STANDARD_DATE = rf"^{_STANDARD}(?:[Tt]{_CLOCK}(?:[Zz]|[+-](?:[01][0-9]|2[0-3]):?[0-5][0-9])?)?$"
+STANDARD_TIME = rf"^{_STANDARD}[Tt](?![A-Za-z])"
+# The tokens of other dates: numbers, words, signs, text in parentheses (up to three deep), white space, anything else.
+DATE_TOKENS = r"[0-9]+|[^\x00-\x40\s\u00A0\uFEFF\p{Z}]+|[:.+)-]|\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\)|[\s\u00A0\uFEFF\p{Z}]+|[\s\S]"
+# Words that dates have: months by their first letters, halves of a day, names of time zones.
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+ZONES = ["ut", "utc", "z", "gmt", "cdt", "cst", "edt", "est", "mdt", "mst", "pdt", "pst"]
+#: The last year that a time can be in.
+LAST_YEAR = 275759
 
 
 def is_date(c: Column) -> Column:
-    """Whether a text is a date in one of ``DATE_FORMS``; null is none."""
+    """Whether a text is a date as a browser reads it; null is none.
+
+    That is the standard form, or a row of numbers, words and signs: a number before a colon is part of the time, what else
+    numbers can be depends on what was read, a sign after a time or a zone's name begins an offset, words beside months,
+    halves of a day and zones may only stand before the first number, and text in parentheses is passed over.
+    """
     text = trimmed(c)
-    return F.coalesce(text.rlike(DATE_FORMS[0]) | text.rlike(DATE_FORMS[1]) | text.rlike(DATE_FORMS[2]), F.lit(False))
+    loose = F.when(text.rlike("[0-9]"), _reads_as_date(text))
+    return F.coalesce(text.rlike(STANDARD_DATE) | (~text.rlike(STANDARD_TIME) & F.coalesce(loose, F.lit(False))), F.lit(False))
+
+
+def _reads_as_date(text: Column) -> Column:
+    """One fold over the tokens of a text; the state has what was read so far."""
+    whole = F.regexp_extract_all(text, F.lit(DATE_TOKENS), F.lit(0))
+    some = F.array().cast("array<long>")
+    nothing = F.lit(None).cast("long")
+
+    def state(**parts: Column) -> Column:
+        return F.struct(*(v.alias(k) for k, v in parts.items()))
+
+    def kept(s: Column, **new: Column) -> Column:
+        names = ("ok", "skip", "number", "days", "month", "times", "half", "hour", "minute")
+        return state(**{n: new.get(n, s[n]) for n in names})
+
+    start = state(ok=F.lit(True), skip=F.lit(0), number=F.lit(False), days=some, month=nothing, times=some, half=F.lit(False), hour=nothing, minute=nothing)
+
+    def step(s: Column, t: Column) -> Column:
+        """``t`` is a token, with the two after it."""
+        word, after, then = t["x"], t["y"], t["z"]
+        n = F.substring(F.regexp_replace(word, "^0+(?=[0-9])", ""), 1, 9).try_cast("long")
+        few = F.size(s["times"])
+        expects = ((few == 1) | (few == 2)) & (n < 60) | (few == 3) & (n < 1000)
+        bad = kept(s, ok=F.lit(False))
+
+        def timed(values: Column, skip: Column) -> Column:
+            return F.when(F.size(values) <= 4, kept(s, number=F.lit(True), times=values, skip=skip)).otherwise(bad)
+
+        def full(values: Column) -> Column:
+            return F.slice(F.concat(values, F.array_repeat(F.lit(0).cast("long"), 4)), 1, 4)
+
+        one = F.array(n)
+        colon = F.when(then == ":", F.when(few > 0, bad).otherwise(timed(F.array(n, F.lit(0).cast("long")), F.lit(2)))).otherwise(timed(F.concat(s["times"], one), F.when(then == ".", 2).otherwise(1)))
+        dotted = F.when(then.rlike("^[0-9]"), timed(full(F.concat(s["times"], one)), F.lit(2))).otherwise(bad)
+        ends = (after == "") | after.rlike(r"^(?:[\s\u00A0\uFEFF\p{Z}]|[zZ]$|[+-])")
+        day = F.when(F.size(s["days"]) < 3, kept(s, number=F.lit(True), days=F.concat(s["days"], one), skip=F.when(after.isin("-", "."), 1).otherwise(0))).otherwise(bad)
+        number = (
+            F.when(after == ":", colon)
+            .when((after == ".") & expects, dotted)
+            .when(s["hour"].isNotNull() & s["minute"].isNull() & (n < 60), kept(s, number=F.lit(True), minute=n, skip=F.when(after == ".", 1).otherwise(0)))
+            .when(expects, F.when(ends | (after == "."), timed(full(F.concat(s["times"], one)), F.lit(0))).otherwise(bad))
+            .otherwise(day)
+        )
+        low = F.lower(word)
+        month = F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(low, 1, 3))
+        named = (
+            F.when(low.isin("am", "pm") & (few > 0), kept(s, half=F.lit(True)))
+            .when(month > 0, kept(s, month=month, skip=F.when(after == "-", 1).otherwise(0)))
+            .when(low.isin(ZONES) & s["number"], kept(s, hour=F.lit(0).cast("long"), minute=F.lit(0).cast("long")))
+            .when(s["number"] | after.rlike("^[0-9]"), bad)
+            .otherwise(s)
+        )
+        m, size = F.substring(F.regexp_replace(after, "^0+(?=[0-9])", ""), 1, 9).try_cast("long"), F.when(after.rlike("^[0-9]"), F.length(after)).otherwise(0)
+        digits = F.when(size > 0, 1).otherwise(0)
+        clock = F.when(size > 0, then).otherwise(after) == ":"
+        value = F.coalesce(m, F.lit(0).cast("long"))
+        offset = F.when(clock, kept(s, number=F.lit(True), hour=value, minute=nothing, skip=digits)).when(size.between(1, 2), kept(s, number=F.lit(True), hour=value, minute=F.lit(0).cast("long"), skip=digits)).when(size.between(3, 4), kept(s, number=F.lit(True), hour=F.floor(value / 100), minute=value % 100, skip=digits)).otherwise(bad)
+        sign = word.isin("+", "-")
+        zoned = F.coalesce((s["hour"] == 0) & (s["minute"] == 0), F.lit(False))
+        next_state = F.when(word.rlike("^[0-9]"), number).when(word.rlike(r"^[^\x00-\x40\s\u00A0\uFEFF\p{Z}]"), named).when(sign & (zoned | (few > 0)), offset).when((sign | (word == ")")) & s["number"], bad).otherwise(s)
+        return F.when(~s["ok"], s).when(s["skip"] > 0, kept(s, skip=s["skip"] - 1)).otherwise(next_state)
+
+    def fine(s: Column) -> Column:
+        d = F.concat(s["days"], F.array_repeat(F.lit(1).cast("long"), 3))
+        a, b, c = (F.get(d, F.lit(i)) for i in range(3))
+        first_is_day = a.between(1, 31)
+        year = F.when(~first_is_day, a).when(s["month"].isNull(), c).otherwise(b)
+        day = F.when(s["month"].isNotNull() & first_is_day, a).when(s["month"].isNull() & ~first_is_day, c).otherwise(b)
+        month = F.coalesce(s["month"], F.when(first_is_day, a).otherwise(b))
+        h, mi, se = (F.coalesce(F.get(s["times"], F.lit(i)), F.lit(0)) for i in range(3))
+        ms = F.coalesce(F.get(s["times"], F.lit(3)), F.lit(0))
+        hour = F.when(s["half"], h.between(0, 12)).otherwise((h < 24) | (h == 24) & (mi == 0) & (se == 0) & (ms == 0))
+        return s["ok"] & (F.size(s["days"]) > 0) & (year <= LAST_YEAR) & month.between(1, 12) & day.between(1, 31) & hour & (mi < 60) & (se < 60)
+
+    def folded(tokens: Column) -> Column:
+        seen = F.transform(tokens, lambda x, i: F.struct(x.alias("x"), F.coalesce(F.get(tokens, i + 1), F.lit("")).alias("y"), F.coalesce(F.get(tokens, i + 2), F.lit("")).alias("z")))
+        return F.aggregate(seen, start, step, fine)
+
+    return F.get(F.transform(F.array(whole), folded), F.lit(0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from civigrid.functions.text import blank, title_text, trimmed
 
 SPECIAL = r"(?i)^(https?|ftp|wss?):"
 OTHER = r"(?i)^([a-z][a-z0-9+.-]*):([^?#]*)"
-ADDRESS = r"(?i)^([a-z]+):/*(?:([^/?#@]*)@)?([^/?#@:]*|\[[0-9a-f:.]+\])(?::([0-9]*))?(/[^?#]*)?(?:[?#].*)?$"
+ADDRESS = r"(?i)^([a-z]+):/*(?:([^/?#]*)@)?([^/?#@:]*|\[[0-9a-f:.]+\])(?::([0-9]*))?(/[^?#]*)?(?:[?#].*)?$"
+DOTTED = r"(?:(?:0|[1-9][0-9]{0,2})\.){3}(?:0|[1-9][0-9]{0,2})"
 SERVICE = r"(?i)/(FeatureServer|MapServer)(?:/|$)"
 # The ports that schemes have unless told otherwise.
 PORTS = {"http": "80", "https": "443", "ws": "80", "wss": "443", "ftp": "21"}
@@ -22,13 +25,133 @@ def _cleaned(url: Column) -> Column:
     return F.when(u.rlike(SPECIAL), F.concat(F.translate(head, "\\", "/"), tail)).otherwise(u)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _host(raw: Column) -> Column:
-    """A host in lower case, percent-decoded, international names in their ASCII form; null for one that can't be a host."""
+    """A host in lower case, percent-decoded, international names in their ASCII form, numbers as addresses; null for one that can't be a host."""
     decoded = F.when(F.contains(raw, F.lit("%")), F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
-    # A dot for each of the three other full stops; only names that aren't ASCII are asked for.
-    foreign = decoded.rlike(r"[^\x00-\x7F]")
-    ascii = F.when(foreign, F.call_function("try_reflect", F.lit("java.net.IDN"), F.lit("toASCII"), F.lower(F.when(foreign, decoded).otherwise("x")))).otherwise(F.lower(decoded))
-    return F.when((ascii != "") & ~ascii.rlike(r"[\x00-\x20#%/:<>?@\\^|\x7F]|^\[(?![0-9a-f:.]+\]$)"), ascii).when(ascii.rlike(r"^\[[0-9a-f:.]+\]$"), ascii)
+
+    def settled(name: Column) -> Column:
+        numbered = name.rlike(r"(?:^|\.)(?:[0-9]+|0x[0-9a-f]*)\.?$")
+        fine = (name != "") & ~name.rlike(r"[\x00-\x20#%/:<>?@\[\]\\^|\x7F]")
+        return F.when(name.rlike(r"^\[[0-9a-f:.]+\]$"), ipv6(F.regexp_replace(name, r"[\[\]]", ""))).when(fine & numbered, ipv4(name)).when(fine, name)
+
+    return _let(decoded, lambda d: _let(F.when(d.rlike(r"[^\x00-\x7F]|(?i)xn--"), ascii_name(d)).otherwise(F.lower(d)), settled))
+
+
+# Letters that names keep although lower-casing and compatibility forms would change or drop them (sharp s,
+# final sigma, the two joiners), and rare letters of the Latin script that stand for them meanwhile.
+KEPT, STAND_INS = "\u00df\u03c2\u200d\u200c", "\u1e9f\ua765\ua787\ua77a"
+
+
+def ascii_name(name: Column) -> Column:
+    """An international name in its ASCII form: each label that isn't ASCII by Punycode; null for one that can't be.
+
+    Labels are put in lower case and in compatibility form by the JVM, other full stops become dots, and labels that are
+    in ASCII form already must be such forms.
+    """
+    def mapped(f: str, x: Column) -> Column:
+        return F.call_function("try_reflect", F.lit("java.net.IDN"), F.lit(f), x, F.lit(1))
+
+    low = F.translate(F.lower(name), KEPT, STAND_INS)
+    plain = F.translate(mapped("toUnicode", mapped("toASCII", F.coalesce(low, F.lit("x")))), STAND_INS, KEPT)
+    labels = F.transform(F.split(plain, r"\."), lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), F.concat(F.lit("xn--"), punycode(x))).when(~x.startswith("xn--"), x))
+    return _let(labels, lambda x: F.when(~F.exists(x, lambda y: y.isNull()), F.array_join(x, ".")))
+
+
+def punycode(label: Column) -> Column:
+    """The Punycode of a label (RFC 3492): its ASCII letters, then where the others go in, smallest first."""
+    def number(x: int) -> Column:
+        return F.lit(x).cast("long")
+
+    def digit(v: Column) -> Column:
+        return F.char(F.when(v < 26, v + 97).otherwise(v + 22))
+
+    def digits(delta: Column, bias: Column) -> Column:
+        """A number of variable length, as digits whose weights follow from the bias."""
+        def write(q: Column, k: Column) -> Column:
+            t = F.least(number(26), F.greatest(number(1), k - bias))
+            more = F.struct(F.floor((q["q"] - t) / (36 - t)).alias("q"), F.lit(False).alias("over"), F.concat(q["out"], digit(t + F.pmod(q["q"] - t, 36 - t))).alias("out"))
+            return F.when(q["over"], q).when(q["q"] >= t, more).otherwise(F.struct(q["q"].alias("q"), F.lit(True).alias("over"), F.concat(q["out"], digit(q["q"])).alias("out")))
+
+        return F.aggregate(F.sequence(number(36), number(432), number(36)), F.struct(delta.alias("q"), F.lit(False).alias("over"), F.lit("").alias("out")), write)["out"]
+
+    def adapted(spread: Column) -> Column:
+        less = F.aggregate(F.sequence(number(0), number(6)), F.struct(spread.alias("d"), number(0).alias("k")), lambda a, _: F.when(a["d"] > 455, F.struct(F.floor(a["d"] / 35).alias("d"), (a["k"] + 36).alias("k"))).otherwise(a))
+        return _let(less, lambda a: a["k"] + F.floor(36 * a["d"] / (a["d"] + 38)))
+
+    def of(places: Column) -> Column:
+        basic = F.filter(places, lambda p: p["c"] < 128)
+        start = F.struct(number(128).alias("n"), number(0).alias("at"), F.size(basic).cast("long").alias("h"), number(72).alias("bias"), F.lit("").alias("out"), F.lit(True).alias("first"))
+
+        def step(s: Column, p: Column) -> Column:
+            into = F.size(F.filter(places, lambda o: (o["i"] < p["i"]) & (o["c"] <= p["c"]))).cast("long")
+
+            def inserted(m: Column) -> Column:
+                damped = F.floor(m["delta"] / F.when(s["first"], number(700)).otherwise(number(2)))
+                bias = _let(damped, lambda d: adapted(d + F.floor(d / (s["h"] + 1))))
+                return F.struct(p["c"].alias("n"), (m["into"] + 1).alias("at"), (s["h"] + 1).alias("h"), bias.alias("bias"), F.concat(s["out"], digits(m["delta"], s["bias"])).alias("out"), F.lit(False).alias("first"))
+
+            return _let(into, lambda i: _let(F.struct(i.alias("into"), ((p["c"] - s["n"]) * (s["h"] + 1) + i - s["at"]).alias("delta")), inserted))
+
+        coded = F.aggregate(F.array_sort(F.filter(places, lambda p: p["c"] >= 128)), start, step)["out"]
+        return F.concat(F.array_join(F.transform(basic, lambda p: F.char(p["c"])), ""), F.when(F.size(basic) > 0, "-").otherwise(""), coded)
+
+    return _let(F.transform(F.sequence(F.lit(1), F.length(label)), lambda i: F.struct(F.ascii(F.substr(label, i, F.lit(1))).cast("long").alias("c"), i.cast("long").alias("i"))), of)
+
+
+def ipv4(host: Column) -> Column:
+    """A host whose last part is a number, as four numbers: parts are decimal, octal or hexadecimal, the last fills what is left; else null."""
+    values = F.transform(F.split(F.regexp_replace(host, r"\.$", ""), r"\."), lambda p: F.when(p.rlike("^0x[0-9a-f]*$"), F.coalesce(F.conv(F.concat(F.lit("0"), F.substr(p, F.lit(3))), 16, 10), F.lit("0"))).when(p.rlike("^0[0-7]+$"), F.conv(p, 8, 10)).when(p.rlike("^(?:0|[1-9][0-9]*)$"), p).try_cast("long"))
+
+    def of(v: Column) -> Column:
+        n, last = F.size(v), F.element_at(v, -1)
+        others = F.slice(v, F.lit(1), F.greatest(n - 1, F.lit(0)))
+        fine = (n <= 4) & ~F.exists(v, lambda x: x.isNull()) & ~F.exists(others, lambda x: x > 255) & (last < F.pow(F.lit(256), 5 - n))
+        total = F.aggregate(others, F.struct(last.alias("sum"), F.lit(3).alias("k")), lambda a, x: F.struct((a["sum"] + x * F.pow(F.lit(256), a["k"]).cast("long")).alias("sum"), (a["k"] - 1).alias("k")))["sum"]
+        return F.when(fine, _let(total, lambda t: F.concat_ws(".", *(F.pmod(F.shiftright(t, 8 * k), F.lit(256)).cast("string") for k in (3, 2, 1, 0)))))
+
+    return _let(values, of)
+
+
+def ipv6(inner: Column) -> Column:
+    """An address of the sixth version as it is written: small digits, no zeros in front, the first of the longest runs of zeros left out; else null."""
+    def run(k: int) -> str:
+        return rf"(?<![0-9a-f])0(?::0){{{k - 1}}}(?![0-9a-f])"
+
+    def shortened(line: Column) -> Column:
+        cut = line
+        for k in range(2, 9):
+            cut = F.when(line.rlike(run(k)), F.regexp_replace(F.regexp_replace(line, "^(.*?)" + run(k), "$1::"), ":{3,}", "::")).otherwise(cut)
+        return F.concat(F.lit("["), cut, F.lit("]"))
+
+    def half(halves: Column, k: int) -> Column:
+        return F.when(F.coalesce(F.get(halves, F.lit(k)), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(F.get(halves, F.lit(k)), ":", -1))
+
+    def of(h: Column) -> Column:
+        """From a struct of the pieces on both sides, and the number of sides."""
+        filled = 8 - F.size(h["a"]) - F.size(h["b"])
+        fine = F.when(h["n"] == 2, filled >= 1).otherwise((h["n"] == 1) & (filled == 0))
+        whole = F.concat(h["a"], F.array_repeat(F.lit("0"), F.greatest(filled, F.lit(0))), h["b"])
+        return F.when(fine & F.forall(whole, lambda p: p.rlike("^[0-9a-f]{1,4}$")), _let(F.array_join(F.transform(whole, lambda p: F.regexp_replace(p, "^0+(?=.)", "")), ":"), shortened))
+
+    def without_dots(four: Column) -> Column:
+        two = F.concat_ws(":", *(F.lower(F.hex(F.get(four, F.lit(k)) * 256 + F.get(four, F.lit(k + 1)))) for k in (0, 2)))
+        return F.when(F.size(four) < 4, inner).when(F.forall(four, lambda v: v < 256), F.concat(F.regexp_replace(inner, f"{DOTTED}$", ""), two))
+
+    four = F.transform(F.split(F.regexp_extract(inner, f":({DOTTED})$", 1), r"\."), lambda p: p.try_cast("int"))
+    halves = F.split(_let(four, without_dots), "::", -1)
+    return _let(halves, lambda h: _let(F.struct(half(h, 0).alias("a"), half(h, 1).alias("b"), F.size(h).alias("n")), of))
+
+
+def _user(raw: Column) -> Column:
+    """What stands before a host: a name and perhaps a password, in which further @ and : are percent-encoded."""
+    name, word = F.regexp_extract(raw, "^([^:]*)", 1), F.regexp_extract(raw, "^[^:]*:(.*)$", 1)
+    coded = F.replace(F.concat(name, F.when(word != "", F.concat(F.lit(":"), F.replace(word, F.lit(":"), F.lit("%3A")))).otherwise("")), F.lit("@"), F.lit("%40"))
+    return F.when(coded == "", "").otherwise(F.concat(coded, F.lit("@")))
 
 
 def _path(raw: Column) -> Column:
@@ -51,16 +174,20 @@ def _path(raw: Column) -> Column:
 def _plain(url: Column) -> Column:
     """A URL as its parser writes it, without query and fragment: scheme and host in lower case, no default port, a clean path; null if it doesn't parse.
 
-    Numbers as hosts are left as they are written. Other schemes keep what follows them.
+    Other schemes keep what follows them.
     """
-    u = _cleaned(url)
+    return _let(_cleaned(url), _written)
+
+
+def _written(u: Column) -> Column:
+    """``_plain`` of a URL that has been cleaned."""
     scheme, user, host, port, path = (F.regexp_extract(u, ADDRESS, i) for i in range(1, 6))
-    low, name = F.lower(scheme), _host(host)
+    low = F.lower(scheme)
     usual = F.create_map(*(F.lit(x) for pair in PORTS.items() for x in pair))
     number = F.regexp_replace(port, "^0+(?=[0-9])", "")
     own_port = F.when((number == "") | (number == F.try_element_at(usual, low)), "").otherwise(F.concat(F.lit(":"), number))
-    own_user = F.when(user.isin("", ":"), "").otherwise(F.concat(F.regexp_replace(user, ":$", ""), F.lit("@")))
-    special = F.when(u.rlike(ADDRESS) & (number.try_cast("int").isNull() | (number.try_cast("int") < 65536)) & (F.length(number) < 6), F.concat(low, F.lit("://"), own_user, name, own_port, _path(path)))
+    own_user = _user(user)
+    special = F.when(u.rlike(ADDRESS) & (number.try_cast("int").isNull() | (number.try_cast("int") < 65536)) & (F.length(number) < 6), F.concat(low, F.lit("://"), own_user, _host(host), own_port, _path(path)))
     other = F.when(u.rlike(OTHER), F.concat(F.lower(F.regexp_extract(u, OTHER, 1)), F.lit(":"), F.regexp_extract(u, OTHER, 2)))
     return F.when(u.rlike(SPECIAL), special).otherwise(other)
 

@@ -342,6 +342,15 @@ ADDRESSES = [
     ("http://ex.com/../..", "http://ex.com", "http://ex.com"),
     ("http://a b/X", "http://a b/x", "http a b x"),
     ("No Address", "no address", "no address"),
+    ("http://faß.de/a", "http://xn--fa-hia.de/a", "http://xn--fa-hia.de/a"),
+    ("http://☕.example/", "http://xn--53h.example", "http://xn--53h.example"),
+    ("http://127.1/X", "http://127.0.0.1/x", "http://127.0.0.1/X"),
+    ("http://0x7f.0.0.1", "http://127.0.0.1", "http://127.0.0.1"),
+    ("http://[::0:1]/", "http://[::1]", "http://[::1]"),
+    ("http://[1:0:0:2:0:0:0:3]", "http://[1:0:0:2::3]", "http://[1:0:0:2::3]"),
+    ("http://a:b@c@ex.com/", "http://a:b%40c@ex.com", "http://a:b%40c@ex.com"),
+    ("http://xn--/a", "http://xn--/a", "http xn a"),
+    ("http://256.1/a", "http://256.1/a", "http 256 1 a"),
     ("https://日本.jp/地図", "https://xn--wgv71a.jp/%e5%9c%b0%e5%9b%b3", "https://xn--wgv71a.jp/%E5%9C%B0%E5%9B%B3"),
 ]
 
@@ -356,6 +365,8 @@ def q_url_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Texts and whether a date parser takes them for a date.
 DATES = [("2026-01-02T03:04:05.678Z", True), ("2026-01-02", True), ("2026-01", True), ("2026", True), ("2026-02-30", True), ("2026-13-01", False), ("2026-01-32", False), ("2026-01-02 03:04:05", True), ("2026-01-02T25:00Z", False), ("2026-01-02T03:04:05+02:00", True), ("Jan 2, 2026", True), ("2 January 2026 10:00 GMT", True), ("Fri, 02 Jan 2026 03:04:05 GMT", True), ("1/2/2026", True), ("2026/1/2", True), ("never", False), ("", False), (None, False), ("2026-01-02T24:00:00Z", True)]
+DATES += [("2026-1-2", True), ("Jan 2026", True), ("12/25/1995 10:00 PM", True), ("12/25/1995 13:00 PM", False), ("Tue Mar 01 2022 00:00:00 GMT+0100 (CET)", True), ("2026-01-02T03:04:05z", True), ("1", True), ("13", False), ("32", True), ("12.25.1995", True), ("Dec 25, 1995 13:30 PST", True)]
+DATES += [("2026 hello", False), ("hello 2026", True), ("hello2026", False), ("2026-01-02T3:04", False), ("1 2 3 4", False), ("1/2/3 10:00 GMT-12345", False), ("Dec 25, 1995)", False), ("2026-01-02 24:01", False), ("12:30:15 1/2/2026", True)]
 
 
 @query(f"SELECT p_partkey AS id, {C.pick_sql([str(ok).lower() for _, ok in DATES], 'p_partkey')}::BOOLEAN AS is_date FROM part")
