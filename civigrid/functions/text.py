@@ -5,13 +5,13 @@ White space here is what a browser's regular expressions call white space; Java'
 
 from __future__ import annotations
 
+import functools
+import json
+import sys
 import unicodedata
-from decimal import ROUND_HALF_UP, Decimal
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 WS = r"[\s\u00A0\uFEFF\p{Z}]"
 APOSTROPHES = "['’]"
@@ -52,10 +52,61 @@ def identity_key(c: Column) -> Column:
     return blank(field_key(c))
 
 
-@F.pandas_udf(StringType())
-def unaccented(s: pd.Series) -> pd.Series:
-    """Compatibility decomposition without combining marks U+0300 to U+036F (Spark has no such function)."""
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not "\u0300" <= c <= "\u036f"))
+@functools.cache
+def decompositions() -> tuple[str, str, dict[str, str]]:
+    """Of all characters whose compatibility form without the marks U+0300 to U+036F differs from them: those with one character, their forms, and those with several.
+
+    Marks themselves come last in the first text, without a form. Syllables of Hangul are left out.
+    """
+    ones, forms, several, gone = [], [], {}, []
+    for c in map(chr, [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, sys.maxunicode + 1)]):
+        if "\u0300" <= c <= "\u036f":
+            gone.append(c)
+        elif unicodedata.decomposition(c):
+            form = "".join(x for x in unicodedata.normalize("NFKD", c) if not "\u0300" <= x <= "\u036f")
+            if len(form) == 1:
+                ones.append(c)
+                forms.append(form)
+            elif form:
+                several[c] = form
+            else:
+                gone.append(c)
+    return "".join(ones + gone), "".join(forms), several
+
+
+def unaccented(c: Column) -> Column:
+    """Compatibility decomposition without combining marks U+0300 to U+036F; only texts that aren't ASCII are looked at.
+
+    Characters with one character as their form are translated, syllables of Hangul are taken apart by arithmetic, and
+    only where one with a longer form is found are characters looked up one by one.
+    """
+    ones, forms, several = decompositions()
+    starts = sorted(map(ord, several))
+    ranges, first = [], None
+    for n in [*starts, None]:
+        if first is not None and n != last + 1:
+            ranges.append((first, last))
+            first = None
+        if first is None:
+            first = n
+        last = n
+    longer = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "\\x{AC00}-\\x{D7A3}]"
+    table = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
+
+    def taken(x: Column) -> Column:
+        n = F.ascii(x) - 0xAC00
+        parts = F.concat(*(_letter(v) for v in (F.floor(n / 588) + 0x1100, F.floor(n % 588 / 28) + 0x1161)), F.when(n % 28 > 0, _letter(n % 28 + 0x11A7)).otherwise(""))
+        return F.when(x.between("\uac00", "\ud7a3"), parts).otherwise(F.coalesce(F.try_element_at(table, x), x))
+
+    letters = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: taken(F.substr(c, i, F.lit(1))))
+    whole = F.when(c.rlike(longer), F.array_join(letters, "")).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(whole, ones, forms)).otherwise(c)
+
+
+def _letter(n: Column) -> Column:
+    """The character with a number from 0x800 to 0xFFFF."""
+    raw = F.concat(*(F.lpad(F.hex(x.cast("long")), 2, "0") for x in (F.floor(n / 4096) + 0xE0, F.floor(n % 4096 / 64) + 0x80, n % 64 + 0x80)))
+    return F.decode(F.unhex(raw), "UTF-8")
 
 
 def place_key(c: Column) -> Column:
@@ -111,14 +162,22 @@ def byte_size(c: Column) -> Column:
 
 
 def fixed(c: Column, digits: int) -> Column:
-    """A double with so many decimals, rounded by its exact binary value, ties away from zero."""
+    """A double with so many decimals (three at most), rounded by its exact binary value, ties away from zero.
 
-    @F.pandas_udf(StringType())
-    def render(s: pd.Series) -> pd.Series:
-        unit = Decimal(1).scaleb(-digits)
-        return s.map(lambda x: None if pd.isna(x) else str(Decimal(x).quantize(unit, rounding=ROUND_HALF_UP)))
-
-    return render(c.cast("double"))
+    The product with a power of ten is rounded; what that loses is worked out from the number's two halves, and says
+    on which side of a tie the exact product is. Null for what is no number.
+    """
+    x, m = F.abs(c.cast("double")), F.lit(float(10**digits))
+    big = x * 134217729.0
+    high = big - (big - x)
+    p = x * m
+    lost = (high * m - p) + (x - high) * m
+    half = p - F.floor(p)
+    up = F.when((half > 0.5) | ((half == 0.5) & (lost >= 0)), 1).otherwise(0)
+    n = F.floor(p).cast("long") + up
+    shown = F.concat(F.floor(n / 10**digits).cast("string"), F.lit("."), F.lpad((n % 10**digits).cast("string"), digits, "0"))
+    exact = F.when(x < 1e12, F.concat(F.when(c < 0, "-").otherwise(""), shown)).otherwise(c.cast(f"decimal(38,{digits})").cast("string"))
+    return F.when(F.isnan(c.cast("double")), None).otherwise(exact)
 
 
 def iso_now() -> Column:

@@ -164,39 +164,34 @@ def grouped_layers(layers: DataFrame, key: str = "place_fips", order: str = "ord
     """For each layer, in order: the group that holds its most confident equivalent member, the earliest among equals.
 
     Adds group_id (the first member's order), member_score and member_reasons. All pairs of a place are compared in an
-    equi-join; then a place's equivalent pairs are walked in order.
+    equi-join; then one fold for a place, in the JVM, takes its layers in order.
     """
     prints = layers.select(key, order, layer_print().alias("_print"))
     found = pairs(prints, key, order).select(F.col(f"a.{key}").alias(key), F.col(f"a.{order}").alias("x"), F.col(f"b.{order}").alias("y"), layer_similarity(F.col("a._print"), F.col("b._print")).alias("similarity"))
     close = with_ratios(found.where("similarity.equivalent")).select(key, "x", "y", F.col("similarity.confidence").alias("confidence"), "reasons")
-    kind, order_kind = dict(layers.dtypes)[key], dict(layers.dtypes)[order]
-    walk = f"array<struct<x:{order_kind},y:{order_kind},confidence:double,reasons:array<string>>>"
-    listed = close.groupBy(key).agg(F.collect_list(F.struct("x", "y", "confidence", "reasons")).cast(walk).alias("near"))
-    places = layers.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("orders")).join(listed, key, "left")
-
-    def assign(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            rows = []
-            for place, orders, near in zip(pdf[key], pdf["orders"], pdf["near"], strict=True):
-                by: dict = {}
-                for n in near if near is not None else ():
-                    by.setdefault(n["x"], []).append(n)
-                # Members are looked at group by group, each in the order it was filled.
-                home, filled, rank = {}, {}, {}
-                for o in orders:
-                    best = None
-                    for n in sorted(by.get(o, ()), key=lambda n: rank[n["y"]]):
-                        if best is None or n["confidence"] > best["confidence"]:
-                            best = n
-                    home[o] = o if best is None else home[best["y"]]
-                    filled[home[o]] = filled.get(home[o], 0) + 1
-                    rank[o] = (home[o], filled[home[o]])
-                    rows.append((place, o, home[o], None if best is None else best["confidence"], ["initial candidate group"] if best is None else list(best["reasons"])))
-            yield pd.DataFrame(rows, columns=[key, order, "group_id", "member_score", "member_reasons"])
-
-    placed = places.mapInPandas(assign, f"{key} {kind}, {order} {order_kind}, group_id {order_kind}, member_score double, member_reasons array<string>")
+    order_kind = dict(layers.dtypes)[order]
+    near = f"array<struct<y:{order_kind},confidence:double,reasons:array<string>>>"
+    listed = close.groupBy(key, "x").agg(F.collect_list(F.struct("y", "confidence", "reasons")).alias("near"))
+    rows = layers.select(key, F.col(order).alias("x")).join(listed, [key, "x"], "left").select(key, "x", F.coalesce("near", F.array()).cast(near).alias("near"))
+    # Members stand with their group and their place in it, which say who comes first among equally close ones.
+    state = f"array<struct<ord:{order_kind},home:{order_kind},place:int,score:double,reasons:array<string>>>"
+
+    def step(done: Column, x: Column) -> Column:
+        def ranked(n: Column) -> Column:
+            own = F.get(F.filter(done, lambda d: d["ord"] == n["y"]), F.lit(0))
+            return F.struct((-n["confidence"]).alias("far"), own["home"].alias("home"), own["place"].alias("place"), n["reasons"].alias("reasons"))
+
+        best = F.array_min(F.transform(x["near"], ranked))
+
+        def row(b: Column) -> Column:
+            home = F.coalesce(b["home"], x["x"])
+            place = F.size(F.filter(done, lambda d: d["home"] == home)) + 1
+            return F.struct(x["x"].alias("ord"), home.alias("home"), place.alias("place"), (-b["far"]).alias("score"), F.coalesce(b["reasons"], F.array(F.lit("initial candidate group"))).alias("reasons"))
+
+        return F.concat(done, F.transform(F.array(best), row)).cast(state)
+
+    folded = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("x", "near"))).alias("xs")).select(key, F.explode(F.aggregate("xs", F.array().cast(state), step)).alias("o"))
+    placed = folded.select(F.col(key), F.col("o.ord").alias(order), F.col("o.home").alias("group_id"), F.col("o.score").alias("member_score"), F.col("o.reasons").alias("member_reasons"))
     return layers.join(placed, [key, order])
 
 

@@ -43,3 +43,28 @@ DATES = {
 def test_dates(spark, wanted):
     got = spark.createDataFrame([(x,) for x in DATES[wanted]], "x string").select("x", T.is_date(F.col("x")).alias("ok")).collect()
     assert [r.x for r in got if r.ok != wanted] == []
+
+
+def test_accents_on_all_code_points(spark):
+    import unicodedata
+
+    def plain(x):
+        return "".join(c for c in unicodedata.normalize("NFKD", x) if not "̀" <= c <= "ͯ")
+
+    points = [*range(0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE0200), 0x10FFFF]
+    got = spark.createDataFrame([("a" + chr(c) + "b",) for c in points], "x string").repartition(4).select("x", T.unaccented(F.col("x")).alias("p"))
+    assert [r.x for r in got.collect() if r.p != plain(r.x)] == []
+    mixed = ["Cañon ½ ﬁ 한국 각", "é̀́", "", None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(mixed)], "i int, x string").select("i", T.unaccented(F.col("x")).alias("p"), T.place_key(F.col("x")).alias("k")).collect()
+    assert {r.i: r.p for r in rows} == {i: None if x is None else plain(x) for i, x in enumerate(mixed)}
+    assert "Python" not in got._jdf.queryExecution().toString()
+
+
+def test_rounding_is_that_of_the_binary_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rng = random.Random(1)
+    xs = [0.575, 0.125, 1.005, 0.0, -0.005, -1.255, 2.675, 0.5, 1e13, 123456.785] + [rng.random() for _ in range(2000)] + [k / 1000 + 0.005 for k in range(500)] + [i / j for i in range(30) for j in range(1, 30)]
+    for digits in (1, 2, 3):
+        got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", T.fixed(F.col("x"), digits).alias("p")).collect()
+        assert [(r.x, r.p) for r in got if r.p != str(Decimal(r.x).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))] == []
