@@ -67,7 +67,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         rows = choose(rows, args.city, args.state, args.placeFips).select("place_fips", "city", "state")
         if len(args.paths) == 2:
             answers = requests.recorded(spark.read.schema("url string, status int, body string").json(args.recorded)) if args.recorded else requests.live()
-            tables = crawl.crawled(rows, answers, args.folder or None, args.endpoint or crawl.ENDPOINT, again=args.again)
+            tables = crawl.crawled(rows, answers, args.folder or None, endpoint=args.endpoint or crawl.ENDPOINT, again=args.again)
         else:
             tables = discovered(rows, recorded.hits(spark.read.schema("query string, body string").json(args.paths[1])), spark.read.schema("url string, body string").json(args.paths[2]))
         print("\n".join(report(spark, tables, args.verbose)))

@@ -92,13 +92,11 @@ def best_addresses(metadata: DataFrame) -> DataFrame:
     return best_layers(listed.select("url", "pos", "l.name", F.col("l.url").alias("best")), ["url"]).select(urls.request_key(F.col("best")).alias("key"))
 
 
-def crawled(places: DataFrame, transport: Transport, folder: str | None = None, endpoint: str = ENDPOINT, limit: int | None = None, batch: int = BATCH, again: bool = False) -> dict[str, DataFrame]:
-    """A discovery run: the tables of ``discovered``, with ``requests`` (all answers) and ``uninspected`` (place_fips, url, cause).
+def gathered(places: DataFrame, transport: Transport, folder: str | None = None, endpoint: str = ENDPOINT, limit: int | None = None, batch: int = BATCH, again: bool = False) -> dict[str, DataFrame]:
+    """What a run over ``places`` (place_fips, city, state) learns by asking: hits, metadata, failures of places, and all requests with their answers.
 
-    ``places`` has place_fips, city and state. A search or an address that fails leaves its hits or its layer out. A place
-    fails, with the cause, if an address among its hits is no text; other places don't notice. A candidate whose
-    metadata can't be read as text is left uninspected. With ``folder`` the answers stay, and a run that broke off goes on
-    with them; without it they are in the shared folder until the driver's process ends.
+    With ``folder`` the answers stay, and a run that broke off goes on with them; without it they are in the shared folder
+    until the driver's process ends.
     """
     spark = places.sparkSession
     frontier = Frontier(spark, folder or new_path(spark, "crawl"), transport, batch, again)
@@ -118,6 +116,15 @@ def crawled(places: DataFrame, transport: Transport, folder: str | None = None,
 
     second = staged(best_addresses(bodies(known)).distinct().withColumn("url", urls.metadata_url(F.col("key"))))
     frontier.ask(second)
-    metadata = staged(bodies(known.union(second).distinct()))
-    tables = discovered(places, hits, metadata, failures, text_faults(metadata))
-    return tables | {"requests": frontier.answers()}
+    return {"hits": hits, "failures": failures, "metadata": bodies(known.union(second).distinct()), "requests": frontier.answers()}
+
+
+def crawled(places: DataFrame, transport: Transport, folder: str | None = None, **options) -> dict[str, DataFrame]:
+    """A discovery run: the tables of ``discovered`` and all ``requests``; for the options see ``gathered``.
+
+    A search or an address that fails leaves its hits or its layer out. A place fails, with the cause, if an address among
+    its hits is no text; other places don't notice. A candidate whose metadata can't be read as text is left uninspected.
+    """
+    found = gathered(places, transport, folder, **options)
+    metadata = staged(found["metadata"])
+    return discovered(places, found["hits"], metadata, found["failures"], text_faults(metadata)) | {"requests": found["requests"]}

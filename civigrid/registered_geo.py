@@ -321,7 +321,11 @@ r AS (SELECT 'https://www.arcgis.com/sharing/rest/search?q=%22City' || k::VARCHA
 UNION SELECT CASE WHEN v = 3 THEN 'https://[bad/FeatureServer/0?f=json' ELSE 'https://gis.tucsonaz.gov/rest/services/P' || k::VARCHAR || CASE v WHEN 0 THEN '/FeatureServer/0?f=json' ELSE '/FeatureServer?f=json' END END, CASE WHEN v = 3 THEN 'no recorded answer' END FROM c)
 SELECT url, error FROM r""")
 def q_discovery_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return crawl(spark, sf_dir)["requests"].select("url", "error")
+    from civigrid.plans.crawl import gathered
+    from civigrid.sources.requests import recorded
+
+    places, answers = recorded_answers(spark, sf_dir)
+    return gathered(places, recorded(answers))["requests"].select("url", "error")
 
 
 # Addresses with what a URL parser makes of them, as keys of a look-up and of a layer.

@@ -94,15 +94,18 @@ def test_a_run_that_broke_off_goes_on(spark, tmp_path, stop):
 
     some, folder = places(spark, "Good", "Odd"), str(tmp_path / "run")
     with pytest.raises(ConnectionError):
-        crawl.crawled(some, counted(stop), folder, batch=7)
-    run = crawl.crawled(some, counted(-1), folder, batch=7)
+        crawl.gathered(some, counted(stop), folder, batch=7)
+    run = crawl.gathered(some, counted(-1), folder, batch=7)
     urls = [u for batch in asked for u in batch]
     assert len(urls) == len(set(urls)) == 14 and max(map(len, asked)) < 12  # each once, in batches
-    assert {r.city: (r.n_chosen, r.error) for r in run["results"].collect()} == {"Good": (1, None), "Odd": (0, "url.trim is not a function")}
+    assert [(r.place_fips, r.error) for r in run["failures"].collect()] == [("1", "url.trim is not a function")]
+    assert sorted(r.url for r in run["metadata"].where("body IS NOT NULL").collect()) == [f"{BASE}/Good/MapServer", f"{BASE}/Good/MapServer/4"] and run["hits"].count() == 5
     n = len(asked)
-    crawl.crawled(some, counted(-1), folder)
+    crawl.gathered(some, counted(-1), folder)
     assert len(asked) == n  # all is answered
-    crawl.crawled(some, counted(-1), folder, again=True)
+    if stop:
+        return
+    crawl.gathered(some, counted(-1), folder, again=True)
     assert [u for batch in asked[n:] for u in batch] == sorted(search(c, t) for c in ("Good", "Odd") for t in ("council districts", "city council", "ward boundaries", "council district boundaries", "municipal districts"))
 
 
