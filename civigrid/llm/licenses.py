@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +87,12 @@ def needed(n: int, share: float) -> int:
     return max(1, math.ceil(n * share - 1e-9))
 
 
+def local(spark: SparkSession, rows: list[tuple], **kinds: pa.DataType) -> DataFrame:
+    """A small table from the driver, as a local relation: unlike a list's, no Python worker is started for it."""
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return spark.createDataFrame(pa.table({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), columns, strict=True)}))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, share: float = SHARE) -> DataFrame:
     """For each document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -144,9 +151,10 @@ def candidates(texts: DataFrame, sets: dict[str, list[str]], share: float) -> Da
         whole.append((name, ranked))
         index += [(order[w], name, place, len(ranked), need) for place, w in enumerate(ranked[: len(ranked) - need + 1])]
     # These tables have the templates' words, whatever the corpus.
-    ranks = F.broadcast(spark.createDataFrame(list(order.items()), "word string, rank int"))
-    prefixes = F.broadcast(spark.createDataFrame(index, "rank int, name string, place int, size int, need int"))
-    full = F.broadcast(spark.createDataFrame(whole, "name string, template array<string>"))
+    text, number = pa.string(), pa.int32()
+    ranks = F.broadcast(local(spark, list(order.items()), word=text, rank=number))
+    prefixes = F.broadcast(local(spark, index, rank=number, name=text, place=number, size=number, need=number))
+    full = F.broadcast(local(spark, whole, name=text, template=pa.list_(text)))
     least = min((needed(len(s), share) for s in sets.values()), default=1)
     some = texts.where((F.size("own") >= least) & F.arrays_overlap("own", F.array(*map(F.lit, sorted(first))).cast("array<string>")))
     ranked = some.select("key", "own", F.explode("own").alias("word")).join(ranks, "word").groupBy("key").agg(F.first("own").alias("own"), F.sort_array(F.collect_list("rank")).alias("ranks"))
@@ -160,7 +168,8 @@ def candidates(texts: DataFrame, sets: dict[str, list[str]], share: float) -> Da
 def blocks(spark: SparkSession, docs: DataFrame, likely: DataFrame, texts: dict[str, list[str]], share: float) -> DataFrame:
     """For texts with a block that holds a template: key, found (the templates' names) and contained (the largest share)."""
     parts = [(x, name, len(w), len(set(w)), needed(len(set(w)), share)) for name, w in texts.items() for x in sorted(set(w))]
-    table = F.broadcast(spark.createDataFrame(parts, "word string, name string, length int, size int, need int"))  # as many rows as the templates have words
+    text, number = pa.string(), pa.int32()
+    table = F.broadcast(local(spark, parts, word=text, name=text, length=number, size=number, need=number))  # as many rows as the templates have words
     likely = small(written(likely, "licenses-likely"))
     spread = docs.withColumn("key", digest(F.col("text"))).join(likely, "key").select("key", "names", F.posexplode(words(F.col("text"))).alias("at", "word"))
     hits = spread.join(table, "word").where(F.array_contains("names", F.col("name")))
