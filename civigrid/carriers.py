@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civigrid.operators.staging import dealt
+
 CITIES = ["Tucson", "Phoenix city", "Cañon City", "O'Fallon", "Winston-Salem", "St. Paul", "Carson City city", "  Mesa town ", "Springfield Village", "Boise"]
 STATES = ["AZ", "Arizona", " co ", "New York", "CA", "Zz"]
 LSADS = ["25", "43", "57", "CITY", "53", " town "]
@@ -81,11 +83,11 @@ def fields_column(key: Column) -> Column:
 
 
 def layer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inspected layers, one for each part, 20 for a place; without detected fields."""
+    """Inspected layers, one for each part, 20 for a place; without detected fields. Places are dealt over tasks while a row is still narrow."""
     k = F.col("p_partkey")
     place, nth = F.floor(k / 20), F.pmod(k, F.lit(20))
-    return table(spark, sf_dir, "part").select(
-        F.lpad(place.cast("string"), 7, "0").alias("place_fips"),
+    return dealt(table(spark, sf_dir, "part").select("p_partkey", F.lpad(place.cast("string"), 7, "0").alias("place_fips")), "place_fips").select(
+        "place_fips",
         k.alias("ord"),
         F.concat(F.lit("City "), place.cast("string")).alias("city"),
         F.lit("AZ").alias("state"),

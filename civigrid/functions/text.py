@@ -9,6 +9,7 @@ import functools
 import json
 import sys
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +24,12 @@ def trimmed(c: Column) -> Column:
 
 
 def collapsed(c: Column) -> Column:
-    return trimmed(F.regexp_replace(c, f"{WS}+", " "))
+    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def blank(c: Column) -> Column:
@@ -33,13 +39,12 @@ def blank(c: Column) -> Column:
 
 def words_text(c: Column) -> Column:
     """Lower case, underscores and hyphens as spaces, white space collapsed; null gives ''."""
-    return collapsed(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[_-]+", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), f"[_{WS[1:-1]}-]+", " "))
 
 
 def title_text(c: Column) -> Column:
     """As ``words_text``, with all but letters, numbers and white space as spaces."""
-    spaced = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[_-]+", " ")
-    return collapsed(F.regexp_replace(spaced, r"[^\p{L}\p{N}\s\u00A0\uFEFF\p{Z}]", " "))
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
 def field_key(c: Column) -> Column:

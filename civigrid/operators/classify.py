@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civigrid.functions.text import blank, words_text
-from civigrid.operators.rules import holds, labels, matches
+from civigrid.operators.rules import found, holds, labels, matches
 
 # Labels and their patterns; each stands between word borders. "properties?" and "boundaries?" match the
 # plural with or without its last letter only, as they must.
@@ -66,20 +66,21 @@ def joined(parts: list[Column]) -> Column:
 
 
 def any_of(text: Column, patterns: dict[str, str]) -> Column:
-    return matches(text, "(?:" + "|".join(patterns.values()) + ")")
+    return found(text, list(patterns.values()))
 
 
-def district_type(identity: Column) -> Column:
-    """The first family whose pattern the text has, by the families' rank; else null."""
+def district_type(families: Column) -> Column:
+    """The first family that a text has a pattern of (an array of booleans), by the families' rank; else null."""
     out = F.lit(None).cast("string")
-    for name, patterns in reversed(FAMILIES):
-        out = F.when(any_of(identity, patterns), F.lit(name)).otherwise(out)
+    for i, (name, _) in reversed(list(enumerate(FAMILIES))):
+        out = F.when(F.get(families, F.lit(i)), F.lit(name)).otherwise(out)
     return out
 
 
 def political_field(names: Column) -> Column:
     """Whether any field name has a district's word by itself, underscores counting as spaces."""
-    return F.exists(F.coalesce(names, F.array().cast("array<string>")), lambda f: matches(words_text(f), "(?:ward|district|council)") | holds(words_text(f).rlike(r"(?i)(?<![A-Za-z0-9_])alderman")))
+    texts = F.transform(F.coalesce(names, F.array().cast("array<string>")), words_text)
+    return F.exists(texts, lambda t: matches(t, "(?:ward|district|council)") | holds(t.rlike(r"(?i)(?<![A-Za-z0-9_])alderman")))
 
 
 def classified(layers: DataFrame, official_hosts: list[str] | None = None) -> DataFrame:
@@ -97,7 +98,8 @@ def classified(layers: DataFrame, official_hosts: list[str] | None = None) -> Da
     official = F.col("source") == "municipal"
     for host in OFFICIAL_HOSTS if official_hosts is None else official_hosts:
         official = holds(official) | holds(F.contains(url, F.lit(host)))
-    found = with_text.withColumns(
+    with_text = with_text.withColumn("_families", F.array(*(any_of(F.col("_identity"), patterns) for _, patterns in FAMILIES)))
+    matched = with_text.withColumns(
         {
             "match_thematic": labels(F.col("_all"), THEMATIC),
             "match_census": labels(F.col("_all"), CENSUS),
@@ -107,17 +109,17 @@ def classified(layers: DataFrame, official_hosts: list[str] | None = None) -> Da
             "official_source": holds(official),
             "is_polygon": holds(F.col("geometry_type").isin("esriGeometryPolygon", "polygon")),
             "_political_field": political_field(F.col("district_fields")),
-            "district_type": district_type(F.col("_identity")),
+            "district_type": district_type(F.col("_families")),
         }
     )
 
     def some(c: str) -> Column:
         return F.size(c) > 0
 
-    points = sum((F.when(any_of(F.col("_identity"), patterns), 5).otherwise(0) for _, patterns in FAMILIES), F.lit(0))
+    points = sum((F.when(F.get("_families", F.lit(i)), 5).otherwise(0) for i in range(len(FAMILIES))), F.lit(0))
     for condition, weight in ((F.col("is_polygon"), 2), (F.col("_political_field"), 1), (holds(some("name_fields")), 1), (F.col("official_source"), 1), (some("match_census"), -5), (some("match_parcel"), -5), (some("match_housing"), -2), (some("match_thematic"), -2)):
         points = points + F.when(condition, weight).otherwise(0)
-    scored = found.withColumn("political_score", points)
+    scored = matched.withColumn("political_score", points)
     political = F.col("is_polygon") & (F.col("political_score") >= 6) & (F.col("_political_field") | F.col("district_type").isNotNull())
     kept = scored.withColumn("is_political", political)
     return kept.withColumns(
@@ -133,7 +135,7 @@ def classified(layers: DataFrame, official_hosts: list[str] | None = None) -> Da
             "rejected": ~F.col("is_political") | some("match_census") | some("match_parcel"),
             "needs_review": F.col("is_political") & ((F.col("political_score") < 8) | ~F.col("official_source") | blank(F.col("district_field")).isNull() | F.col("district_type").isNull()),
         }
-    ).drop("_all", "_identity", "_political_field")
+    ).drop("_all", "_identity", "_families", "_political_field")
 
 
 def _normal(fields: str, part: str) -> Column:

@@ -22,14 +22,14 @@ LAYER_BOUNDARY = ["boundary", "boundaries"]
 LAYER_OTHER = ["transit", "bus", "rail", "park", "golf", "tree", "groundwater", "housing", "crime", "police", "airport", "road", "parcel"]
 
 
-def district_field_score(name: Column, alias: Column) -> Column:
-    n, a = words_text(name), words_text(alias)
+def district_field_score(n: Column, a: Column) -> Column:
+    """From the words of a field's name and alias."""
     rules: list[Rule] = [(has_any(n, WARD_TERMS), 60, ""), (has_any(n, COUNCIL_FIELDS), 70, ""), (has_any(n, DISTRICT_TERMS), 50, ""), (has_any(a, DISTRICT_ALIASES), 30, "")]
     return score(rules)
 
 
-def name_field_score(name: Column, alias: Column) -> Column:
-    n, a = words_text(name), words_text(alias)
+def name_field_score(n: Column, a: Column) -> Column:
+    """From the words of a field's name and alias."""
     rules: list[Rule] = [(has_any(n, NAME_FIELDS), 70, ""), (has_any(a, NAME_ALIASES), 60, ""), (F.endswith(n, F.lit("name")), 30, ""), ((a == "name") | F.endswith(a, F.lit(" name")), 20, "")]
     return score(rules)
 
@@ -46,14 +46,16 @@ def clean_fields(fields: Column) -> Column:
 
 
 def ranked_fields(fields: Column, by) -> Column:
-    """Names of the fields with a positive score, best first, as they come among equals."""
-    scored = F.transform(fields, lambda f, i: F.struct((-by(f["name"], f["alias"])).alias("s"), i.alias("i"), f["name"].alias("name")))
+    """Names of the fields (with n and a, the words of name and alias) with a positive score, best first, as they come among equals."""
+    scored = F.transform(fields, lambda f, i: F.struct((-by(f["n"], f["a"])).alias("s"), i.alias("i"), f["name"].alias("name")))
     return F.transform(F.array_sort(F.filter(scored, lambda x: x["s"] < 0)), lambda x: x["name"])
 
 
 def detected(layers: DataFrame) -> DataFrame:
     """``layers`` with district_fields, name_fields and the first of each, found in ``fields``."""
-    found = layers.withColumn("fields", clean_fields(F.col("fields"))).withColumns({"district_fields": ranked_fields(F.col("fields"), district_field_score), "name_fields": ranked_fields(F.col("fields"), name_field_score)})
+    worded = F.transform("fields", lambda f: F.struct(f["name"].alias("name"), words_text(f["name"]).alias("n"), words_text(f["alias"]).alias("a")))
+    clean = layers.withColumn("fields", clean_fields(F.col("fields"))).withColumn("_worded", worded)
+    found = clean.withColumns({"district_fields": ranked_fields(F.col("_worded"), district_field_score), "name_fields": ranked_fields(F.col("_worded"), name_field_score)}).drop("_worded")
     return found.withColumns({"district_field": F.get("district_fields", F.lit(0)), "name_field": F.get("name_fields", F.lit(0))})
 
 

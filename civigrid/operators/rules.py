@@ -5,6 +5,8 @@ Each table becomes one projection of its row; nothing is shuffled.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,9 +56,21 @@ def matches(text: Column, inner: str) -> Column:
     return holds(text.rlike(word_pattern(inner)))
 
 
+def stem(inner: str) -> str:
+    """What every text with a pattern of words has in it; all but the letters that may be missing at its end."""
+    if not re.fullmatch(r"[a-z ]+\??", inner):
+        raise ValueError(f"{inner} isn't words in lower case with perhaps one optional letter at the end")
+    return inner[:-2] if inner.endswith("?") else inner
+
+
+def found(text: Column, patterns: list[str]) -> Column:
+    """Whether a text in lower case has any of the patterns; the expression is only tried on texts with a pattern's stem."""
+    return holds(has_any(text, [stem(p) for p in patterns]) & text.rlike(word_pattern("(?:" + "|".join(patterns) + ")")))
+
+
 def labels(text: Column, patterns: dict[str, str]) -> Column:
-    """The labels of the patterns that a text has, in the table's order."""
-    return present([F.when(matches(text, p), F.lit(label)) for label, p in patterns.items()])
+    """The labels of the patterns that a text in lower case has, in the table's order."""
+    return present([F.when(found(text, [p]), F.lit(label)) for label, p in patterns.items()])
 
 
 def jaccard(a: Column, b: Column) -> Column:

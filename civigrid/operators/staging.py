@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that a task of a costly projection gets, and the most tasks that rows are dealt over.
+ROWS_OF_A_TASK, MOST_TASKS = 4_000, 4_000
+
 _folders: dict[str, str] = {}
 
 
@@ -38,6 +41,16 @@ def _remove(spark: SparkSession, path: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` (cheap to count, such as a table's columns) dealt over tasks by its number of rows, by ``keys`` if there are any.
+
+    Narrow tables are read in few tasks however many rows they have; what costs much for each row would then be those
+    tasks' work. A task gets about ``ROWS_OF_A_TASK`` rows; from ``MOST_TASKS`` on they get more.
+    """
+    n = min(MOST_TASKS, max(1, -(-df.count() // ROWS_OF_A_TASK)))
+    return df.repartition(n, *keys)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept by ``checkpoint()`` in the folder that the session names.
 

@@ -313,3 +313,25 @@ def test_against_sql(spark, name):
     got, wanted = registered.queries()[name](spark, SF).toPandas(), con.sql(registered.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(wanted.columns)
     assert comparable(got) == comparable(wanted)
+
+
+def test_rows_are_dealt_by_their_number(spark, monkeypatch):
+    from civigrid.operators import staging
+
+    monkeypatch.setattr(staging, "ROWS_OF_A_TASK", 50)
+    rows = spark.range(0, 201, 1, 1)
+    assert staging.dealt(rows).rdd.getNumPartitions() == 5
+    assert sorted(r[0] for r in staging.dealt(rows, "id").collect()) == list(range(201))
+    assert staging.dealt(spark.range(0)).count() == 0
+    found = registered.fresh_layers(spark, SF)
+    assert found.rdd.getNumPartitions() == -(-found.count() // 50)
+
+
+def test_texts_are_worked_out_once(spark):
+    found = registered.QUERIES["q_score_canonical"](spark, SF)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") < 20
+
+
+@pytest.mark.parametrize(("f", "given", "wanted"), [(T.words_text, "\u00a0_A-\u2003b\ufeff-", "a b"), (T.title_text, "_\u00c9t\u00e9\u2003(2)\u00b2--", "\u00e9t\u00e9 2 \u00b2"), (T.collapsed, "\u2003 a\t\u00a0b ", "a b")])
+def test_white_space_of_any_kind(spark, f, given, wanted):
+    assert one(spark, given, f) == wanted
