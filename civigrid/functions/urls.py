@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civigrid.functions.text import blank, title_text, trimmed
+from civigrid.functions.text import blank, let, title_text, trimmed
 
 SPECIAL = r"(?i)^(https?|ftp|wss?):"
 OTHER = r"(?i)^([a-z][a-z0-9+.-]*):([^?#]*)"
@@ -25,11 +23,6 @@ def _cleaned(url: Column) -> Column:
     return F.when(u.rlike(SPECIAL), F.concat(F.translate(head, "\\", "/"), tail)).otherwise(u)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, however often it is named."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _host(raw: Column) -> Column:
     """A host in lower case, percent-decoded, international names in their ASCII form, numbers as addresses; null for one that can't be a host."""
     decoded = F.when(F.contains(raw, F.lit("%")), F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
@@ -39,7 +32,7 @@ def _host(raw: Column) -> Column:
         fine = (name != "") & ~name.rlike(r"[\x00-\x20#%/:<>?@\[\]\\^|\x7F]")
         return F.when(name.rlike(r"^\[[0-9a-f:.]+\]$"), ipv6(F.regexp_replace(name, r"[\[\]]", ""))).when(fine & numbered, ipv4(name)).when(fine, name)
 
-    return _let(decoded, lambda d: _let(F.when(d.rlike(r"[^\x00-\x7F]|(?i)xn--"), ascii_name(d)).otherwise(F.lower(d)), settled))
+    return let(decoded, lambda d: let(F.when(d.rlike(r"[^\x00-\x7F]|(?i)xn--"), ascii_name(d)).otherwise(F.lower(d)), settled))
 
 
 # Letters that names keep although lower-casing and compatibility forms would change or drop them (sharp s,
@@ -59,7 +52,7 @@ def ascii_name(name: Column) -> Column:
     low = F.translate(F.lower(name), KEPT, STAND_INS)
     plain = F.translate(mapped("toUnicode", mapped("toASCII", F.coalesce(low, F.lit("x")))), STAND_INS, KEPT)
     labels = F.transform(F.split(plain, r"\."), lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), F.concat(F.lit("xn--"), punycode(x))).when(~x.startswith("xn--"), x))
-    return _let(labels, lambda x: F.when(~F.exists(x, lambda y: y.isNull()), F.array_join(x, ".")))
+    return let(labels, lambda x: F.when(~F.exists(x, lambda y: y.isNull()), F.array_join(x, ".")))
 
 
 def punycode(label: Column) -> Column:
@@ -81,7 +74,7 @@ def punycode(label: Column) -> Column:
 
     def adapted(spread: Column) -> Column:
         less = F.aggregate(F.sequence(number(0), number(6)), F.struct(spread.alias("d"), number(0).alias("k")), lambda a, _: F.when(a["d"] > 455, F.struct(F.floor(a["d"] / 35).alias("d"), (a["k"] + 36).alias("k"))).otherwise(a))
-        return _let(less, lambda a: a["k"] + F.floor(36 * a["d"] / (a["d"] + 38)))
+        return let(less, lambda a: a["k"] + F.floor(36 * a["d"] / (a["d"] + 38)))
 
     def of(places: Column) -> Column:
         basic = F.filter(places, lambda p: p["c"] < 128)
@@ -92,15 +85,15 @@ def punycode(label: Column) -> Column:
 
             def inserted(m: Column) -> Column:
                 damped = F.floor(m["delta"] / F.when(s["first"], number(700)).otherwise(number(2)))
-                bias = _let(damped, lambda d: adapted(d + F.floor(d / (s["h"] + 1))))
+                bias = let(damped, lambda d: adapted(d + F.floor(d / (s["h"] + 1))))
                 return F.struct(p["c"].alias("n"), (m["into"] + 1).alias("at"), (s["h"] + 1).alias("h"), bias.alias("bias"), F.concat(s["out"], digits(m["delta"], s["bias"])).alias("out"), F.lit(False).alias("first"))
 
-            return _let(into, lambda i: _let(F.struct(i.alias("into"), ((p["c"] - s["n"]) * (s["h"] + 1) + i - s["at"]).alias("delta")), inserted))
+            return let(into, lambda i: let(F.struct(i.alias("into"), ((p["c"] - s["n"]) * (s["h"] + 1) + i - s["at"]).alias("delta")), inserted))
 
         coded = F.aggregate(F.array_sort(F.filter(places, lambda p: p["c"] >= 128)), start, step)["out"]
         return F.concat(F.array_join(F.transform(basic, lambda p: F.char(p["c"])), ""), F.when(F.size(basic) > 0, "-").otherwise(""), coded)
 
-    return _let(F.transform(F.sequence(F.lit(1), F.length(label)), lambda i: F.struct(F.ascii(F.substr(label, i, F.lit(1))).cast("long").alias("c"), i.cast("long").alias("i"))), of)
+    return let(F.transform(F.sequence(F.lit(1), F.length(label)), lambda i: F.struct(F.ascii(F.substr(label, i, F.lit(1))).cast("long").alias("c"), i.cast("long").alias("i"))), of)
 
 
 def ipv4(host: Column) -> Column:
@@ -112,9 +105,9 @@ def ipv4(host: Column) -> Column:
         others = F.slice(v, F.lit(1), F.greatest(n - 1, F.lit(0)))
         fine = (n <= 4) & ~F.exists(v, lambda x: x.isNull()) & ~F.exists(others, lambda x: x > 255) & (last < F.pow(F.lit(256), 5 - n))
         total = F.aggregate(others, F.struct(last.alias("sum"), F.lit(3).alias("k")), lambda a, x: F.struct((a["sum"] + x * F.pow(F.lit(256), a["k"]).cast("long")).alias("sum"), (a["k"] - 1).alias("k")))["sum"]
-        return F.when(fine, _let(total, lambda t: F.concat_ws(".", *(F.pmod(F.shiftright(t, 8 * k), F.lit(256)).cast("string") for k in (3, 2, 1, 0)))))
+        return F.when(fine, let(total, lambda t: F.concat_ws(".", *(F.pmod(F.shiftright(t, 8 * k), F.lit(256)).cast("string") for k in (3, 2, 1, 0)))))
 
-    return _let(values, of)
+    return let(values, of)
 
 
 def ipv6(inner: Column) -> Column:
@@ -136,15 +129,15 @@ def ipv6(inner: Column) -> Column:
         filled = 8 - F.size(h["a"]) - F.size(h["b"])
         fine = F.when(h["n"] == 2, filled >= 1).otherwise((h["n"] == 1) & (filled == 0))
         whole = F.concat(h["a"], F.array_repeat(F.lit("0"), F.greatest(filled, F.lit(0))), h["b"])
-        return F.when(fine & F.forall(whole, lambda p: p.rlike("^[0-9a-f]{1,4}$")), _let(F.array_join(F.transform(whole, lambda p: F.regexp_replace(p, "^0+(?=.)", "")), ":"), shortened))
+        return F.when(fine & F.forall(whole, lambda p: p.rlike("^[0-9a-f]{1,4}$")), let(F.array_join(F.transform(whole, lambda p: F.regexp_replace(p, "^0+(?=.)", "")), ":"), shortened))
 
     def without_dots(four: Column) -> Column:
         two = F.concat_ws(":", *(F.lower(F.hex(F.get(four, F.lit(k)) * 256 + F.get(four, F.lit(k + 1)))) for k in (0, 2)))
         return F.when(F.size(four) < 4, inner).when(F.forall(four, lambda v: v < 256), F.concat(F.regexp_replace(inner, f"{DOTTED}$", ""), two))
 
     four = F.transform(F.split(F.regexp_extract(inner, f":({DOTTED})$", 1), r"\."), lambda p: p.try_cast("int"))
-    halves = F.split(_let(four, without_dots), "::", -1)
-    return _let(halves, lambda h: _let(F.struct(half(h, 0).alias("a"), half(h, 1).alias("b"), F.size(h).alias("n")), of))
+    halves = F.split(let(four, without_dots), "::", -1)
+    return let(halves, lambda h: let(F.struct(half(h, 0).alias("a"), half(h, 1).alias("b"), F.size(h).alias("n")), of))
 
 
 def _user(raw: Column) -> Column:
@@ -157,18 +150,24 @@ def _user(raw: Column) -> Column:
 def _path(raw: Column) -> Column:
     """A path without dot segments, with what may not stand in it percent-encoded."""
     unsafe = r"[\x00-\x20\"<>^`{}\x7F]|[^\x00-\x7F]"
-    letters = F.transform(F.split(raw, ""), lambda c: F.when(c.rlike(unsafe), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c))
-    coded = F.when(raw.rlike(unsafe), F.array_join(letters, "")).otherwise(raw)
-    parts = F.split(F.regexp_replace(coded, "^/", ""), "/")
     one, two = r"(?i)^(?:\.|%2e)$", r"(?i)^(?:\.|%2e){2}$"
 
     def step(done: Column, part: Column) -> Column:
         return F.when(part.rlike(two), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(part.rlike(one), done).otherwise(F.concat(done, F.array(part)))
 
-    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
-    last = F.element_at(parts, -1)
-    plain = F.concat(F.lit("/"), F.array_join(F.when(last.rlike(one) | last.rlike(two), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
-    return F.when(coded.rlike(r"(?i)(?:^|/)(?:\.|%2e){1,2}(?:/|$)"), plain).otherwise(F.when(coded == "", "/").otherwise(coded))
+    def coded(raw: Column) -> Column:
+        letters = F.transform(F.split(raw, ""), lambda c: F.when(c.rlike(unsafe), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")).otherwise(c))
+        return F.when(raw.rlike(unsafe), F.array_join(letters, "")).otherwise(raw)
+
+    def settled(parts: Column) -> Column:
+        kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+        last = F.element_at(parts, -1)
+        return F.concat(F.lit("/"), F.array_join(F.when(last.rlike(one) | last.rlike(two), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
+
+    def plain(c: Column) -> Column:
+        return F.when(c.rlike(r"(?i)(?:^|/)(?:\.|%2e){1,2}(?:/|$)"), let(F.split(F.regexp_replace(c, "^/", ""), "/"), settled)).otherwise(F.when(c == "", "/").otherwise(c))
+
+    return let(let(raw, coded), plain)
 
 
 def _plain(url: Column) -> Column:
@@ -176,18 +175,21 @@ def _plain(url: Column) -> Column:
 
     Other schemes keep what follows them.
     """
-    return _let(_cleaned(url), _written)
+    return let(_cleaned(url), _written)
 
 
 def _written(u: Column) -> Column:
     """``_plain`` of a URL that has been cleaned."""
-    scheme, user, host, port, path = (F.regexp_extract(u, ADDRESS, i) for i in range(1, 6))
-    low = F.lower(scheme)
     usual = F.create_map(*(F.lit(x) for pair in PORTS.items() for x in pair))
-    number = F.regexp_replace(port, "^0+(?=[0-9])", "")
-    own_port = F.when((number == "") | (number == F.try_element_at(usual, low)), "").otherwise(F.concat(F.lit(":"), number))
-    own_user = _user(user)
-    special = F.when(u.rlike(ADDRESS) & (number.try_cast("int").isNull() | (number.try_cast("int") < 65536)) & (F.length(number) < 6), F.concat(low, F.lit("://"), own_user, _host(host), own_port, _path(path)))
+    scheme, user, host, port, path = (F.regexp_extract(u, ADDRESS, i) for i in range(1, 6))
+
+    def joined(p: Column) -> Column:
+        own_port = F.when((p["number"] == "") | (p["number"] == F.try_element_at(usual, p["low"])), "").otherwise(F.concat(F.lit(":"), p["number"]))
+        # Ports are compared as digits: a cast costs an exception for each text without a number.
+        fine = (F.length(p["number"]) < 6) & (F.lpad(p["number"], 5, "0") < "65536")
+        return F.when(fine, F.concat(p["low"], F.lit("://"), F.when(p["user"] == "", "").otherwise(_user(p["user"])), _host(p["host"]), own_port, _path(p["path"])))
+
+    special = F.when(u.rlike(ADDRESS), let(F.struct(F.lower(scheme).alias("low"), user.alias("user"), host.alias("host"), F.regexp_replace(port, "^0+(?=[0-9])", "").alias("number"), path.alias("path")), joined))
     other = F.when(u.rlike(OTHER), F.concat(F.lower(F.regexp_extract(u, OTHER, 1)), F.lit(":"), F.regexp_extract(u, OTHER, 2)))
     return F.when(u.rlike(SPECIAL), special).otherwise(other)
 

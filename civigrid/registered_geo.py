@@ -13,7 +13,7 @@ from civigrid.functions import text as T
 from civigrid.operators import geojson as J
 from civigrid.operators import registry as R
 from civigrid.operators import validation as V
-from civigrid.operators.staging import new_path
+from civigrid.operators.staging import dealt, new_path
 from civigrid.registered import CHOSEN, PLACE_TYPE_SQL, REGISTRY_NAME_SQL, bars, query, state_sql
 from civigrid.registered import QUERIES as _OTHERS
 from civigrid.registered import SQL as _OTHER_SQL
@@ -363,7 +363,7 @@ ADDRESSES = [
 def q_url_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civigrid.functions import urls as U
 
-    rows = C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), C.pick([x[0] for x in ADDRESSES], F.col("p_partkey")).alias("url"))
+    rows = dealt(C.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), C.pick([x[0] for x in ADDRESSES], F.col("p_partkey")).alias("url")))
     return rows.select("id", U.lookup_key(F.col("url")).alias("lookup_key"), U.layer_key(F.col("url")).alias("layer_key"))
 
 

@@ -68,3 +68,19 @@ def test_rounding_is_that_of_the_binary_value(spark):
     for digits in (1, 2, 3):
         got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", T.fixed(F.col("x"), digits).alias("p")).collect()
         assert [(r.x, r.p) for r in got if r.p != str(Decimal(r.x).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))] == []
+
+
+def test_ports_are_compared_without_casts(spark):
+    given = ["https://e.com:65535/a", "https://e.com:065535/a", "https://e.com:65536/a", "https://e.com:443/a", "https://e.com:/a", "https://e.com:999999/a", "https://e.com:0/a", "https://u:p@e.com/a/../b"]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(given)], "i int, u string")
+    found = rows.select("i", U._plain(F.col("u")).alias("p"))
+    assert [r.p for r in found.orderBy("i").collect()] == ["https://e.com:65535/a", "https://e.com:65535/a", None, "https://e.com/a", "https://e.com/a", None, "https://e.com:0/a", "https://u:p@e.com/b"]
+
+
+def test_rows_of_url_cases_are_dealt_by_their_number(spark, monkeypatch):
+    from civigrid import registered_geo
+    from civigrid.operators import staging
+
+    monkeypatch.setattr(staging, "ROWS_OF_A_TASK", 50)
+    found = registered_geo.QUERIES["q_url_cases"](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() == -(-found.count() // 50) > 1
