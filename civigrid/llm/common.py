@@ -59,6 +59,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(plain.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes a table that ``written`` made and that nothing will read again, so that its disk is free for what follows."""
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, file)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (cheap to count, such as a written table) marked for broadcast if it has at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -82,16 +88,19 @@ def narrow(df: DataFrame) -> bool:
     return not wide or (df.agg(F.sum(sum(wide[1:], wide[0]))).first()[0] or 0) <= 4 * BROADCAST_ROWS
 
 
-def spread(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner", by: str, total: int | None = None) -> DataFrame:
+def spread(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner", by: str, total: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """``rows`` joined with ``single`` (one row for each key) by shuffle, frequent keys over several tasks.
 
     Keys of more than ``total / HOT_KEYS`` rows (at least HOT_ROWS) are counted first; there are at most HOT_KEYS of them,
     and only these keys with their numbers of salts are broadcast. Rows of such a key are dealt over its salts by a hash
     of ``by``, and its one row in ``single`` stands there once for each salt. Null keys are set aside by their hash too.
+    ``sizes`` (the key and n, its number of rows) spares the counting where that is known.
     """
     total = rows.count() if total is None else total
     limit = max(HOT_ROWS, total // HOT_KEYS)
-    hot = F.broadcast(rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n")).where(F.col("n") > limit).select("_hot", F.least(F.lit(MOST_SALTS), F.ceil(F.col("n") / limit)).cast("int").alias("_salts")))
+    if sizes is None:
+        sizes = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    hot = F.broadcast(sizes.withColumnRenamed(key, "_hot").where(F.col("n") > limit).select("_hot", F.least(F.lit(MOST_SALTS), F.ceil(F.col("n") / limit)).cast("int").alias("_salts")))
     salts = F.when(F.col(key).isNull(), F.lit(MOST_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     left = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.pmod(F.xxhash64(F.col(by)), salts).cast("int")).drop("_hot", "_salts")
     right = single.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_hot", "_salts")

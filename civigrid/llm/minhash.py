@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civigrid.llm.common import by_key, portions, small, small_batches, spread, turn, written
+from civigrid.llm.common import by_key, dropped, portions, small, small_batches, spread, turn, written
 from civigrid.llm.components import Forest, components
 
 #: Bands and rows of a band, for a threshold of 0.8 and for 0.85 and more; a link at the threshold is missed with a chance of (1 - t ** rows) ** bands.
@@ -184,18 +184,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     same_id = member.join(ids, "doc_id").select(F.col("doc_id").alias("v"), "key").distinct().join(named, "key").select("u", "v")
     # Each class of a bucket beside the one with the smallest id.
     buckets = banded(classes)
-    least = written(buckets.groupBy("bucket").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.count("*").alias("size")).where("size > 1").select("bucket", F.col("least.doc_id").alias("u"), F.col("least.key").alias("a")), "minhash-least")
-    shared = written(by_key(buckets, least, "bucket", spread_by="key"), "minhash-buckets")
+    least = written(buckets.groupBy("bucket").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.count("*").alias("n")).where("n > 1").select("bucket", "n", F.col("least.doc_id").alias("u"), F.col("least.key").alias("a")), "minhash-least")
+    # By a shuffle at every size: its bytes grow as the classes do, and the buckets' sizes are known already.
+    shared = written(spread(buckets, least.drop("n"), "bucket", by="key", total=bands * classes.count(), sizes=least.select("bucket", "n")), "minhash-buckets")
+    dropped(least)
     limit = least_equal(bands * ROWS, threshold)
     stars = shared.where("key <> a").select("u", F.col("doc_id").alias("v"), "a", F.col("key").alias("b")).distinct()
-    near = written(likely(written(stars, "minhash-stars"), classes, limit), "minhash-pairs")
+    stars = written(stars, "minhash-stars")
+    near = written(likely(stars, classes, limit), "minhash-pairs")
+    dropped(stars)
     ends = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
     sets = written(full_sets(given, classes.select("key", "doc_id").join(ends, "key", "left_semi"), k), "minhash-sets")
     links = written(confirmed(near, sets, percent).select("u", "v").union(same_id), "minhash-links")
     first = written(components(links.toDF("a", "b")).select(F.col("node").alias("doc_id"), "component"), "minhash-first")
     # Buckets that still hold several components, and pairs that no star had: pairs across components, in blocks.
     placed = written(by_key(shared.select("band", "bucket", "key", "doc_id"), first, "doc_id", how="left", spread_by="bucket").select("band", "bucket", "key", F.coalesce("component", "doc_id").alias("component")), "minhash-placed")
+    dropped(shared)
     dealt = written(dealt_across(placed, classes.select("key", "n_shingles")), "minhash-dealt")
+    dropped(placed)
     more = dealt.select("key").distinct().join(sets.select("key"), "key", "left_anti")
     sets = sets.unionByName(written(full_sets(given, classes.select("key", "doc_id").join(more, "key", "left_semi"), k), "minhash-sets"))
     both = classes.select("key", "signature").join(sets, "key")

@@ -1,3 +1,4 @@
+import os
 import numpy as np
 import pytest
 
@@ -141,3 +142,25 @@ def test_join_up():
     label = np.arange(9)
     join_up(label, np.array([8, 3, 5, 1]), np.array([3, 5, 8, 2]))
     assert label.tolist() == [0, 1, 1, 3, 4, 3, 6, 7, 3]
+
+
+def test_known_sizes_spare_the_counting_and_spread_as_before(spark, monkeypatch):
+    from civigrid.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 4)
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 9 + [2] * 3 + [3, None])], "k long, i long")
+    single = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "k long, v string")
+    sizes = spark.createDataFrame([(1, 9), (2, 3)], "k long, n long")
+    wanted = sorted((r.k, r.i, r.v) for r in common.spread(rows, single, "k", by="i").collect())
+    assert sorted((r.k, r.i, r.v) for r in common.spread(rows, single, "k", by="i", total=14, sizes=sizes).collect()) == wanted
+    assert len(wanted) == 12
+
+
+def test_a_dropped_table_is_gone_and_others_stay(spark):
+    from civigrid.llm import common
+
+    gone, stays = (common.written(spark.range(5), "t") for _ in range(2))
+    folder = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    common.dropped(gone)
+    assert not os.path.exists(folder)
+    assert stays.count() == 5
