@@ -88,13 +88,14 @@ def narrow(df: DataFrame) -> bool:
     return not wide or (df.agg(F.sum(sum(wide[1:], wide[0]))).first()[0] or 0) <= 4 * BROADCAST_ROWS
 
 
-def spread(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner", by: str, total: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
+def spread(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner", by: str, total: int | None = None, sizes: DataFrame | None = None, hint: str | None = None) -> DataFrame:
     """``rows`` joined with ``single`` (one row for each key) by shuffle, frequent keys over several tasks.
 
     Keys of more than ``total / HOT_KEYS`` rows (at least HOT_ROWS) are counted first; there are at most HOT_KEYS of them,
     and only these keys with their numbers of salts are broadcast. Rows of such a key are dealt over its salts by a hash
     of ``by``, and its one row in ``single`` stands there once for each salt. Null keys are set aside by their hash too.
-    ``sizes`` (the key and n, its number of rows) spares the counting where that is known.
+    ``sizes`` (the key and n, its number of rows) spares the counting where that is known. Spark broadcasts a side that it
+    takes to be tiny all the same; ``hint`` ("merge") has it shuffle at every size, so that disk is measured as it grows.
     """
     total = rows.count() if total is None else total
     limit = max(HOT_ROWS, total // HOT_KEYS)
@@ -104,7 +105,7 @@ def spread(rows: DataFrame, single: DataFrame, key: str, *, how: str = "inner",
     salts = F.when(F.col(key).isNull(), F.lit(MOST_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     left = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.pmod(F.xxhash64(F.col(by)), salts).cast("int")).drop("_hot", "_salts")
     right = single.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_hot", "_salts")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right.hint(hint) if hint else right, [key, "_salt"], how).drop("_salt")
 
 
 def _remove(spark: SparkSession, folder: str) -> None:

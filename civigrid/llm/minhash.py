@@ -88,6 +88,16 @@ def set_key(s: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
+def shortened(classes: DataFrame) -> DataFrame:
+    """key and bytes, the last byte of each minimum of the signature."""
+
+    def cut(batches):
+        for b in portions(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.frombuffer(x, np.uint32).astype(np.uint8).tobytes() for x in b.column(1).to_pylist()], pa.binary())], names=["key", "bytes"])
+
+    return classes.select("key", "signature").mapInArrow(cut, "key binary, bytes binary")
+
+
 def banded(classes: DataFrame) -> DataFrame:
     """band, bucket (a hash of the band and its minima), key and doc_id, for each band of each class."""
 
@@ -107,18 +117,19 @@ def least_equal(n: int, threshold: float) -> int:
     return int(np.floor(n * threshold - 5.7 * np.sqrt(n * threshold * (1 - threshold))))
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """key and its set, for the classes in ``wanted`` (key, doc_id): made from the texts of those documents only."""
+def full_sets(docs: DataFrame, wanted: DataFrame, k: int, bands: int) -> DataFrame:
+    """key, its set and signature, for the classes in ``wanted`` (key, doc_id): made from the texts of those documents only."""
 
     def make(batches):
+        hashes = Hashes(bands * ROWS)
         for b in portions(batches):
             sets = [shingles(t or "", k) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([hashes.signature(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=["key", "shingles", "signature"])
 
     ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
     texts = docs.join(small(written(ids, "minhash-wanted")), F.col("doc_id") == F.col("wanted_id"), "left_semi").select("text")
     # Another row of the same id may have another text.
-    return texts.mapInArrow(make, "key binary, shingles binary").where("key IS NOT NULL").dropDuplicates(["key"])
+    return texts.mapInArrow(make, "key binary, shingles binary, signature binary").where("key IS NOT NULL").dropDuplicates(["key"])
 
 
 PAIR = ["u", "v", "a", "b"]  # of two classes: ids, keys
@@ -128,18 +139,18 @@ PAIRS = "u long, v long, a binary, b binary"
 def beside(pairs: DataFrame, single: DataFrame, value: str) -> DataFrame:
     """Pairs with ``x`` and ``y``, the ``value`` of their keys a and b; a's that have very many partners are spread over tasks."""
     x, y = single.select(F.col("key").alias("a"), F.col(value).alias("x")), single.select(F.col("key").alias("b"), F.col(value).alias("y"))
-    return spread(pairs, x, "a", by="b").join(y, "b").select(*PAIR, "x", "y")
+    return spread(pairs, x, "a", by="b", hint="merge").join(y.hint("merge"), "b").select(*PAIR, "x", "y")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
-    """The pairs whose signatures agree in at least ``limit`` minima."""
+    """The pairs whose signatures agree in at least ``limit`` minima, by the last byte of each: it agrees wherever a minimum does."""
 
     def alike(batches):
         for b in portions(batches):
-            x, y = (np.array([np.frombuffer(v, np.uint32) for v in c.to_pylist()]).reshape(b.num_rows, -1) for c in (b.column(4), b.column(5)))
+            x, y = (np.array([np.frombuffer(v, np.uint8) for v in c.to_pylist()]).reshape(b.num_rows, -1) for c in (b.column(4), b.column(5)))
             yield pa.RecordBatch.from_arrays(b.columns[:4], names=PAIR).filter(pa.array((x == y).sum(axis=1) >= limit, pa.bool_()))
 
-    return beside(pairs, classes, "signature").mapInArrow(alike, PAIRS)
+    return beside(pairs, classes, "bytes").mapInArrow(alike, PAIRS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,27 +185,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if not bands:
         raise ValueError("the threshold must be 80 percent or more")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = written(signed(given, k, bands), "minhash")
-    member = rows.where("doc_id IS NOT NULL AND key IS NOT NULL")
+    made = written(signed(given, k, bands), "minhash")
     # One class for each distinct set, named by its smallest id; its rows' signatures are equal.
-    classes = written(member.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")), "minhash-classes")
+    wide = written(made.where("doc_id IS NOT NULL AND key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")), "minhash-wide")
+    # Signatures are most of both tables, so what is read later is kept without them.
+    rows = written(made.drop("signature"), "minhash-rows")
+    dropped(made)
+    classes = written(wide.drop("signature"), "minhash-classes")
+    member = rows.where("doc_id IS NOT NULL AND key IS NOT NULL")
     named = classes.select("key", F.col("doc_id").alias("u"))
     # Rows of one id are one document, so an id with several sets ties their classes.
     ids = member.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     same_id = member.join(ids, "doc_id").select(F.col("doc_id").alias("v"), "key").distinct().join(named, "key").select("u", "v")
-    # Each class of a bucket beside the one with the smallest id.
-    buckets = banded(classes)
-    least = written(buckets.groupBy("bucket").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.count("*").alias("n")).where("n > 1").select("bucket", "n", F.col("least.doc_id").alias("u"), F.col("least.key").alias("a")), "minhash-least")
+    # Only buckets of several classes matter: they are counted by their numbers alone, and rows of the others go no further.
+    buckets = banded(wide)
+    sizes = written(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "minhash-sizes")
     # By a shuffle at every size: its bytes grow as the classes do, and the buckets' sizes are known already.
-    shared = written(spread(buckets, least.drop("n"), "bucket", by="key", total=bands * classes.count(), sizes=least.select("bucket", "n")), "minhash-buckets")
-    dropped(least)
+    shared = written(spread(buckets, sizes.select("bucket"), "bucket", by="key", total=bands * classes.count(), sizes=sizes, hint="merge"), "minhash-buckets")
+    # Each class of a bucket beside the one with the smallest id.
+    least = written(shared.groupBy("bucket").agg(F.min(F.struct("doc_id", "key")).alias("least")).select("bucket", F.col("least.doc_id").alias("u"), F.col("least.key").alias("a")), "minhash-least")
     limit = least_equal(bands * ROWS, threshold)
-    stars = shared.where("key <> a").select("u", F.col("doc_id").alias("v"), "a", F.col("key").alias("b")).distinct()
+    stars = spread(shared, least, "bucket", by="key", sizes=sizes, hint="merge").where("key <> a").select("u", F.col("doc_id").alias("v"), "a", F.col("key").alias("b")).distinct()
     stars = written(stars, "minhash-stars")
-    near = written(likely(stars, classes, limit), "minhash-pairs")
+    dropped(least)
+    dropped(sizes)
+    near = written(likely(stars, shortened(wide), limit), "minhash-pairs")
     dropped(stars)
+    dropped(wide)
     ends = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
-    sets = written(full_sets(given, classes.select("key", "doc_id").join(ends, "key", "left_semi"), k), "minhash-sets")
+    sets = written(full_sets(given, classes.select("key", "doc_id").join(ends, "key", "left_semi"), k, bands), "minhash-sets")
     links = written(confirmed(near, sets, percent).select("u", "v").union(same_id), "minhash-links")
     first = written(components(links.toDF("a", "b")).select(F.col("node").alias("doc_id"), "component"), "minhash-first")
     # Buckets that still hold several components, and pairs that no star had: pairs across components, in blocks.
@@ -203,9 +222,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     dealt = written(dealt_across(placed, classes.select("key", "n_shingles")), "minhash-dealt")
     dropped(placed)
     more = dealt.select("key").distinct().join(sets.select("key"), "key", "left_anti")
-    sets = sets.unionByName(written(full_sets(given, classes.select("key", "doc_id").join(more, "key", "left_semi"), k), "minhash-sets"))
-    both = classes.select("key", "signature").join(sets, "key")
-    crossing = written(across(spread(dealt, both, "key", by="group"), limit, percent), "minhash-crossing")
+    sets = sets.unionByName(written(full_sets(given, classes.select("key", "doc_id").join(more, "key", "left_semi"), k, bands), "minhash-sets"))
+    crossing = written(across(spread(dealt, sets, "key", by="group", hint="merge"), limit, percent), "minhash-crossing")
     found = components(links.toDF("a", "b").union(crossing)).select(F.col("node").alias("u"), "component")
     # Of classes that are linked or have several rows; all other documents stand alone.
     tied = classes.select("key", "n", F.col("doc_id").alias("u")).join(found, "u", "left").where("n > 1 OR component IS NOT NULL").select("key", F.coalesce("component", "u").alias("component_id"))

@@ -164,3 +164,20 @@ def test_a_dropped_table_is_gone_and_others_stay(spark):
     common.dropped(gone)
     assert not os.path.exists(folder)
     assert stays.count() == 5
+
+
+def test_signatures_and_sets_are_shuffled_at_every_size(spark):
+    from civigrid.llm import minhash
+
+    texts = [(i, " ".join(f"w{(i // 2) * 90 + j + (i % 2) * (j > 57)}" for j in range(60))) for i in range(6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    signed = minhash.signed(docs, 5, 36).cache()
+    pairs = signed.alias("x").crossJoin(signed.alias("y")).where("x.doc_id < y.doc_id").selectExpr("x.doc_id u", "y.doc_id v", "x.key a", "y.key b")
+    # Signatures that only some need are made from their sets again; pairs meet the last bytes of minima, a quarter of them.
+    sets = minhash.full_sets(docs, signed, 5, 36)
+    assert sorted(map(tuple, sets.select("key", "signature").collect())) == sorted((r.key, r.signature) for r in signed.collect())
+    short = minhash.shortened(signed)
+    assert {len(r.bytes) for r in short.collect()} == {180}
+    assert {(r.u, r.v) for r in minhash.likely(pairs, short, 120).collect()} == {(0, 1), (2, 3), (4, 5)}
+    plan = minhash.beside(pairs, short, "bytes")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2
