@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from civigrid.functions.text import blank, field_key, fixed, identity_key, title_text
 from civigrid.functions.urls import layer_key, plain_geometry
 from civigrid.operators.rules import holds, jaccard, present
+from civigrid.operators.staging import dealt
 
 # Terms of district and name fields, and words of titles that say nothing.
 DISTRICT_TERMS = ["ward", "wards", "ward_no", "ward_num", "ward_number", "district", "districts", "district_no", "district_num", "district_number", "council", "council_district", "councildistrict"]
@@ -125,29 +126,42 @@ def pairs(layers: DataFrame, key: str = "place_fips", order: str = "ord") -> Dat
     return a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{order}") > F.col(f"b.{order}")))
 
 
+def with_outcome(layers: DataFrame, outcomes: DataFrame, key: str, order: str) -> DataFrame:
+    """``layers`` with the group_id, member_score and member_reasons that a place's ``outcomes`` (``out``: ord, head, score, reasons) have for them.
+
+    Both sides are dealt by place, and a place's outcomes are one row, so they meet without a further shuffle.
+    """
+    mine = F.get(F.filter("out", lambda o: o["ord"] == F.col(order)), F.lit(0))
+    met = layers.hint("merge").join(outcomes, key).select(*layers.columns, mine.alias("_mine"))
+    return met.select(*layers.columns, F.col("_mine.head").alias("group_id"), F.col("_mine.score").alias("member_score"), F.col("_mine.reasons").alias("member_reasons"))
+
+
 def grouped_sources(layers: DataFrame, threshold: float = 0.60, key: str = "place_fips", order: str = "ord") -> DataFrame:
     """For each eligible layer, in order: the first group whose first member is similar enough, else a group of its own.
 
     Adds group_id (the first member's order), member_score (null for the first) and member_reasons. One fold for a
-    place, in the JVM.
+    place, in the JVM; places are dealt over tasks by the number of eligible layers. A score decides on a head, and
+    only the one that is taken has its reasons worked out.
     """
-    prints = layers.where(eligible()).withColumn("_print", source_print())
+    prints = dealt(layers.where(eligible()), key).withColumn("_print", source_print())
     kind = prints.select("_print").schema["_print"].dataType.simpleString()
     order_kind = dict(prints.dtypes)[order]
     state = f"struct<heads:array<struct<ord:{order_kind},print:{kind}>>,out:array<struct<ord:{order_kind},head:{order_kind},score:double,reasons:array<string>>>>"
 
     def step(acc: Column, x: Column) -> Column:
-        seen = F.transform(acc["heads"], lambda h: F.struct(h["ord"].alias("ord"), source_similarity(x["print"], h["print"]).alias("s")))
-        hit = F.get(F.filter(seen, lambda h: h["s"]["score"] >= threshold), F.lit(0))
-        new = hit.isNull()
-        heads = F.when(new, F.concat(acc["heads"], F.array(F.struct(x["ord"].alias("ord"), x["print"].alias("print"))))).otherwise(acc["heads"])
-        row = F.struct(x["ord"].alias("ord"), F.coalesce(hit["ord"], x["ord"]).alias("head"), hit["s"]["score"].alias("score"), F.coalesce(hit["s"]["reasons"], F.array(F.lit("initial candidate"))).alias("reasons"))
-        return F.struct(heads.alias("heads"), F.concat(acc["out"], F.array(row)).alias("out")).cast(state)
+        def after(hit: Column) -> Column:
+            s, new = source_similarity(x["print"], hit["print"]), hit.isNull()
+            heads = F.when(new, F.concat(acc["heads"], F.array(F.struct(x["ord"].alias("ord"), x["print"].alias("print"))))).otherwise(acc["heads"])
+            row = F.struct(x["ord"].alias("ord"), F.coalesce(hit["ord"], x["ord"]).alias("head"), F.when(~new, s["score"]).alias("score"), F.when(new, F.array(F.lit("initial candidate"))).otherwise(s["reasons"]).alias("reasons"))
+            return F.struct(heads.alias("heads"), F.concat(acc["out"], F.array(row)).alias("out"))
+
+        near = F.filter(acc["heads"], lambda h: source_similarity(x["print"], h["print"])["score"] >= threshold)
+        # One element, the first such head or null: what follows has it by name and doesn't look for it again.
+        return F.get(F.transform(F.array(F.get(near, F.lit(0))), after), F.lit(0)).cast(state)
 
     init = F.struct(F.array().alias("heads"), F.array().alias("out")).cast(state)
-    folded = prints.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), F.col("_print").alias("print")))).alias("xs")).select(key, F.explode(F.aggregate("xs", init, step)["out"]).alias("o"))
-    placed = folded.select(F.col(key), F.col("o.ord").alias(order), F.col("o.head").alias("group_id"), F.col("o.score").alias("member_score"), F.col("o.reasons").alias("member_reasons"))
-    return prints.drop("_print").join(placed, [key, order])
+    folded = prints.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), F.col("_print").alias("print")))).alias("xs")).select(key, F.aggregate("xs", init, step)["out"].alias("out"))
+    return with_outcome(prints.drop("_print"), folded, key, order)
 
 
 def groups(members: DataFrame, key: str = "place_fips", order: str = "ord") -> DataFrame:

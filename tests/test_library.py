@@ -335,3 +335,22 @@ def test_texts_are_worked_out_once(spark):
 @pytest.mark.parametrize(("f", "given", "wanted"), [(T.words_text, "\u00a0_A-\u2003b\ufeff-", "a b"), (T.title_text, "_\u00c9t\u00e9\u2003(2)\u00b2--", "\u00e9t\u00e9 2 \u00b2"), (T.collapsed, "\u2003 a\t\u00a0b ", "a b")])
 def test_white_space_of_any_kind(spark, f, given, wanted):
     assert one(spark, given, f) == wanted
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def counted(df):
+    """``df`` with its true size known, so that a join would broadcast it."""
+    df.cache().count()
+    return df
+
+
+def test_sources_are_grouped_where_their_place_was_dealt(spark):
+    rows = [{"ord": 0}, {"ord": 1, "service_name": "x", "layer_name": "y", "fields": [("COUNCIL", None)]}, {"ord": 2}, {"ord": 3, "place_fips": "b"}]
+    found = M.grouped_sources(counted(layers(spark, *rows)))
+    assert "Broadcast" not in plan_of(found) and "ENSURE_REQUIREMENTS" not in plan_of(found)
+    got = {r.ord: (r.group_id, r.member_score, list(r.member_reasons)) for r in found.collect()}
+    assert got[0] == (0, None, ["initial candidate"]) and got[1] == (1, None, ["initial candidate"]) and got[3] == (3, None, ["initial candidate"])
+    assert got[2][:2] == (0, 1.0) and "same service name" in got[2][2]
