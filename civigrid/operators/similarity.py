@@ -120,10 +120,14 @@ def with_ratios(found: DataFrame, column: str = "similarity") -> DataFrame:
     return ratios.withColumn("reasons", text).drop("_title", "_district", "_field")
 
 
-def pairs(layers: DataFrame, key: str = "place_fips", order: str = "ord") -> DataFrame:
-    """The pairs of a place's layers, the earlier one second; an equi-join on the place."""
+def pairs(layers: DataFrame, key: str = "place_fips", order: str = "ord", own: bool = False) -> DataFrame:
+    """The pairs of a place's layers, the earlier one second, with ``own`` also each with itself; an equi-join on the place.
+
+    Both sides are as large as the table, whatever is estimated for them, so neither is broadcast.
+    """
     a, b = layers.alias("a"), layers.alias("b")
-    return a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{order}") > F.col(f"b.{order}")))
+    x, y = F.col(f"a.{order}"), F.col(f"b.{order}")
+    return a.hint("merge").join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & ((x >= y) if own else (x > y)))
 
 
 def with_outcome(layers: DataFrame, outcomes: DataFrame, key: str, order: str) -> DataFrame:

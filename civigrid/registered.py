@@ -20,7 +20,7 @@ from civigrid.operators import registry as R
 from civigrid.operators import scoring as S
 from civigrid.operators import selection as L
 from civigrid.operators import similarity as M
-from civigrid.operators.staging import staged
+from civigrid.operators.staging import dealt, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -297,7 +297,7 @@ def q_fingerprint_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {PRINTS} SELECT a.ord AS x, b.ord AS y, round({source_similarity_sql('a.p', 'b.p')}, 9) AS score FROM eligible a JOIN eligible b ON a.place_fips = b.place_fips AND a.ord > b.ord")
 def q_pair_similarity_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = layers(spark, sf_dir).where(M.eligible()).select("place_fips", "ord", M.source_print().alias("p"))
+    p = dealt(layers(spark, sf_dir).where(M.eligible()), "place_fips").select("place_fips", "ord", M.source_print().alias("p"))
     return M.pairs(p).select(F.col("a.ord").alias("x"), F.col("b.ord").alias("y"), F.round(M.source_similarity(F.col("a.p"), F.col("b.p"))["score"], 9).alias("score"))
 
 
@@ -332,7 +332,7 @@ lpairs AS (SELECT place_fips, x, y, same_url OR (same_type AND total >= 0.7) AS
 
 @query(f"WITH {LAYER_PAIRS} SELECT x, y, equivalent, round(confidence, 9)::DOUBLE AS confidence FROM lpairs")
 def q_pair_similarity_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = layers(spark, sf_dir).where(M.deduplicable()).select("place_fips", "ord", M.layer_print().alias("p"))
+    p = dealt(layers(spark, sf_dir).where(M.deduplicable()), "place_fips").select("place_fips", "ord", M.layer_print().alias("p"))
     s = M.pairs(p).select(F.col("a.ord").alias("x"), F.col("b.ord").alias("y"), M.layer_similarity(F.col("a.p"), F.col("b.p")).alias("s"))
     return s.select("x", "y", "s.equivalent", F.round("s.confidence", 9).alias("confidence"))
 

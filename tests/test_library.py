@@ -354,3 +354,14 @@ def test_sources_are_grouped_where_their_place_was_dealt(spark):
     got = {r.ord: (r.group_id, r.member_score, list(r.member_reasons)) for r in found.collect()}
     assert got[0] == (0, None, ["initial candidate"]) and got[1] == (1, None, ["initial candidate"]) and got[3] == (3, None, ["initial candidate"])
     assert got[2][:2] == (0, 1.0) and "same service name" in got[2][2]
+
+
+def test_pairs_are_not_broadcast(spark):
+    given = counted(spark.createDataFrame([("a", 0), ("a", 1), ("a", 2), ("b", 3)], "place_fips string, ord int"))
+
+    def met(**options):
+        return M.pairs(given, **options).select(F.col("a.ord"), F.col("b.ord"))
+
+    assert "Broadcast" not in plan_of(met())
+    assert sorted(map(tuple, met().collect())) == [(1, 0), (2, 0), (2, 1)]
+    assert sorted(map(tuple, met(own=True).collect())) == [(0, 0), (1, 0), (1, 1), (2, 0), (2, 1), (2, 2), (3, 3)]
