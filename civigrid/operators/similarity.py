@@ -182,15 +182,15 @@ def grouped_layers(layers: DataFrame, key: str = "place_fips", order: str = "ord
     """For each layer, in order: the group that holds its most confident equivalent member, the earliest among equals.
 
     Adds group_id (the first member's order), member_score and member_reasons. All pairs of a place are compared in an
-    equi-join; then one fold for a place, in the JVM, takes its layers in order.
+    equi-join; then one fold for a place, in the JVM, takes its layers in order. Each layer's pair with itself stands for
+    it where nothing is close. Places are dealt over tasks once, and all this happens there.
     """
-    prints = layers.select(key, order, layer_print().alias("_print"))
-    found = pairs(prints, key, order).select(F.col(f"a.{key}").alias(key), F.col(f"a.{order}").alias("x"), F.col(f"b.{order}").alias("y"), layer_similarity(F.col("a._print"), F.col("b._print")).alias("similarity"))
-    close = with_ratios(found.where("similarity.equivalent")).select(key, "x", "y", F.col("similarity.confidence").alias("confidence"), "reasons")
+    given = dealt(layers, key)
+    prints = given.select(key, order, layer_print().alias("_print"))
+    found = pairs(prints, key, order, own=True).select(F.col(f"a.{key}").alias(key), F.col(f"a.{order}").alias("x"), F.col(f"b.{order}").alias("y"), layer_similarity(F.col("a._print"), F.col("b._print")).alias("similarity"))
+    close = with_ratios(found.where((F.col("x") == F.col("y")) | F.col("similarity.equivalent"))).select(key, "x", "y", F.col("similarity.confidence").alias("confidence"), "reasons")
     order_kind = dict(layers.dtypes)[order]
-    near = f"array<struct<y:{order_kind},confidence:double,reasons:array<string>>>"
-    listed = close.groupBy(key, "x").agg(F.collect_list(F.struct("y", "confidence", "reasons")).alias("near"))
-    rows = layers.select(key, F.col(order).alias("x")).join(listed, [key, "x"], "left").select(key, "x", F.coalesce("near", F.array()).cast(near).alias("near"))
+    rows = close.groupBy(key, "x").agg(F.collect_list(F.when(F.col("x") != F.col("y"), F.struct("y", "confidence", "reasons"))).alias("near"))
     # Members stand with their group and their place in it, which say who comes first among equally close ones.
     state = f"array<struct<ord:{order_kind},home:{order_kind},place:int,score:double,reasons:array<string>>>"
 
@@ -208,9 +208,9 @@ def grouped_layers(layers: DataFrame, key: str = "place_fips", order: str = "ord
 
         return F.concat(done, F.transform(F.array(best), row)).cast(state)
 
-    folded = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("x", "near"))).alias("xs")).select(key, F.explode(F.aggregate("xs", F.array().cast(state), step)).alias("o"))
-    placed = folded.select(F.col(key), F.col("o.ord").alias(order), F.col("o.home").alias("group_id"), F.col("o.score").alias("member_score"), F.col("o.reasons").alias("member_reasons"))
-    return layers.join(placed, [key, order])
+    outcome = F.transform(F.aggregate("xs", F.array().cast(state), step), lambda o: F.struct(o["ord"].alias("ord"), o["home"].alias("head"), o["score"].alias("score"), o["reasons"].alias("reasons")))
+    folded = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("x", "near"))).alias("xs")).select(key, outcome.alias("out"))
+    return with_outcome(given, folded, key, order)
 
 
 def deduplicated_layers(layers: DataFrame, **names) -> DataFrame:

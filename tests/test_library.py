@@ -365,3 +365,14 @@ def test_pairs_are_not_broadcast(spark):
     assert "Broadcast" not in plan_of(met())
     assert sorted(map(tuple, met().collect())) == [(1, 0), (2, 0), (2, 1)]
     assert sorted(map(tuple, met(own=True).collect())) == [(0, 0), (1, 0), (1, 1), (2, 0), (2, 1), (2, 2), (3, 3)]
+
+
+def test_layers_are_deduplicated_where_their_place_was_dealt(spark, monkeypatch):
+    from civigrid.operators import staging
+
+    monkeypatch.setattr(staging, "ROWS_OF_A_TASK", 2)
+    rows = [{"ord": 0, "url": "https://e.com/a"}, {"ord": 1, "url": "https://e.com/a/"}, {"ord": 2, "url": "https://e.com/c", "place_fips": "b"}]
+    found = M.grouped_layers(counted(layers(spark, *rows)))
+    assert "Broadcast" not in plan_of(found) and "ENSURE_REQUIREMENTS" not in plan_of(found)
+    got = {r.ord: (r.group_id, r.member_score, list(r.member_reasons)) for r in found.collect()}
+    assert got == {0: (0, None, ["initial candidate group"]), 1: (0, 1.0, ["same ArcGIS layer URL"]), 2: (2, None, ["initial candidate group"])}
