@@ -38,12 +38,14 @@ def group_sources(members: DataFrame) -> DataFrame:
     """A row for each group whose best member can be used: the source, its alternatives in rank order, whether it needs review.
 
     If the best member is rejected or lacks a district field or type, the group has no source; the next one isn't tried.
+    Members are sorted once, and the best one's row gets the list of those after it, so nothing is joined.
     """
-    ranked = prepared(members).withColumn("_rank", F.row_number().over(Window.partitionBy("place_fips", "group_id").orderBy(*by_preference())))
-    other = F.struct(F.col("_rank").alias("rank"), F.col("url"), F.col("title"), F.col("service_type"), F.col("official_source"), F.col("score"))
-    listed = ranked.groupBy("place_fips", "group_id").agg(F.array_sort(F.collect_list(F.when((F.col("_rank") > 1) & (F.col("score") > float("-inf")), other))).alias("alternatives"))
+    w = Window.partitionBy("place_fips", "group_id").orderBy(*by_preference())
+    other = F.struct(F.col("url"), F.col("title"), F.col("service_type"), F.col("official_source"), F.col("score"))
+    after = F.collect_list(F.when(F.col("score") > float("-inf"), other)).over(w.rowsBetween(1, Window.unboundedFollowing))
+    ranked = prepared(members).withColumns({"_rank": F.row_number().over(w), "alternatives": after})
     best = ranked.where("_rank = 1").where((F.col("score") > float("-inf")) & blank(F.col("district_field")).isNotNull() & blank(F.col("district_type")).isNotNull())
-    return best.join(listed, ["place_fips", "group_id"]).select(
+    return best.select(
         "place_fips",
         "group_id",
         "ord",
@@ -58,7 +60,7 @@ def group_sources(members: DataFrame) -> DataFrame:
         "name_field",
         F.coalesce("geometry_type", F.lit("unknown")).alias("geometry_type"),
         "score",
-        F.transform("alternatives", lambda a: a.dropFields("rank")).alias("alternatives"),
+        "alternatives",
         F.col("reasons").alias("selection_reasons"),
         F.col("_review").alias("requires_review"),
     )

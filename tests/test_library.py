@@ -17,6 +17,7 @@ from civigrid.operators import geojson as J
 from civigrid.operators import places as P
 from civigrid.operators import registry as R
 from civigrid.operators import scoring as S
+from civigrid.operators import selection as L
 from civigrid.operators import similarity as M
 from civigrid.operators.classify import classified
 from civigrid.operators.fields import detected, inspected
@@ -376,3 +377,14 @@ def test_layers_are_deduplicated_where_their_place_was_dealt(spark, monkeypatch)
     assert "Broadcast" not in plan_of(found) and "ENSURE_REQUIREMENTS" not in plan_of(found)
     got = {r.ord: (r.group_id, r.member_score, list(r.member_reasons)) for r in found.collect()}
     assert got == {0: (0, None, ["initial candidate group"]), 1: (0, 1.0, ["same ArcGIS layer URL"]), 2: (2, None, ["initial candidate group"])}
+
+
+def members_of(spark, *rows):
+    return layers(spark, *rows).withColumns({"city": F.lit("Tucson"), "state": F.lit("AZ"), "service_type": F.lit("FeatureServer"), "requires_review": F.lit(False), "supports_query": F.lit(True), "supports_geojson": F.lit(True), "supports_pagination": F.lit(True)})
+
+
+def test_a_groups_alternatives_need_no_join(spark):
+    given = members_of(spark, {"ord": 0, "url": "https://e.com/b"}, {"ord": 1, "url": "https://e.com/a"}, {"ord": 2, "url": "https://e.com/c"}, {"ord": 3, "place_fips": "b"})
+    found = L.group_sources(given.withColumn("group_id", F.when(F.col("ord") < 3, 0).otherwise(3)))
+    assert "Join" not in plan_of(found)
+    assert {r.ord: [a.url for a in r.alternatives] for r in found.collect()} == {1: ["https://e.com/b", "https://e.com/c"], 3: []}
