@@ -28,9 +28,12 @@ def first_matching(entries: DataFrame, **options) -> DataFrame:
 
 
 def built(places: DataFrame, sources: DataFrame, generated_at: str) -> DataFrame:
-    """An entry for each place with a source, nested as in the registry's document; the place says who it is."""
+    """An entry for each place with a source, nested as in the registry's document; the place says who it is.
+
+    Both sides grow with the places, whatever is estimated for them, so neither is broadcast.
+    """
     own = places.select("place_fips", F.col("city").alias("p_city"), F.col("state").alias("p_state"))
-    joined = own.join(sources, "place_fips")
+    joined = own.hint("merge").join(sources, "place_fips")
     return joined.select(
         F.col("place_fips").alias("placeFips"),
         F.col("p_city").alias("city"),

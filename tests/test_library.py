@@ -388,3 +388,10 @@ def test_a_groups_alternatives_need_no_join(spark):
     found = L.group_sources(given.withColumn("group_id", F.when(F.col("ord") < 3, 0).otherwise(3)))
     assert "Join" not in plan_of(found)
     assert {r.ord: [a.url for a in r.alternatives] for r in found.collect()} == {1: ["https://e.com/b", "https://e.com/c"], 3: []}
+
+
+def test_places_are_not_broadcast_to_their_sources(spark):
+    sources = counted(L.place_sources(L.group_sources(members_of(spark, {"ord": 0}, {"ord": 1, "place_fips": "b"}).withColumn("group_id", F.col("ord")))))
+    found = R.built(counted(spark.createDataFrame([("b", "Tucson", "AZ"), ("c", "Mesa", "AZ")], "place_fips string, city string, state string")), sources, "2026-01-01T00:00:00.000Z")
+    assert "Broadcast" not in plan_of(found)
+    assert [(r.placeFips, r.city) for r in found.collect()] == [("b", "Tucson")]
